@@ -11,7 +11,7 @@ from ..plans.details import decade_series, estimate_regions, name_details
 from ..plans.enrichment import enrich_names
 from ..plans.names import COUNT, GENDER, NAME, build_names_base, process_names, young_popular_names
 from ..plans.national import us_national, us_state
-from ..plans.population import load_population, municipality_lookup
+from ..plans.population import load_population, municipality_lookup, place_lookup
 from ..sources.writers import write_headerless
 from .registry import Tables, query
 from .shapes import (
@@ -61,8 +61,8 @@ def decade_series_query(t: Tables):
 
 @query("estimate_regions", PROVINCE_ESTIMATES_SQL)
 def estimate_regions_query(t: Tables):
-    population = load_population(raw_population(t))
-    return estimate_regions(province_payloads(t), province_map(t), population, "prov", order_by="place")
+    places = place_lookup(load_population(raw_population(t)), "place")
+    return estimate_regions(province_payloads(t), province_map(t), places, "prov")
 
 
 @query(
@@ -71,7 +71,7 @@ def estimate_regions_query(t: Tables):
     men AS v0, women AS v1, everyone AS v2 FROM ({TOWN_LOOKUP_SQL})""",
 )
 def build_population_lookups(t: Tables):
-    return municipality_lookup(load_population(raw_population(t)), "place")
+    return municipality_lookup(place_lookup(load_population(raw_population(t)), "place"))
 
 
 TARGETS = ["customer#000000003", ("Customer#000000005", "male"), "CUSTOMER#000000008", "nobody"]
@@ -105,9 +105,8 @@ def name_details_query(t: Tables):
         series,
         payloads[0].unionByName(payloads[1]),
         {"prov": province_map(t), "muni": town_map(t)},
-        load_population(raw_population(t)),
+        place_lookup(load_population(raw_population(t)), "place"),
         TARGETS,
-        order_by="place",
     )
     labels = {"decades": "decade", "municipios": "region_name", "provincias": "region_name"}
     parts = [

@@ -11,7 +11,7 @@ from ..operators.joins import lookup_join
 from ..operators.lookups import lookup_default, lookup_fallback, unique_parent
 from ..operators.matching import match_requests, missing_requests, select_names
 from ..plans.details import estimate_regions
-from ..plans.population import VARIANTS, load_population
+from ..plans.population import VARIANTS, load_population, place_lookup
 from .registry import Tables, query
 from .shapes import TOWN_ESTIMATES_SQL, raw_population, town_map, town_payloads
 
@@ -137,5 +137,5 @@ def zip_rows(t: Tables):
 
 @query("lookup_estimate", TOWN_ESTIMATES_SQL)
 def lookup_estimate(t: Tables):
-    population = load_population(raw_population(t))
-    return estimate_regions(town_payloads(t), town_map(t), population, "muni", order_by="place")
+    places = place_lookup(load_population(raw_population(t)), "place")
+    return estimate_regions(town_payloads(t), town_map(t), places, "muni")

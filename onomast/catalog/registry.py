@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.readers import spread_small
 from ..sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +22,13 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
+
+    def spread(self, name: str, *by: str) -> DataFrame:
+        """A table for work that needs all cores, however few splits it has."""
+        return spread_small(getattr(self, name), *by)
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

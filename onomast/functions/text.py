@@ -89,7 +89,7 @@ def clean_label(c: Column, overrides: dict[str, str] | None = None) -> Column:
     turned = F.regexp_replace(bare, r"(?s)^((?:(?!, ).)*), ((?:(?!, ).)*)$", "$2 $1")
     if not overrides:
         return turned
-    forms = F.create_map(*[x for label, form in overrides.items() for x in (F.lit(label), title_case(F.lit(form)))])
+    forms = F.create_map(*[F.lit(x) for label, form in overrides.items() for x in (label, form.title())])
     return F.coalesce(F.try_element_at(forms, F.upper(turned)), turned)
 
 
@@ -111,11 +111,12 @@ def _folds() -> tuple[str, str, dict[str, str]]:
 def fold_accents(c: Column) -> Column:
     """Remove accents from Latin text, composed or decomposed."""
     source, target, longer = _folds()
-    expanded = c
+    rare = F.regexp_replace(c, r"[\x{300}-\x{34E}\x{350}-\x{36F}]+", "")
     for letter, form in longer.items():
-        expanded = F.replace(expanded, F.lit(letter), F.lit(form))
-    c = F.when(c.rlike(f"[{''.join(longer)}]"), expanded).otherwise(c)
-    return F.translate(F.regexp_replace(c, r"[\x{300}-\x{34E}\x{350}-\x{36F}]+", ""), source, target)
+        rare = F.replace(rare, F.lit(letter), F.lit(form))
+    # Only text with letters beyond the common ones pays for the rare ones, and only text beyond ASCII is translated.
+    common = F.when(c.rlike(r"[^\x00-\xBB\xBF-\xFF]"), rare).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(common, source, target)).otherwise(c)
 
 
 @lru_cache(maxsize=1)

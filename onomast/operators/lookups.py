@@ -9,16 +9,16 @@ from .joins import lookup_join
 
 
 def lookup_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str) -> DataFrame:
-    """Add the lookup's value, or the default where the key is unknown."""
-    return lookup_join(df, lookup.select(on, value), on).withColumn(value, F.coalesce(value, F.lit(default)))
+    """Add the lookup's value, or the default where the key is unknown. The planner knows the size of a table on disk."""
+    return df.join(lookup.select(on, value), on, "left").withColumn(value, F.coalesce(value, F.lit(default)))
 
 
-def widen(lookup: DataFrame, on: list[str], variant: str, value: str, variants: list[str], order_by: str) -> DataFrame:
-    """One row per key with the last value of each variant in a column ``v0``, ``v1``, …"""
-    last = [
-        F.max_by(value, F.when(F.col(variant) == v, F.col(order_by))).alias(f"v{i}") for i, v in enumerate(variants)
+def last_of_each(variant: str, value: str, variants: list[str], order_by: str) -> list[Column]:
+    """Aggregates ``v0``, ``v1``, … with the last value that each variant has."""
+    return [
+        F.max_by(value, F.when((F.col(variant) == v) & F.col(value).isNotNull(), F.col(order_by))).alias(f"v{i}")
+        for i, v in enumerate(variants)
     ]
-    return lookup.where(F.col(value).isNotNull()).groupBy(*on).agg(*last)
 
 
 def first_of(wanted: Column, variants: list[str], depth: int) -> Column:
@@ -45,7 +45,7 @@ def lookup_fallback(
     depth: int = 2,
 ) -> DataFrame:
     """Add the value found under the key and the first of the wanted variants; null if there is none. One join for all variants."""
-    wide = widen(lookup, on, variant, value, variants, order_by)
+    wide = lookup.groupBy(*on).agg(*last_of_each(variant, value, variants, order_by))
     found = lookup_join(df, wide, on).withColumn(value, first_of(wanted, variants, depth))
     return found.drop(*[f"v{i}" for i in range(len(variants))])
 

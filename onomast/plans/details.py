@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import gender_alias, gender_code
@@ -12,29 +12,26 @@ from ..functions.numbers import rate_to_count, round_count
 from ..functions.text import build_key
 from ..operators.joins import lookup_join
 from ..operators.lookups import first_of, lookup_default
-from ..operators.matching import ORDER, Request, match_requests
+from ..operators.matching import Request, match_requests
 from ..operators.series import explode_regions, explode_series
-from ..sources.readers import FILE_ORDER, parse_regions, parse_series
-from .population import VARIANTS, municipality_lookup, municipality_parents, place_key, province_lookup
+from ..sources.readers import parse_regions, parse_series
+from .population import VARIANTS, only_municipalities, place_key, province_lookup
 
 # Kinds of region, their views, and the name of an unknown one.
 REGION_TYPES = {"muni": "municipio", "prov": "provincia"}
 UNKNOWN_REGION = "Desconocido"
 
 
-def _key() -> Column:
-    return build_key(F.col("nombre"), F.col("gender")).alias("nombre_id")
-
-
 def _checked(payloads: DataFrame) -> DataFrame:
-    """The payloads; a gender that cannot be asked for is an error."""
-    return payloads.where(gender_code(F.col("gender")).isNotNull())
+    """The payloads with the key of their name; a gender that cannot be asked for is an error."""
+    known = payloads.where(gender_code(F.col("gender")).isNotNull())
+    return known.withColumn("nombre_id", build_key(F.col("nombre"), F.col("gender")))
 
 
 def decade_series(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Persons per name, gender and decade out of series payloads."""
     points = explode_series(parse_series(_checked(payloads), mode=mode))
-    return points.select(_key(), "nombre", "gender", "decade", round_count(F.col("amount")).alias("persons"))
+    return points.select("nombre_id", "nombre", "gender", "decade", round_count(F.col("amount")).alias("persons"))
 
 
 def region_rates(payloads: DataFrame, regions: DataFrame, view: str, mode: str = "FAILFAST") -> DataFrame:
@@ -49,32 +46,24 @@ def region_rates(payloads: DataFrame, regions: DataFrame, view: str, mode: str =
 def estimate_regions(
     payloads: DataFrame,
     regions: DataFrame,
-    population: DataFrame,
+    places: DataFrame,
     view: str,
     label_mode: str = "first_token",
-    order_by: str = FILE_ORDER,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Estimated persons per name and region: the region's rate times its population of that gender.
+    """Estimated persons per name and region: the region's rate times its population of that gender (``place_lookup``).
 
     Regions whose population is unknown stay, without persons. A municipality counts as known only if one province has
     one of that name; otherwise its parent is the list of those provinces. The rows are not sorted (``sort_records``).
     """
     rates = region_rates(payloads, regions, view, mode)
-    if view == "prov":
-        keyed = rates.withColumn("province_key", place_key(F.col("region_name"), label_mode))
-        found = lookup_join(keyed, province_lookup(population, order_by), "province_key")
-        parent = F.col("region_name")
-    else:
-        # Parents and populations are put into one table first, so that the rates are joined once.
-        known = municipality_lookup(population, order_by)
-        places = municipality_parents(population, order_by).join(known, ["municipality_key", "province_key"], "left")
-        keyed = rates.withColumn("municipality_key", place_key(F.col("region_name"), label_mode))
-        found = lookup_join(keyed, places, "municipality_key")
-        parent = F.coalesce("parent_name", "candidates")
+    key = "province_key" if view == "prov" else "municipality_key"
+    lookup = province_lookup(places) if view == "prov" else only_municipalities(places)
+    found = rates.withColumn(key, place_key(F.col("region_name"), label_mode)).join(lookup, key, "left")
+    parent = F.col("region_name" if view == "prov" else "provinces")
     people = first_of(gender_alias(F.col("gender")), VARIANTS, 2)
     return found.select(
-        _key(),
+        "nombre_id",
         "nombre",
         "gender",
         "region_id",
@@ -97,11 +86,10 @@ def name_details(
     series: DataFrame,
     region_payloads: DataFrame,
     regions: dict[str, DataFrame],
-    population: DataFrame,
+    places: DataFrame,
     names: Sequence[Request] | None = None,
     limit: int | None = None,
     label_mode: str = "first_token",
-    order_by: str = FILE_ORDER,
     name: str = "Nombre",
     group: str = "Gender",
     base_order: list[str] | None = None,
@@ -119,8 +107,6 @@ def name_details(
     tables = {"decades": decade_series(of_targets(series))}
     for view, table in (("muni", "municipios"), ("prov", "provincias")):
         payloads = of_targets(region_payloads.where(F.col("vista") == view).drop("vista"))
-        tables[table] = estimate_regions(payloads, regions[view], population, view, label_mode, order_by)
+        tables[table] = estimate_regions(payloads, regions[view], places, view, label_mode)
     return tables
 
-
-__all__ = ["ORDER", "decade_series", "estimate_regions", "name_details", "region_rates", "sort_records"]

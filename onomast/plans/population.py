@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.codes import FEMALE_KEY, MALE_KEY, TOTAL_KEY
 from ..functions.numbers import strip_digits_sep
 from ..functions.text import clean_label, label_code, label_text, normalize_label
-from ..operators.groups import keep_first
-from ..operators.lookups import parents, widen
+from ..operators.lookups import last_of_each
+from ..sources.scratch import stage
 
 # Columns of the population file, in its order.
 POPULATION_COLUMNS = [
@@ -50,42 +50,48 @@ def place_key(name: Column, label_mode: str) -> Column:
     return normalize_label(clean_label(name) if label_mode == "full" else name)
 
 
-def _keyed(population: DataFrame) -> DataFrame:
-    known = population.where("population is not null")
-    return known.withColumns(
+def place_lookup(population: DataFrame, order_by: str) -> DataFrame:
+    """One row per province and municipality (null on the rows of the province itself).
+
+    ``v0``, ``v1``, ``v2`` are men, women, all; of duplicate rows the last counts. ``province_display`` is the name on the
+    province's first row for all genders. The table is written once, so that the planner knows how small it is.
+    """
+    keyed = population.withColumns(
         {
             "province_key": normalize_label(F.col("province_name")),
             "municipality_key": normalize_label(F.col("municipality_name")),
+            "in_town": F.col("municipality_name").isNotNull(),
         }
-    ).where("province_key is not null")
-
-
-def province_lookup(population: DataFrame, order_by: str) -> DataFrame:
-    """One row per province: men, women, all, as ``v0``, ``v1``, ``v2``. Of duplicate rows the last counts."""
-    rows = _keyed(population).where("municipality_name is null")
-    return widen(rows, ["province_key"], "gender", "population", VARIANTS, order_by)
+    )
+    whole = ~F.col("in_town") & (F.col("gender") == TOTAL_KEY) & F.col("population").isNotNull()
+    places = keyed.groupBy("province_key", "municipality_key", "in_town").agg(
+        *last_of_each("gender", "population", VARIANTS, order_by),
+        F.min_by("province_name", F.when(whole, F.col(order_by))).alias("province_display"),
+        F.count("population").alias("rows"),
+    )
+    # Filtered only now: above the keys, the filter would work out each of them a second time.
+    usable = stage(places, "places").where(
+        "rows > 0 and province_key is not null and in_town = (municipality_key is not null)"
+    )
+    return usable.drop("in_town", "rows")
 
 
-def municipality_lookup(population: DataFrame, order_by: str) -> DataFrame:
-    """The same per province and municipality."""
-    rows = _keyed(population).where("municipality_key is not null")
-    return widen(rows, ["province_key", "municipality_key"], "gender", "population", VARIANTS, order_by)
+def province_lookup(places: DataFrame) -> DataFrame:
+    """Population per province."""
+    return places.where("municipality_key is null").drop("municipality_key")
 
 
-def province_display(population: DataFrame, order_by: str) -> DataFrame:
-    """Per province key the name on its first row for all genders."""
-    rows = _keyed(population).where(F.col("municipality_name").isNull() & (F.col("gender") == TOTAL_KEY))
-    return keep_first(rows, ["province_key"], order_by, "province_name", "province_display")
+def municipality_lookup(places: DataFrame) -> DataFrame:
+    """Population per province and municipality."""
+    return places.where("municipality_key is not null").drop("province_display")
 
 
-def municipality_parents(population: DataFrame, order_by: str) -> DataFrame:
-    """Per municipality key its province if there is only one (key and display name), and the list of all its provinces."""
-    pairs = _keyed(population).where("municipality_key is not null").select("municipality_key", "province_key").distinct()
-    shown = pairs.join(province_display(population, order_by), "province_key", "left").withColumn(
-        "shown", F.coalesce("province_display", "province_key")
-    )
-    keys = parents(shown, "municipality_key", "province_key").drop("candidates")
-    names = parents(shown, "municipality_key", "shown").withColumnRenamed("shown", "parent_name")
-    return keys.join(names, "municipality_key").withColumn(
-        "parent_name", F.when(F.col("province_key").isNotNull(), F.coalesce("parent_name", "province_key"))
-    )
+def only_municipalities(places: DataFrame) -> DataFrame:
+    """Population and province of each municipality whose name one province has; of any other only the list of provinces."""
+    shown = province_lookup(places).select("province_key", "province_display")
+    towns = municipality_lookup(places).join(shown, "province_key", "left")
+    towns = towns.withColumn("province", F.coalesce("province_display", "province_key"))
+    single = F.count("*") == 1
+    people = [F.when(single, F.max(f"v{i}")).alias(f"v{i}") for i in range(len(VARIANTS))]
+    provinces = F.array_join(F.array_sort(F.collect_set("province")), ", ")
+    return towns.groupBy("municipality_key").agg(*people, provinces.alias("provinces"))
