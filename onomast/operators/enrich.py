@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.replies import json_all_or_nothing, json_default
 from ..functions.text import clean_text, default_if_falsy, truncate_ellipsis
@@ -102,7 +103,8 @@ class CallProvider:
                     size = len(batch)
                     yield batch.assign(**{t: found[i * size : (i + 1) * size] for i, t in enumerate(tasks)})
 
-        return asked.repartition(self.partitions).mapInPandas(run, asked.schema)
+        schema = StructType([StructField(f.name, f.dataType, True) for f in asked.schema])
+        return asked.repartition(self.partitions).mapInPandas(run, schema)
 
 
 @dataclass

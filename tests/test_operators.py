@@ -1,0 +1,204 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from onomast.operators import groups, joins, lookups, matching, ranking, sampling, series
+
+PARTITIONS = [1, 4, 40]
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=str)
+
+
+@pytest.fixture
+def names(spark):
+    rng = random.Random(1)
+    data = [(i, rng.choice(["Male"] * 8 + ["Female", None]), rng.choice([None, *range(30)])) for i in range(2000)]
+    return spark.createDataFrame(data, "id int, g string, v int").repartition(7)
+
+
+def expected_ranks(data):
+    seen, result = {}, {}
+    for id, g, v in sorted(data, key=lambda r: (str(r[1]), r[2] is None, -(r[2] or 0), r[0])):
+        seen[g] = seen.get(g, 0) + 1
+        result[id] = None if g is None else seen[g]
+    return result
+
+
+@pytest.mark.parametrize("partitions", PARTITIONS)
+@pytest.mark.parametrize("plan, rows_per_task", [("window", 10), ("range", 100), ("auto", 500), ("auto", 10), ("auto", 10**6)])
+def test_rank_plans_agree(spark, names, partitions, plan, rows_per_task):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    ranked = ranking.rank_in_group(names, "g", "v", ["id"], "r", plan, rows_per_task)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert dict(rows(ranked, "id", "r")) == expected_ranks([tuple(r) for r in names.collect()])
+
+
+@pytest.mark.parametrize("plan", ["window", "range"])
+def test_copies_get_different_ranks(spark, plan):
+    data = [("a", 5)] * 700 + [("a", 4)] * 3 + [("b", 1)] * 100 + [(None, 1)] * 2
+    df = spark.createDataFrame(data, "g string, v int").repartition(5)
+    ranked = ranking.rank_in_group(df, "g", "v", ["v"], "r", plan, 50)
+    found = [(g, v, r) for g, v, r in ranked.collect()]
+    assert sorted(r for g, v, r in found if g == "a" and v == 5) == list(range(1, 701))
+    assert sorted(r for g, v, r in found if g == "a" and v == 4) == [701, 702, 703]
+    assert sorted(r for g, v, r in found if g == "b") == list(range(1, 101))
+    assert [r for g, v, r in found if g is None] == [None, None]
+
+
+def test_a_hot_group_takes_many_tasks(spark, names, monkeypatch):
+    staged = []
+    monkeypatch.setattr(ranking, "stage", lambda df, label: staged.append(df.cache()) or staged[-1])
+    ranking.rank_in_group(names, "g", "v", ["id"], "r", "auto", 200).collect()
+    sizes = [r[1] for r in staged[0].groupBy("_part").count().collect()]
+    assert sum(sizes) > 1300 and len(sizes) >= 6 and max(sizes) < 500
+
+
+def test_number_rows_over_the_whole_table(spark, names):
+    order = [F.desc_nulls_last("v"), F.asc("id")]
+    windowed = ranking.number_rows(names, order, ["v", "id"], "n", plan="window")
+    ranged = ranking.number_rows(names, order, ["v", "id"], "n", rows_per_task=150)
+    assert rows(windowed, "id", "n") == rows(ranged, "id", "n")
+    with pytest.raises(ValueError):
+        ranking.number_rows(names, order, ["v", "id"], "n", plan="guess")
+
+
+def test_top(spark, names):
+    data = [tuple(r) for r in names.collect()]
+    ranks = expected_ranks(data)
+    top = ranking.top_n_per_group(names, "g", "v", 3, ["id"])
+    assert rows(top, "id", "rank") == sorted(((i, r) for i, r in ranks.items() if r and r <= 3), key=str)
+    many = ranking.top_n_per_group(names, "g", "v", 1200, ["id"])
+    assert rows(many, "id", "rank") == sorted(((i, r) for i, r in ranks.items() if r and r <= 1200), key=str)
+    best = sorted(data, key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
+    for n in (0, 5, 1500):
+        assert {r["id"] for r in ranking.top_k(names, "v", n, ["id"]).collect()} == {r[0] for r in best[:n]}
+    assert [r["id"] for r in ranking.top_k(names, "v", None, ["id"]).collect()] == [r[0] for r in best]
+
+
+def test_top_plans(spark, names):
+    plan = ranking.top_n_per_group(names, "g", "v", 3, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" in ranking.top_k(names, "v", 3, ["id"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distinct_by_key(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "z")], "k string, o int, v string")
+    assert rows(ranking.distinct_by_key(df, ["k"], [F.asc("o")])) == [("a", 1, "y"), (None, 3, "z")]
+
+
+def test_shares(spark, monkeypatch):
+    df = spark.createDataFrame([("m", 1), ("m", 3), ("f", 0), (None, 5), ("m", None)], "g string, v int")
+    expected = [("f", 0, None), ("m", 1, 25.0), ("m", 3, 75.0), ("m", None, None)]
+    assert rows(groups.share_of_group(df, "g", "v", "s")) == expected
+    assert "BroadcastHashJoin" in groups.share_of_group(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins.if_small, "__defaults__", (1, joins.BROADCAST_CHARS))
+    assert rows(groups.share_of_group(df, "g", "v", "s")) == expected
+
+
+def test_if_small(spark):
+    assert joins.if_small(spark.range(5), rows=5).count() == 5
+    assert joins.if_small(spark.range(6), rows=5) is None
+    assert joins.if_small(spark.createDataFrame([("x" * 100,)], "s string"), chars=99) is None
+
+
+def test_profile_and_counts(spark):
+    df = spark.createDataFrame([(1, True, "a"), (5, False, "b"), (None, None, "a"), (9, True, None)], "v int, f boolean, s string")
+    found = groups.profile(df, ["v"], {"flags": "f"}, F.col("v") < 6).first().asDict()
+    assert found == {
+        "rows": 4, "min_v": 1, "max_v": 9, "flags": 2, "kept_rows": 2, "kept_min_v": 1, "kept_max_v": 5, "kept_flags": 1,
+    }
+    assert [tuple(r) for r in groups.value_counts(df, "s").collect()] == [("a", 2), ("b", 1)]
+
+
+def test_maps(spark):
+    df = spark.createDataFrame([("k", 1, "a"), ("k", 3, "c"), ("k", 2, "b")], "k string, o int, v string")
+    assert groups.keep_last(df, ["k"], "o", "v").first()["v"] == "c"
+    assert groups.keep_first(df, ["k"], "o", "v").first()["v"] == "a"
+    assert groups.candidates(df, "k", "v").first()["candidates"] == ["a", "b", "c"]
+
+
+def test_samples(spark, names):
+    first = [r["id"] for r in sampling.sample_rows(names, "random", 50, "id", 9).collect()]
+    assert first == [r["id"] for r in sampling.sample_rows(names.repartition(13), "random", 50, "id", 9).collect()]
+    assert len(set(first)) == 50 and first != sorted(first)
+    assert first != [r["id"] for r in sampling.sample_rows(names, "random", 50, "id", 10).collect()]
+    assert sampling.sample_rows(names, "random", 5000, "id", 9).count() == 2000
+    everything = [r["id"] for r in sampling.sample_rows(names, "random", None, "id", 9).collect()]
+    assert everything[:50] == first and len(everything) == 2000
+    places = sampling.shuffle_rows(names, "id", 9, rows_per_task=300).orderBy("position").collect()
+    assert [r["id"] for r in places] == everything and [r["position"] for r in places] == list(range(1, 2001))
+    assert [r["id"] for r in sampling.sample_rows(names, "sequential", 3, "id").collect()] == [0, 1, 2]
+    for mode, n in (("sequential", 0), ("sequential", None), ("all", 3)):
+        assert sampling.sample_rows(names, mode, n, "id").count() == 2000
+    assert sampling.sample_rows(names, "random", 20, "id").count() == 20
+    for n in (0, -1):
+        with pytest.raises(ValueError):
+            sampling.sample_rows(names, "random", n, "id", 1)
+    with pytest.raises(ValueError):
+        sampling.sample_rows(names, "some", 1, "id")
+
+
+BASE = [(0, "Antonio", "Male", 600), (1, "CARLOS", "Male", 500), (2, "carlos", "Female", 5), (3, "ANA", "Male", 1), (4, "ANA", "Female", 700), (5, "ANA", "Female", 2)]
+REQUESTS = ["carlos", ("ANA", "female"), ("Carlos", "Male"), "NOBODY"]
+
+
+@pytest.fixture
+def base(spark):
+    return spark.createDataFrame(BASE, "id int, n string, g string, f int").repartition(3)
+
+
+def test_match_requests(base):
+    def ids(names, limit=None):
+        found = matching.match_requests(base, names, "n", "g", ["id"], limit)
+        return [r["id"] for r in found.orderBy("request", "id").collect()]
+
+    assert ids(REQUESTS) == [1, 2, 4]
+    assert ids(REQUESTS, 2) == [1, 2] and ids(REQUESTS, 0) == []
+    assert ids(None, 2) == [0, 1] and len(ids(None)) == 6
+    assert ids(matching.as_requests(base.sparkSession, REQUESTS)) == [1, 2, 4]
+    assert matching.match_requests(base, ["antonio"], "n", "g", ["id"]).first()["n"] == "ANTONIO"
+
+
+def test_missing_requests(base):
+    missing = matching.missing_requests(base, [*REQUESTS, ("ANTONIO", "female")], "n", "g").orderBy("request").collect()
+    assert [(r["request"], r["wanted_name"]) for r in missing] == [(3, "NOBODY"), (4, "ANTONIO")]
+    assert "CartesianProduct" not in matching.missing_requests(base, REQUESTS, "n", "g")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_select_names(base):
+    def pairs(**kw):
+        return [(r["n"], r["g"]) for r in matching.select_names(base, "n", "g", "f", ["n", "id"], **kw).collect()]
+
+    assert pairs(top=3) == [("ANA", "Female"), ("CARLOS", "Female"), ("ANA", "Female")]
+    assert pairs(top=2, only_group="MALE") == [("ANTONIO", "Male"), ("CARLOS", "Male")]
+    assert len(pairs()) == 6 and len(pairs(top=0)) == 6
+    assert sorted(pairs(names=["ana", "nobody"])) == [("ANA", "Female"), ("ANA", "Female"), ("ANA", "Male")]
+    assert pairs(names=["ana"], only_group="male") == [("ANA", "Male")]
+
+
+def test_lookups(spark):
+    df = spark.createDataFrame([(1, "Male"), (2, "Female"), (3, "x"), (4, "Male")], "k int, g string")
+    labels = spark.createDataFrame([(1, "one"), (2, None)], "k int, label string")
+    assert rows(lookups.lookup_default(df, labels, "k", "label", "?"), "k", "label") == [(1, "one"), (2, "?"), (3, "?"), (4, "?")]
+    table = [(1, "M", 10, 0), (1, "T", 30, 1), (2, "M", 5, 2), (2, "T", 7, 3), (3, "F", 9, 4), (1, "M", 11, 5), (1, "M", None, 6)]
+    lookup = spark.createDataFrame(table, "k int, variant string, p int, o int")
+    wanted = F.when(F.col("g") == "Male", F.array(F.lit("M"), F.lit("T"))).when(F.col("g") == "Female", F.array(F.lit("F"), F.lit("T"))).otherwise(F.array(F.lit("T")))
+    found = lookups.lookup_fallback(df, lookup, ["k"], "variant", "p", wanted, ["M", "F", "T"], "o")
+    assert rows(found, "k", "p") == [(1, 11), (2, 7), (3, None), (4, None)]
+    pairs = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("b", "x"), ("c", None)], "child string, parent string")
+    kids = spark.createDataFrame([("a",), ("b",), ("d",)], "child string")
+    assert rows(lookups.unique_parent(kids, pairs, "child", "parent")) == [("a", "x", "x"), ("b", None, "x, y"), ("d", None, None)]
+
+
+def test_series(spark):
+    df = spark.createDataFrame(
+        [("a", ["t1", "t2", "t3"], ["1", None, "3", "4"]), ("b", [], ["1"]), ("c", ["t"], [])],
+        "n string, ticks array<string>, values array<string>",
+    )
+    assert rows(series.explode_series(df)) == [("a", "t1", "1"), ("a", "t3", "3")]
+    regions = [("2", "9,534"), ("3", "40.819"), (None, "1"), ("x", "1"), ("4", None), ("5", "1.2,3"), ("3.7", "1")]
+    frame = spark.createDataFrame([("a", regions)], "n string, regiones array<struct<id: string, val: string>>")
+    assert rows(series.explode_regions(frame)) == [("a", 2, 9.534), ("a", 3, 40.819)]
