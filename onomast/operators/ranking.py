@@ -13,6 +13,7 @@ from .joins import lookup_join
 ROWS_PER_TASK = 2_000_000
 HOT_GROUPS = 10_000
 TOP_ROWS = 1_000
+COPY_SAMPLE = 200_000
 
 _PART, _AT, _COPIES, _START = "_part", "_at", "_copies", "_start"
 _DIRECTIONS = {"asc": F.asc_nulls_last, "desc": F.desc_nulls_last}
@@ -40,10 +41,12 @@ def _by_window(df: DataFrame, by: list[str], order: list[Column], out: str) -> D
     return df.withColumn(_PART, spread).withColumn(out, F.when(present, number)).drop(_PART)
 
 
-def _has_many_copies(df: DataFrame, by: list[str], keys: list[str]) -> bool:
-    """Whether a good part of the rows are equal in all sorting columns, so that no range would part them."""
-    row = df.agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*by, *keys)).alias("different")).first()
-    return row["different"] < 0.8 * row["n"]
+def _has_hot_copies(df: DataFrame, keys: list[str], rows: int, rows_per_task: int) -> bool:
+    """Whether, going by a sample, more than two tasks' worth of rows are equal in all sorting columns."""
+    fraction = min(1.0, COPY_SAMPLE / max(rows, 1))
+    sample = df.select(*keys) if fraction == 1.0 else df.select(*keys).sample(fraction, seed=1)
+    most = sample.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return most >= 3 and most / fraction > 2 * rows_per_task
 
 
 def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str], out: str, rows: int, rows_per_task: int) -> DataFrame:
@@ -54,10 +57,12 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
     ranges and groups together. The ranges are written once, which fixes their limits for the second step.
     """
     columns = df.columns
-    copies = _has_many_copies(df, by, keys)
+    sort = [*[F.asc_nulls_last(b) for b in by], *order]
+    copies = _has_hot_copies(df, list(dict.fromkeys([*by, *keys])), rows, rows_per_task)
     if copies:
+        # No range parts rows that sort alike: equal rows become one with their number, others are told apart by a hash.
         df = df.groupBy(*columns).agg(F.count("*").alias(_COPIES))
-    sort = [*[F.asc_nulls_last(b) for b in by], *order]
+        sort.append(F.xxhash64(*columns))
     ranges = max(1, math.ceil(rows / rows_per_task))
     ranged = (
         df.repartitionByRange(ranges, *sort)

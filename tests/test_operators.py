@@ -48,6 +48,20 @@ def test_copies_get_different_ranks(spark, plan):
     assert [r for g, v, r in found if g is None] == [None, None]
 
 
+def test_hot_copies_are_counted_before_the_shuffle(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(ranking, "stage", lambda df, label: staged.append(df.cache()) or staged[-1])
+    alike = [("a", 5, "copy")] * 1000 + [("a", 5, f"other{i}") for i in range(500)] + [("a", i, "x") for i in range(6, 500)]
+    df = spark.createDataFrame(alike, "g string, v int, text string").repartition(5)
+    ranked = ranking.rank_in_group(df, "g", "v", ["v"], "r", "range", 100)
+    found = ranked.collect()
+    assert sorted(r["r"] for r in found) == list(range(1, 1995))
+    assert sorted(r["text"] for r in found) == sorted(x[2] for x in alike)
+    assert all((r["v"] > 5) == (r["r"] <= 494) for r in found)
+    assert max(r["count"] for r in staged[0].groupBy("_part").count().collect()) < 300
+    assert staged[0].agg(F.max("_copies")).first()[0] == 1000
+
+
 def test_a_hot_group_takes_many_tasks(spark, names, monkeypatch):
     staged = []
     monkeypatch.setattr(ranking, "stage", lambda df, label: staged.append(df.cache()) or staged[-1])
