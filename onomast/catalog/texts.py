@@ -164,6 +164,6 @@ def json_all_or_nothing(t: Tables):
         .when(kind == "error", '{"spanish":"muy')
     )
     parsed = replies.json_all_or_nothing(reply, "explanation", FAILED_PRONUNCIATION, MISSING_PRONUNCIATION)
-    return t.events.select("event_id", parsed.alias("said")).select(
+    return t.spread("events", "event_id").select("event_id", parsed.alias("said")).select(
         "event_id", "said.spanish", "said.foreign", "said.explanation"
     )

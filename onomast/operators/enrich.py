@@ -104,7 +104,7 @@ class CallProvider:
                     yield batch.assign(**{t: found[i * size : (i + 1) * size] for i, t in enumerate(tasks)})
 
         schema = StructType([StructField(f.name, f.dataType, True) for f in asked.schema])
-        return asked.repartition(self.partitions).mapInPandas(run, schema)
+        return asked.repartition(self.partitions, key).mapInPandas(run, schema)
 
 
 @dataclass

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 50_000
+BROADCAST_ROWS = 10_000
 BROADCAST_CHARS = 32 << 20
 
 

@@ -172,7 +172,8 @@ def parse_regions(df: DataFrame, payload: str = "payload", mode: str = "FAILFAST
     return df.withColumn("_parsed", parsed).select(
         *[c for c in df.columns if c != payload],
         F.coalesce("_parsed.regiones", F.array().cast("array<struct<id: string, val: string>>")).alias("regiones"),
-        F.when(has_unit, F.col("_parsed.unidad")).otherwise("‰").alias("unidad"),
+        # The keys are only looked at where no unit was read.
+        F.when(F.col("_parsed.unidad").isNull() & has_unit, None).otherwise(F.coalesce("_parsed.unidad", F.lit("‰"))).alias("unidad"),
     )
 
 
