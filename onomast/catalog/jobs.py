@@ -156,7 +156,7 @@ def enrich_columns(t: Tables):
 
 @query("enrich_calls", _enriched_sql(_PARTS_SQL))
 def enrich_calls(t: Tables):
-    return enrich(_parts(t), "name", CallProvider(answer, max_concurrent=16, partitions=8))
+    return enrich(_parts(t), "name", CallProvider(answer, max_concurrent=64))
 
 
 @query("enrich_names", _enriched_sql(f"SELECT * FROM ({_PARTS_SQL}) ORDER BY md5('11:' || id), id LIMIT 100"))

@@ -26,9 +26,9 @@ class Tables:
         setattr(self, name, table)
         return table
 
-    def spread(self, name: str, *by: str) -> DataFrame:
+    def spread(self, name: str) -> DataFrame:
         """A table for work that needs all cores, however few splits it has."""
-        return spread_small(getattr(self, name), *by)
+        return spread_small(getattr(self, name))
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

@@ -73,7 +73,7 @@ def _dotted(value) -> F.Column:
 def raw_population(t: Tables) -> DataFrame:
     """Population rows as text: provinces are nations, municipalities are customers and market segments."""
     nation = t.nation.select("n_nationkey", F.concat_ws(" ", "n_nationkey", "n_name").alias("province_raw"))
-    people = t.spread("customer", "c_custkey").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    people = t.spread("customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
     gender = F.when(F.col("c_acctbal") < 0, "Mujeres").when(F.col("c_acctbal") < 5000, "Hombres").otherwise("Total")
     town = F.explode(
         F.array(
@@ -151,7 +151,7 @@ def _payload(first_id, second_id):
 
 def _of_customers(t: Tables, payload) -> DataFrame:
     gender = F.when(F.col("c_acctbal") < 0, "Female").otherwise("Male")
-    return t.spread("customer", "c_custkey").select(F.col("c_name").alias("nombre"), gender.alias("gender"), payload.alias("payload"))
+    return t.spread("customer").select(F.col("c_name").alias("nombre"), gender.alias("gender"), payload.alias("payload"))
 
 
 def province_payloads(t: Tables) -> DataFrame:
@@ -220,7 +220,7 @@ def series_payloads(t: Tables) -> DataFrame:
         F.array("l_quantity", F.when(F.col("l_returnflag") != "R", F.col("l_discount")), "l_extendedprice", "l_tax")
     )
     ticks = F.array(F.lit("quantity"), F.lit("discount"), F.lit("price"))
-    return t.spread("lineitem", "l_orderkey").select(
+    return t.spread("lineitem").select(
         F.concat(F.lit(" order "), "l_orderkey").alias("nombre"),
         F.when(F.col("l_linestatus") == "O", "Male").otherwise("Female").alias("gender"),
         F.to_json(F.struct(values.alias("values"), ticks.alias("ticks")), {"ignoreNullFields": "false"}).alias("payload"),

@@ -10,7 +10,7 @@ from .registry import Tables, query
 
 
 def _on_text(function):
-    return lambda t: t.spread("documents", "doc_id").select("doc_id", function(F.col("text")).alias("result"))
+    return lambda t: t.spread("documents").select("doc_id", function(F.col("text")).alias("result"))
 
 
 def _sql(expression: str) -> str:
@@ -45,7 +45,7 @@ query("char_count", _sql("CAST(length(text) AS INTEGER)"))(_on_text(text.char_co
 query("syllable_count", _sql(_SYLLABLES))(_on_text(text.syllable_count))
 query("scalar_udf", "SELECT lang, CAST(sum(length(text)) AS BIGINT) AS characters, "
     f"CAST(sum({_SYLLABLES}) AS BIGINT) AS syllables FROM documents GROUP BY 1")(
-    lambda t: t.spread("documents", "doc_id").groupBy("lang").agg(
+    lambda t: t.spread("documents").groupBy("lang").agg(
         F.sum(text.char_count(F.col("text"))).alias("characters"), F.sum(text.syllable_count(F.col("text"))).alias("syllables")
     )
 )
@@ -59,12 +59,12 @@ query("scrub_text", _sql(_scrubbed("text")))(_on_text(text.scrub_text))
 @query("titlecase_terms", _sql(_titled(_titled("text", "lang"), "'the'")))
 def titlecase_terms(t: Tables):
     terms = F.concat("lang", F.lit("  thE "))
-    return t.spread("documents", "doc_id").select("doc_id", text.titlecase_terms(F.col("text"), terms).alias("result"))
+    return t.spread("documents").select("doc_id", text.titlecase_terms(F.col("text"), terms).alias("result"))
 
 
 @query("clean_text", _sql(_scrubbed(_titled(_unmarked("text"), "lang"))))
 def clean_text(t: Tables):
-    return t.spread("documents", "doc_id").select("doc_id", text.clean_text(F.col("text"), F.col("lang")).alias("result"))
+    return t.spread("documents").select("doc_id", text.clean_text(F.col("text"), F.col("lang")).alias("result"))
 
 
 @query(
@@ -164,6 +164,6 @@ def json_all_or_nothing(t: Tables):
         .when(kind == "error", '{"spanish":"muy')
     )
     parsed = replies.json_all_or_nothing(reply, "explanation", FAILED_PRONUNCIATION, MISSING_PRONUNCIATION)
-    return t.spread("events", "event_id").select("event_id", parsed.alias("said")).select(
+    return t.spread("events").select("event_id", parsed.alias("said")).select(
         "event_id", "said.spanish", "said.foreign", "said.explanation"
     )

@@ -78,16 +78,24 @@ def build_prompt(task: str, name: Column, origin: Column | None = None) -> Colum
 class CallProvider:
     """Answers by calling ``answer(task, name, prompt)``, which must be picklable, on the executors.
 
-    Up to ``max_concurrent`` calls run at a time, over ``partitions`` tasks. A call that raises has no reply.
+    Up to ``max_concurrent`` calls run at a time, on all cores together. A call that raises has no reply. A task that is
+    lost repeats its own calls, so there are ``tasks_per_core`` short tasks rather than one long one.
     """
 
     answer: Callable[[str, str | None, str], str | None]
     max_concurrent: int = 8
-    partitions: int = 8
+    tasks_per_core: int = 8
+
+    def split(self, cores: int) -> tuple[int, int]:
+        """Number of tasks and of calls at a time in each. Fewer calls than cores means as many tasks as calls."""
+        if self.max_concurrent < cores:
+            return max(1, self.max_concurrent), 1
+        return cores * self.tasks_per_core, self.max_concurrent // cores
 
     def replies(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
         """Replace the prompts in the columns named like the tasks by the replies."""
-        answer, threads = self.answer, max(1, self.max_concurrent // self.partitions)
+        answer = self.answer
+        tasks_wanted, threads = self.split(asked.sparkSession.sparkContext.defaultParallelism)
 
         def one(job: tuple[str, str | None, str]) -> str | None:
             try:
@@ -104,7 +112,7 @@ class CallProvider:
                     yield batch.assign(**{t: found[i * size : (i + 1) * size] for i, t in enumerate(tasks)})
 
         schema = StructType([StructField(f.name, f.dataType, True) for f in asked.schema])
-        return asked.repartition(self.partitions, key).mapInPandas(run, schema)
+        return asked.repartition(tasks_wanted, key).mapInPandas(run, schema)
 
 
 @dataclass

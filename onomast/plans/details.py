@@ -15,6 +15,7 @@ from ..operators.lookups import first_of, lookup_default
 from ..operators.matching import Request, match_requests
 from ..operators.series import explode_regions, explode_series
 from ..sources.readers import parse_regions, parse_series
+from ..sources.writers import write_records
 from .population import VARIANTS, only_municipalities, place_key, province_lookup
 
 # Kinds of region, their views, and the name of an unknown one.
@@ -110,3 +111,13 @@ def name_details(
         tables[table] = estimate_regions(payloads, regions[view], places, view, label_mode)
     return tables
 
+
+
+def write_details(tables: dict[str, DataFrame], folder: str, prefix: str = "details") -> list[str]:
+    """Write each table as CSV without its helper key; a table without rows has no output. Returns the tables written."""
+    written = []
+    for name, table in tables.items():
+        records = sort_records(table) if "region_id" in table.columns else table
+        if write_records(records, f"{folder}/{prefix}_{name}"):
+            written.append(name)
+    return written

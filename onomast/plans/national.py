@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.readers import scan_headerless, with_path_int
+from ..sources.writers import write_parquet
 
 # File names and columns of the two sources.
 YEAR_FILES, YEAR_PATTERN = "yob*.txt", r"/[^/]{3}([^/.]+)\.[^/]*$"
@@ -23,3 +24,13 @@ def us_national(
 def us_state(spark: SparkSession, path: str, glob: str = STATE_FILES, recursive: bool = False) -> DataFrame:
     """State, sex, year, name, count."""
     return scan_headerless(spark, path, STATE_SCHEMA, glob, recursive)
+
+
+def convert_national(spark: SparkSession, path: str, out: str, partition_by: list[str] | None = None) -> None:
+    """Write the national files as one table, for instance one folder per year."""
+    write_parquet(us_national(spark, path), out, partition_by)
+
+
+def convert_state(spark: SparkSession, path: str, out: str, partition_by: list[str] | None = None) -> None:
+    """Write the state files as one table."""
+    write_parquet(us_state(spark, path), out, partition_by)

@@ -29,13 +29,13 @@ def with_file_order(df: DataFrame, name: str = FILE_ORDER) -> DataFrame:
     return df.select("*", _file_order().alias(name))
 
 
-def spread_small(df: DataFrame, *by: str) -> DataFrame:
-    """Spread a table over all cores if it comes in fewer splits than there are cores; a larger one stays as it is.
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal a table out to all cores if it comes in fewer splits than there are cores; a larger one stays as it is.
 
     For work that costs more than the move, such as parsing or patterns over long texts.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def require_inputs(df: DataFrame, where: str) -> DataFrame:

@@ -26,3 +26,16 @@ def test_plans_stay_in_the_jvm_and_join_on_keys(spark, key):
     plan = QUERIES[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+
+
+KEYED = ["process_names", "share_of_group", "rank_in_group_ranges", "sample_n", "shuffle_all", "lookup_estimate", "join_requested", "last_wins_map"]
+
+
+@pytest.mark.parametrize("partitions", [1, 200])
+@pytest.mark.parametrize("key", KEYED)
+def test_results_do_not_depend_on_partitions(spark, db, key, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert differences(spark, db, FOLDER, key) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from onomast.plans.names import build_names_base
-from onomast.plans.national import us_national, us_state
+from onomast.plans.national import convert_national, convert_state, us_national, us_state
 from onomast.sources import readers, writers
 from onomast.sources.scratch import scratch_path, stage
 
@@ -21,6 +21,17 @@ def test_national_files(spark, tmp_path):
     assert rows(found) == [("Mary", "F", 6919, 1881), ("Mary", "F", 7065, 1880), ("NA", "F", 5, 1880)]
 
 
+def test_conversion(spark, tmp_path):
+    landed, out = tmp_path / "landed", tmp_path / "out"
+    landed.mkdir()
+    (landed / "yob1880.txt").write_text("Mary,F,7065\n")
+    (landed / "AK.TXT").write_text("AK,F,1910,Mary,14\n")
+    convert_national(spark, str(landed), f"{out}/n", ["year"])
+    convert_state(spark, str(landed), f"{out}/s")
+    assert rows(spark.read.parquet(f"{out}/n")) == [("Mary", "F", 7065, 1880)]
+    assert rows(spark.read.parquet(f"{out}/s")) == [("AK", "F", 1910, "Mary", 14)]
+
+
 def test_state_files(spark, tmp_path):
     (tmp_path / "AK.TXT").write_text("AK,F,1910,Mary,14\n")
     (tmp_path / "AL.TXT").write_text("AL,M,1911,Bob,8\n")

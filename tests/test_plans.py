@@ -12,7 +12,7 @@ from onomast.operators.enrich import (
     validate_domain,
 )
 from onomast.plans import names as N
-from onomast.plans.details import decade_series, estimate_regions, name_details, sort_records
+from onomast.plans.details import decade_series, estimate_regions, name_details, sort_records, write_details
 from onomast.plans.enrichment import enrich_names, write_enriched
 from onomast.plans.population import (
     POPULATION_COLUMNS, load_population, municipality_lookup, only_municipalities, place_lookup, province_lookup,
@@ -195,7 +195,7 @@ def test_decade_series(spark):
     ]
 
 
-def test_name_details(spark, raw, base):
+def test_name_details(spark, raw, base, tmp_path):
     places = place_lookup(load_population(raw), readers.FILE_ORDER)
     series = spark.createDataFrame(
         [(n, g, '{"values":[[1]],"ticks":["t"]}') for n, g in (("HUGO", "Male"), ("MARÍA", "Female"), ("LEO", "Male"))],
@@ -210,6 +210,12 @@ def test_name_details(spark, raw, base):
     assert rows(tables["decades"], "nombre", "persons") == [("HUGO", 1), ("MARÍA", 1)]
     assert rows(tables["provincias"], "nombre", "persons") == [("HUGO", 1948)]
     assert rows(tables["municipios"], "nombre", "persons") == [("HUGO", 850)]
+    assert write_details({**tables, "none": tables["decades"].limit(0)}, str(tmp_path / "d")) == ["decades", "municipios", "provincias"]
+    written = readers.scan_csv_strings(spark, str(tmp_path / "d" / "details_provincias"))
+    assert written.columns == [
+        "nombre", "gender", "region_id", "region_name", "percentage", "unidad", "persons", "region_type", "parent_region_name",
+    ]
+    assert readers.scan_csv_strings(spark, str(tmp_path / "d" / "details_decades")).columns == ["nombre", "gender", "decade", "persons"]
     limited = name_details(base, series, regions, maps, places, ["leo", "hugo"], limit=1)
     assert rows(limited["decades"], "nombre") == [("LEO",)]
 
@@ -337,13 +343,18 @@ def test_called_provider(spark, tmp_path):
             raise RuntimeError("no reply")
         return reply
 
-    found = answered(spark, CallProvider(answer, max_concurrent=4, partitions=2), extra=["ok", "ok"])
+    found = answered(spark, CallProvider(answer, max_concurrent=2), extra=["ok", "ok"])
     got = {r["key"]: tuple(r[c] for c in NEW_COLUMNS) for r in found.collect()}
     assert got == EXPECTED and found.count() == 7
     calls = {p.name: len(p.read_text()) for p in log.iterdir()}
     assert len(calls) == 15 and set(calls.values()) == {1}
 
 
+def test_calls_at_a_time():
+    for wanted, cores, split in ((2, 8, (2, 1)), (0, 8, (1, 1)), (8, 8, (64, 1)), (300, 100, (800, 3))):
+        assert CallProvider(str, wanted).split(cores) == split
+
+
 def test_rules(spark):
     found = answered(spark, RuleProvider([("^o", "Griego")]))
     assert {r["key"]: r["Family_Origin"] for r in found.collect()} == {
