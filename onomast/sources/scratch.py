@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -26,7 +27,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if root is None:
             root = _local["root"] = tempfile.mkdtemp(prefix="onomast-")
             atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return f"{root.rstrip('/')}/onomast/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/onomast/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote to the shared folder; call it when no result that uses them is needed.
+
+    Returns how many there were.
+    """
+    deleted = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        deleted += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return deleted
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -39,3 +39,19 @@ def test_results_do_not_depend_on_partitions(spark, db, key, partitions):
         assert differences(spark, db, FOLDER, key) is None
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    def plan(key):
+        return QUERIES[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+    top = plan("top_k")
+    assert "LessThan(o_totalprice,400000.0)" in top and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in top
+    equal = plan("filter_eq")
+    assert "EqualTo(l_returnflag,R), EqualTo(l_linestatus,F)" in equal and "l_extendedprice" not in equal
+
+
+def test_small_sides_are_broadcast(spark):
+    for key in ("share_of_group", "join_group_total", "lookup_default", "estimate_regions", "join_requested"):
+        plan = QUERIES[key](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, key

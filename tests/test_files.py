@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -5,7 +8,7 @@ from pyspark.sql.types import StructType
 from onomast.plans.names import build_names_base
 from onomast.plans.national import convert_national, convert_state, us_national, us_state
 from onomast.sources import readers, writers
-from onomast.sources.scratch import scratch_path, stage
+from onomast.sources.scratch import release_scratch, scratch_path, stage
 
 
 def rows(df):
@@ -155,7 +158,24 @@ def test_file_order(spark, tmp_path):
     assert last[1:] == (3, 1)
 
 
-def test_scratch(spark, monkeypatch):
+def test_scratch(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     staged = stage(spark.range(10).withColumn("p", F.spark_partition_id()), "t")
     assert staged.count() == 10 and staged.dtypes == [("id", "bigint"), ("p", "int")]
+    file = Path(urlparse(staged.inputFiles()[0]).path)
+    assert file.exists() and release_scratch(spark) >= 1 and not file.parent.exists()
+    assert release_scratch(spark) == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Cluster, "x")
+    Cluster.sparkContext.master = "local[2]"
+    assert "onomast" in scratch_path(Cluster, "x")
