@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.ranking import limit_head, number_rows, ordering, rank_in_group, top_k, top_n_per_group
+from ..operators.ranking import limit_head, ordering, rank_in_group, sort_rows, top_k, top_n_per_group
 from ..operators.sampling import sample_rows, shuffle_rows
 from ..plans.details import region_rates, sort_records
 from .registry import Tables, query
@@ -33,15 +33,12 @@ def top_n_per_group_query(t: Tables):
     return top_n_per_group(_orders(t), "o_orderstatus", "o_totalprice", 5, ["o_orderkey"])
 
 
-@query(
-    "sort_multi",
-    """SELECT c_custkey, c_mktsegment, c_acctbal, row_number() OVER (ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) AS position
-    FROM customer""",
-)
+@query("sort_multi", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment, c_acctbal DESC, c_custkey")
 def sort_multi(t: Tables):
     order = [F.asc_nulls_last("c_mktsegment"), *ordering("c_acctbal", ["c_custkey"])]
     customers = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    return number_rows(customers, order, ["c_mktsegment", "c_acctbal", "c_custkey"], "position").orderBy("position")
+    keys = ["c_mktsegment", "c_acctbal", "c_custkey"]
+    return sort_rows(customers, order, keys)
 
 
 @query(

@@ -133,6 +133,15 @@ def number_rows(
     return numbered.unionByName(_by_window(others, by, order, out))
 
 
+def sort_rows(df: DataFrame, order: list[Column], keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Sort the table. Where too many rows sort alike for one task, they are numbered first and sorted by number."""
+    rows = df.count()
+    if rows <= 2 * rows_per_task or not _has_hot_copies(df, keys, rows, rows_per_task):
+        return df.orderBy(*order)
+    numbered = number_rows(df, order, keys, _AT, plan="range", rows_per_task=rows_per_task)
+    return numbered.orderBy(_AT).drop(_AT)
+
+
 def rank_in_group(
     df: DataFrame, by: str, value: str, ties: list[str], out: str = "Popularity", plan: str = "auto", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
@@ -155,7 +164,7 @@ def limit_head(df: DataFrame, n: int | None, order: list[Column], keys: list[str
     A short list is one pass in which every task keeps ``n`` rows; a long one is cut from the row numbers.
     """
     if n is None:
-        return df.orderBy(*order)
+        return sort_rows(df, order, keys)
     if n <= TOP_ROWS:
         return df.orderBy(*order).limit(n)
     return number_rows(df, order, keys, _AT).where(F.col(_AT) <= n).drop(_AT)

@@ -13,6 +13,7 @@ from ..functions.text import build_key
 from ..operators.joins import lookup_join
 from ..operators.lookups import first_of, lookup_default
 from ..operators.matching import Request, match_requests
+from ..operators.ranking import sort_rows
 from ..operators.series import explode_regions, explode_series
 from ..sources.readers import parse_regions, parse_series
 from ..sources.writers import write_records
@@ -79,7 +80,8 @@ def estimate_regions(
 
 def sort_records(records: DataFrame) -> DataFrame:
     """Sort by type and id of the region; name and gender keep a region of many rows from filling one task."""
-    return records.orderBy("region_type", "region_id", "nombre", "gender")
+    keys = ["region_type", "region_id", "nombre", "gender"]
+    return sort_rows(records, [F.asc(k) for k in keys], keys)
 
 
 def name_details(

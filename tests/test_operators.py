@@ -62,6 +62,18 @@ def test_hot_copies_are_counted_before_the_shuffle(spark, monkeypatch):
     assert staged[0].agg(F.max("_copies")).first()[0] == 1000
 
 
+def test_sort_rows(spark):
+    data = [("a", i % 7) for i in range(300)] + [("b", 1)] * 600 + [(None, 3)]
+    df = spark.createDataFrame(data, "g string, v int").repartition(5)
+    order, keys = [F.asc_nulls_last("g"), F.desc("v")], ["g", "v"]
+    expected = sorted(data, key=lambda r: (r[0] is None, r[0] or "", -r[1]))
+    for rows_per_task in (10**6, 100):
+        ordered = ranking.sort_rows(df, order, keys, rows_per_task)
+        assert [tuple(r) for r in ordered.collect()] == expected and ordered.columns == ["g", "v"]
+        by_number = "_at" in ordered._jdf.queryExecution().executedPlan().toString()
+        assert by_number == (rows_per_task == 100)
+
+
 def test_a_hot_group_takes_many_tasks(spark, names, monkeypatch):
     staged = []
     monkeypatch.setattr(ranking, "stage", lambda df, label: staged.append(df.cache()) or staged[-1])
