@@ -137,16 +137,20 @@ def _parts(t: Tables):
     return t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
 
 
-def answer(task: str, name: str, prompt: str) -> str | None:
-    """What a model might reply: the same as the rules, and an error for the names that no rule knows."""
-    origin = "Vasco" if name.startswith(("red", "blue")) else "Alemán" if name.endswith("bolt") else None
-    if task == "origin":
-        return json.dumps({"origin": origin}) if origin else json.dumps({"origin": "Desconocido"})
-    hard = any(s in name for s in ("k", "w", "y", "tx", "ll", "rr"))
-    if task == "description":
-        return f"**{name}** es un nombre de origen {origin or 'Desconocido'}."
-    levels = ("difícil", "muy difícil") if hard else ("muy fácil", "fácil")
-    return json.dumps({"spanish": levels[0], "foreign": levels[1], "explanation": f"Suena como se escribe: {name}"})
+def answerer():
+    """What a model might reply, the same as the rules. Made here so that it is sent to the executors whole."""
+
+    def answer(task: str, name: str, prompt: str) -> str:
+        origin = "Vasco" if name.startswith(("red", "blue")) else "Alemán" if name.endswith("bolt") else "Desconocido"
+        if task == "origin":
+            return json.dumps({"origin": origin})
+        if task == "description":
+            return f"**{name}** es un nombre de origen {origin}."
+        hard = any(s in name for s in ("k", "w", "y", "tx", "ll", "rr"))
+        levels = ("difícil", "muy difícil") if hard else ("muy fácil", "fácil")
+        return json.dumps({"spanish": levels[0], "foreign": levels[1], "explanation": f"Suena como se escribe: {name}"})
+
+    return answer
 
 
 @query("enrich_columns", _enriched_sql(_PARTS_SQL))
@@ -156,7 +160,7 @@ def enrich_columns(t: Tables):
 
 @query("enrich_calls", _enriched_sql(_PARTS_SQL))
 def enrich_calls(t: Tables):
-    return enrich(_parts(t), "name", CallProvider(answer, max_concurrent=64))
+    return enrich(_parts(t), "name", CallProvider(answerer(), max_concurrent=64))
 
 
 @query("enrich_names", _enriched_sql(f"SELECT * FROM ({_PARTS_SQL}) ORDER BY md5('11:' || id), id LIMIT 100"))

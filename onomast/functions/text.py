@@ -119,14 +119,14 @@ def fold_accents(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(common, source, target)).otherwise(c)
 
 
-@lru_cache(maxsize=1)
-def _marks() -> dict[int, None]:
-    return {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
+def _fold_any_script(c: Column) -> Column:
+    marks = {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
 
+    @F.pandas_udf(StringType())
+    def fold(s: pd.Series) -> pd.Series:
+        return s.str.normalize("NFKD").str.translate(marks)
 
-@F.pandas_udf(StringType())
-def _fold_any_script(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKD").str.translate(_marks())
+    return fold(c)
 
 
 def normalize_label(c: Column, any_script: bool = False) -> Column:

@@ -21,10 +21,12 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_C
     return df.sparkSession.createDataFrame(found, df.schema)
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
-    """Join a lookup to a large table without moving the large table if the lookup's size allows.
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, on: str | list[str] | Column, how: str = "left", rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join a lookup to a large table without moving the large table if the lookup has at most ``rows`` rows.
 
     A larger lookup is joined on shuffled keys, where adaptive execution splits the partition of a hot key.
     """
-    local = if_small(lookup)
+    local = if_small(lookup, rows)
     return df.join(lookup if local is None else F.broadcast(local), on, how)

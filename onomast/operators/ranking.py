@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..sources.scratch import stage
 from .joins import lookup_join
 
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 1_000_000
+MAX_RANGES = 20_000
 HOT_GROUPS = 10_000
 TOP_ROWS = 1_000
 COPY_SAMPLE = 200_000
@@ -63,7 +64,7 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
         # No range parts rows that sort alike: equal rows become one with their number, others are told apart by a hash.
         df = df.groupBy(*columns).agg(F.count("*").alias(_COPIES))
         sort.append(F.xxhash64(*columns))
-    ranges = max(1, math.ceil(rows / rows_per_task))
+    ranges = min(MAX_RANGES, max(1, math.ceil(rows / rows_per_task)))
     ranged = (
         df.repartitionByRange(ranges, *sort)
         .sortWithinPartitions(*sort)
@@ -75,7 +76,7 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
     parts = ranged.groupBy(*by, _PART).agg(weight.alias("_rows"), F.min(_AT).alias("_first"))
     earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn(_START, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    joined = lookup_join(ranged, parts.drop("_rows"), [*by, _PART], "inner")
+    joined = lookup_join(ranged, parts.drop("_rows"), [*by, _PART], "inner", MAX_RANGES + HOT_GROUPS)
     if not copies:
         number = F.col(_START) + F.col(_AT) - F.col("_first") + 1
         return joined.select(*columns, number.alias(out))
