@@ -20,7 +20,7 @@ ship(__name__)
 
 STEP, HALF, DEPTH, FILTERS, HIDDEN = 4, 256, 4, 32, 16
 #: Bound of the labelled sample, and of the chunks that a document of it gives, spread over its whole text.
-TRAIN_ROWS, TRAIN_CHUNKS, EPOCHS, BATCH, RATE = 2_000, 4, 12, 32, 4e-3
+TRAIN_ROWS, TRAIN_CHUNKS, STEPS, BATCH, RATE = 3_000, 4, 1_200, 32, 4e-3
 
 
 def padded(text: str) -> np.ndarray:
@@ -92,7 +92,7 @@ def _forward_back(model: dict, data: np.ndarray, owner: np.ndarray, labels: np.n
     return grads | {"embed": embed}
 
 
-def train(chunks: list[list[bytes]], labels: list[int], epochs: int = EPOCHS) -> dict:
+def train(chunks: list[list[bytes]], labels: list[int], steps: int = STEPS) -> dict:
     """Parameters learnt from documents given by some of their chunks. Without labels of both kinds, the score is the share of ones."""
     rng = np.random.default_rng(7)
     y = np.array(labels, np.float32)
@@ -112,20 +112,19 @@ def train(chunks: list[list[bytes]], labels: list[int], epochs: int = EPOCHS) ->
         return model | {"out": np.zeros((HIDDEN, 1), np.float32)}
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
     arrays = [np.stack([np.frombuffer(c, np.uint8) for c in doc]) for doc in chunks]
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(y))
-        for low in range(0, len(order), BATCH):
-            some = order[low : low + BATCH]
-            step += 1
-            owner = np.repeat(np.arange(len(some)), [len(arrays[i]) for i in some])
-            grads = _forward_back(model, np.concatenate([arrays[i] for i in some]), owner, y[some], np.ones(len(some), np.float32))
-            rate = RATE * (1 - epoch / epochs)
-            for k, g in grads.items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                model[k] = (model[k] - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        while len(order) < BATCH:
+            order = np.append(order, rng.permutation(len(y)))
+        some, order = order[:BATCH], order[BATCH:]
+        owner = np.repeat(np.arange(len(some)), [len(arrays[i]) for i in some])
+        grads = _forward_back(model, np.concatenate([arrays[i] for i in some]), owner, y[some], np.ones(len(some), np.float32))
+        rate = RATE * (1 - step / (steps + 1))
+        for k, g in grads.items():
+            m, v = moments[k]
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            model[k] = (model[k] - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
     return model
 
 

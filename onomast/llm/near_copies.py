@@ -27,8 +27,8 @@ from .components import components
 ship(__name__)
 
 SHINGLE, SIMILAR = 5, (4, 5)
-TREES, DEPTH = 20, 6
-TARGET = 0.9995
+TREES, DEPTH = 24, 5
+TARGET = 0.9999
 #: Values that two signatures must share before a pair of a node that is not yet one component is compared in full:
 #: five and a half standard deviations below what the least similarity leads one to expect.
 ALIKE = 72
@@ -193,7 +193,7 @@ def _link(classes: DataFrame, sets: _Sets, trees: int, depth: int, target: float
             seen = F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(F.col("similarity"), F.lit(float(length))), F.lit(float(trees)))
             row = links.agg(F.count("*").alias("n"), F.sum(F.lit(1.0) / seen).alias("all")).first()
             estimate = row["n"] / row["all"]
-        if estimate >= target:
+        if min(estimate, least) >= target:
             break
     return comps if comps is not None else classes.sparkSession.createDataFrame([], "id long, comp long")
 

@@ -88,16 +88,21 @@ def default_rules() -> dict[str, Column]:
     return {
         "symbols": F.col("n_symbols") * 10 > F.col("n_words") * 3,
         "word_length": (F.col("word_chars") < F.col("n_words") * 2) | (F.col("word_chars") > F.col("n_words") * 16),
-        "duplicate_lines": F.col("n_dup_lines") * 10 > F.size(lines_of(text)) * 3,
+        "duplicate_lines": (F.col("n_dup_lines") >= 4) & (F.col("n_dup_lines") * 10 > F.size(lines_of(text)) * 3),
         "shouting": shouted * 2 > F.col("word_chars"),
         "letters": F.length(F.regexp_replace(text, r"[^\p{L}]", "")) * 2 < F.col("word_chars"),
     }
 
 
-def measure(df: DataFrame, rules: dict[str, Column], rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """(seconds, share of rejections) of each rule on a sample of about ``rows`` rows."""
-    total = df.count()
-    sample = stage(df.sample(min(1.0, rows / total), seed=1) if total else df, "rules")
+def some_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """A sample of about ``rows`` rows."""
+    total = docs.count()
+    return docs.sample(min(1.0, rows / total), seed=1) if total else docs
+
+
+def measure(sample: DataFrame, rules: dict[str, Column]) -> dict[str, tuple[float, float]]:
+    """(seconds, share of rejections) of each rule on a sample, which is written once."""
+    sample = stage(sample, "rules")
 
     def seconds(column: Column) -> tuple[float, float]:
         start = time.perf_counter()
@@ -109,12 +114,13 @@ def measure(df: DataFrame, rules: dict[str, Column], rows: int = SAMPLE_ROWS) ->
     return {name: (max(found[0] - empty, 1e-4), found[1]) for name, rule in rules.items() for found in [seconds(rule)]}
 
 
-def cascade(df: DataFrame, rules: dict[str, Column], rows: int = SAMPLE_ROWS, out: str = "failed_rule") -> DataFrame:
+def cascade(df: DataFrame, rules: dict[str, Column], sample: DataFrame, out: str = "failed_rule") -> DataFrame:
     """The table with the first rule that each row fails, null if none; a rule is worked out only where the earlier ones passed.
 
-    A null condition counts as passed. Without rows, rules keep their given order.
+    ``sample`` has the columns of ``df`` for some rows, from which cost and selectivity are estimated. A null condition
+    counts as passed. Without rows, rules keep their given order.
     """
-    figures = measure(df, rules, rows)
+    figures = measure(sample, rules)
     order = sorted(rules, key=lambda name: -figures[name][1] / figures[name][0])
     chain = F.lit(None).cast("string")
     for name in reversed(order):

@@ -84,9 +84,11 @@ def op7_pages_suffix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    counted = quality_rules.base_counts(_read(spark, folder, "documents"), ["doc_id"])
+    docs = _read(spark, folder, "documents")
+    counted = quality_rules.base_counts(docs, ["doc_id"])
+    sample = quality_rules.base_counts(quality_rules.some_rows(docs), ["doc_id"])
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    judged = quality_rules.cascade(counted, quality_rules.default_rules())
+    judged = quality_rules.cascade(counted, quality_rules.default_rules(), sample)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & F.col("failed_rule").isNull()).alias("kept"),
@@ -98,7 +100,7 @@ ORACLES["op8_quality_cascade"] = rf"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents
 ), c AS (
-    SELECT *, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS l,
+    SELECT *, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l,
         length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) AS upper_chars, length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS letters
     FROM d
 ), g AS (
@@ -116,7 +118,7 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT (n_symbols * 10 > n_words * 3) AND NOT (word_chars < n_words * 2 OR word_chars > n_words * 16)
-        AND NOT (n_dup_lines * 10 > n_lines * 3) AND NOT (upper_chars * 2 > word_chars) AND NOT (letters * 2 < word_chars) AS kept
+        AND NOT (n_dup_lines >= 4 AND n_dup_lines * 10 > n_lines * 3) AND NOT (upper_chars * 2 > word_chars) AND NOT (letters * 2 < word_chars) AS kept
 FROM f"""
 
 
