@@ -8,7 +8,9 @@ the window limits of the global stream. No rows are shuffled; only the last wind
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -21,17 +23,19 @@ from .common import ship
 
 ship(__name__)
 
-CACHED = 200_000
+CACHED, KEPT_LENGTH, TOGETHER = 800_000, 48, 500
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file of byte-level BPE whose pieces hold white space only at their start.
+    """Ids of texts by a tokenizer file of byte-level BPE that splits a text into runs of letters, digits or marks before merging.
 
-    A text is then the concatenation of its chunks (white space and the run after it), so chunks that come again are
-    looked up. Texts with characters on which libraries disagree whether they are white space are encoded whole.
+    Such a run takes white space only at its start, so a text's ids are those of its chunks: white space and the letters
+    and digits after it, or what follows them up to the next white space. Chunks that come again are looked up; new ones are
+    encoded together, end to end, and the ids dealt out by the bytes they stand for. Texts with characters on which
+    libraries disagree whether they are white space are encoded whole.
     """
 
-    CHUNK = re.compile(r"\s*\S+|\s+")
+    CHUNK = re.compile(r"\s*[^\W_]+|\s*(?:[^\w\s]|_)\S*|\s+")
     ODD = re.compile(r"[\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
 
     def __init__(self, path: str, kind: str):
@@ -39,41 +43,71 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
         self.kind = np.dtype(kind)
+        # In a byte-level vocabulary a token has a character for each of its bytes.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.lengths[number] = len(token)
+        self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in encoded]
 
-    def __call__(self, text: str) -> bytes:
-        if self.ODD.search(text):
-            return self._encode([text])[0]
-        chunks, known = self.CHUNK.findall(text), self.known
-        new = list({c for c in chunks if c not in known})
-        if new:
-            if len(known) > CACHED:
-                known.clear()
-                new = list(set(chunks))
-            # Chunks beyond the usual length are rare and not worth keeping, but looked up from here all the same.
-            known.update(zip(new, self._encode(new)))
-        found = b"".join([known[c] for c in chunks])
-        for c in new:
-            if len(c) > 64:
+    def together(self, chunks: list[str]) -> list[bytes]:
+        """Ids of a few chunks that begin with white space and end without."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.cumsum(self.lengths[ids])
+        limits = np.cumsum([len(c.encode("utf-8")) for c in chunks])
+        at = np.searchsorted(ends, limits)
+        if at[-1] != len(ends) - 1 or (ends[at] != limits).any():
+            return self.whole(chunks)
+        raw, width = ids.tobytes(), self.kind.itemsize
+        cuts = [0, *((at + 1) * width).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        known = self.known
+        if len(known) > CACHED:
+            known.clear()
+        odd = [i for i, t in enumerate(texts) if self.ODD.search(t)]
+        split = [self.CHUNK.findall(t) for t in texts]
+        new = set().union(*split).difference(known)
+        alone = [c for c in new if not c[0].isspace() or c.isspace()]
+        new.difference_update(alone)
+        joined = list(new)
+        known.update(zip(alone, self.whole(alone)))
+        for low in range(0, len(joined), TOGETHER):
+            some = joined[low : low + TOGETHER]
+            known.update(zip(some, self.together(some)))
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for i, found in zip(odd, self.whole([texts[i] for i in odd])):
+            out[i] = found
+        for c in [*alone, *joined]:
+            if len(c) > KEPT_LENGTH:
                 del known[c]
-        return found
+        return out
+
+
+def held_encoder(path: str, kind: str) -> Encoder:
+    """An encoder that stays in the Python worker for its next tasks, with the chunks it knows."""
+    held = vars(sys.modules.setdefault("_held_encoders", ModuleType("_held_encoders")))
+    if (path, kind) not in held:
+        held[path, kind] = Encoder(path, kind)
+    return held[path, kind]
 
 
 def _tokenise(batches: Iterator[pd.DataFrame], path: str, kind: str, end_id: int) -> Iterator[pd.DataFrame]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encode, end = Encoder(path, kind), np.array([end_id], kind).tobytes()
+    encode, end = held_encoder(path, kind), np.array([end_id], kind).tobytes()
     part, at = TaskContext.get().partitionId(), 0
     for batch in batches:
         for low in range(0, len(batch), 500):
             some = batch.iloc[low : low + 500]
-            ids = [encode(t or "") + end for t in some["_text"]]
+            ids = [found + end for found in encode([t or "" for t in some["_text"]])]
             counts = np.array([len(x) // encode.kind.itemsize for x in ids], np.int64)
             starts = at + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
             at += int(counts.sum())
