@@ -1,13 +1,12 @@
 """Jaccard join of texts on word shingles, by a forest of MinHash prefix tries.
 
 A text's signature is cut into trees of several values each; a tree sorts the texts by its values, and texts that share
-the first ``depth`` values lie below one node. The join starts at the full depth, where few but the most alike texts
-meet, and shortens the shared prefix value by value until the estimated recall reaches the target. Every link rests on
-the exact similarity of the shingle sets.
+the first values lie below one node. The join starts at the full depth, where few but the most alike texts meet, and
+shortens the shared prefix value by value until the estimated recall reaches the target.
 
-Texts with the same shingles are one class from the start, however many they are. Below a node, texts are compared with
-one leader, then with another, and only what is still apart is compared in full, so that a group of many near copies
-costs about as many comparisons as it has members.
+Texts with the same shingles are one class from the start, however many they are. Classes that meet at nodes, directly or
+through others, are compared exactly, block against block inside tasks that pass on counts and one link for each class that
+joins a group, never the pairs themselves.
 """
 
 from __future__ import annotations
@@ -29,10 +28,8 @@ ship(__name__)
 SHINGLE, SIMILAR = 5, (4, 5)
 TREES, DEPTH = 24, 5
 TARGET = 0.9999
-#: Values that two signatures must share before a pair of a node that is not yet one component is compared in full:
-#: five and a half standard deviations below what the least similarity leads one to expect.
-ALIKE = 72
-BLOCK, BROADCAST_ROWS = 512, 1_000_000
+#: Classes in a block, classes of small groups that share a task, and keys that may be sent to every task.
+BLOCK, TOGETHER, BROADCAST_ROWS = 512, 1_024, 1_000_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -119,118 +116,116 @@ def _within(df: DataFrame, ids: DataFrame, on: list[str], how: str, limit: int =
     return df.join(F.broadcast(known) if known.count() <= limit else known, on, how)
 
 
-class _Sets:
-    """Shingle sets of the texts that take part in a comparison, worked out when first needed and written once."""
+def _shingle_sets(docs: DataFrame, texts: DataFrame, ids: DataFrame, text: str) -> DataFrame:
+    """(id, _set) of the classes in ``ids``; a class is read from the text of one of its rows."""
+    rows = stage(texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("_hash").alias("_hash")), "reps")
+    found = docs.select(_text_hash(text).alias("_hash"), F.col(text).alias("_text"))
+    found = found.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "_hash")
+    found = found.groupBy("id").agg(F.first("_text").alias("_text")).select("id", word_hashes(F.col("_text")).alias("_words"))
+    return stage(found.mapInPandas(_shingle_rows, "id long, _set array<long>"), "sets")
 
-    def __init__(self, docs: DataFrame, members: DataFrame, text: str):
-        self.texts, self.members, self.known = docs.select(_text_hash(text).alias("_hash"), F.col(text).alias("_text")), members, None
 
-    def of(self, ids: DataFrame) -> DataFrame:
-        new = ids if self.known is None else ids.join(self.known.select("id"), "id", "left_anti")
-        rows = stage(self.members.join(new, "id", "left_semi").groupBy("id").agg(F.min("_hash").alias("_hash")), "reps")
-        chosen = self.texts.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "_hash")
-        chosen = chosen.groupBy("id").agg(F.first("_text").alias("_text"))
-        found = chosen.select("id", word_hashes(F.col("_text")).alias("_words")).mapInPandas(_shingle_rows, "id long, _set array<long>")
-        found = stage(found, "sets")
-        self.known = found if self.known is None else self.known.unionByName(found)
-        return self.known
-
-
-def _verify(pairs: DataFrame, sets: _Sets) -> DataFrame:
-    """(a, b, similarity) of the pairs that reach the similarity."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    known = sets.of(ids)
-    left = known.select(F.col("id").alias("a"), F.col("_set").alias("_x"))
-    right = known.select(F.col("id").alias("b"), F.col("_set").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("_x", "_y"))
-    joint = both.select("a", "b", shared.alias("_i"), (F.size("_x") + F.size("_y") - shared).alias("_u"))
-    return joint.where(F.col("_i") * SIMILAR[1] >= F.col("_u") * SIMILAR[0]).select("a", "b", (F.col("_i") / F.col("_u")).alias("similarity"))
-
-
-def _link(classes: DataFrame, sets: _Sets, trees: int, depth: int, target: float) -> DataFrame:
-    """(id, comp) of the classes that have a link."""
-    tested = links = comps = None
-    for length in range(depth, 0, -1):
-        values = [F.xxhash64(F.lit(t), *[F.get("_sign", F.lit(t * depth + i)) for i in range(length)]) for t in range(trees)]
-        entries = classes.select("id", F.explode(F.array(*values)).alias("node"))
-        full = entries.groupBy("node").agg(F.count("*").alias("_rows")).where("_rows > 1").select("node")
-        nodes = stage(entries.join(full, "node"), "nodes")
-        least = detection(SIMILAR[0] / SIMILAR[1], length, trees)
-
-        for turn in range(3):
-            apart = nodes if comps is None else nodes.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            apart = apart.withColumn("comp", F.col("id")) if comps is None else apart
-            spread = apart.groupBy("node").agg(F.min("comp").alias("_c1"), F.max("comp").alias("_c2")).where("_c1 <> _c2").select("node")
-            apart = stage(apart.join(spread, "node"), "apart")
-            draw = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn + 10 * length))
-            leaders = apart.groupBy("node").agg(F.min_by(F.struct("id", "comp"), draw).alias("_lead"))
-            led = apart.join(leaders, "node").where(F.col("comp") != F.col("_lead.comp"))
-            if turn < 2:
-                pairs = led.select(F.least("id", "_lead.id").alias("a"), F.greatest("id", "_lead.id").alias("b")).distinct()
-            else:
-                signed = classes.select("id", "_sign")
-                some = led.select("node", "id", "comp", F.col("_lead.comp").alias("_main")).join(signed, "id")
-                other = apart.join(led.select("node").distinct(), "node").join(signed, "id").select("node", F.col("id").alias("_o"), F.col("comp").alias("_oc"), F.col("_sign").alias("_os"))
-                alike = F.aggregate(F.zip_with("_sign", "_os", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-                once = (F.col("_oc") == F.col("_main")) | (F.col("id") < F.col("_o"))
-                met = some.join(other, "node").where((F.col("comp") != F.col("_oc")) & once & (alike >= ALIKE))
-                pairs = met.select(F.least("id", "_o").alias("a"), F.greatest("id", "_o").alias("b")).distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = stage(pairs, "pairs")
-            if pairs.isEmpty():
-                continue
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            found = stage(_verify(pairs, sets), "links")
-            if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                comps = components(links)
-        # Links found, each counted for the ones like it that the forest misses at this length.
-        if links is None:
-            estimate = least
-        else:
-            seen = F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(F.col("similarity"), F.lit(float(length))), F.lit(float(trees)))
-            row = links.agg(F.count("*").alias("n"), F.sum(F.lit(1.0) / seen).alias("all")).first()
-            estimate = row["n"] / row["all"]
-        if min(estimate, least) >= target:
-            break
-    return comps if comps is not None else classes.sparkSession.createDataFrame([], "id long, comp long")
-
-
-def _pair_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of the texts of one or two blocks of a component; the texts of two blocks are only compared across."""
-    rows = rows.drop_duplicates("id")
-    one = rows["_b1"].iloc[0] == rows["_b2"].iloc[0]
-    block = rows["_block"].to_numpy()
-    left, right = (np.arange(len(rows)),) * 2 if one else (np.flatnonzero(block == rows["_b1"].iloc[0]), np.flatnonzero(block == rows["_b2"].iloc[0]))
-    sizes = rows["_set"].map(len).to_numpy()
-    values, place = np.unique(np.concatenate(rows["_set"].to_list()), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    often = np.bincount(place, minlength=len(values))
-    kept = often[place] > 1
+def compare(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Which shingle sets are alike, and their similarities: of one list among each other, or of two lists across."""
+    sets = left if right is None else left + right
+    sizes = np.array([len(x) for x in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    kept = np.bincount(place, minlength=len(values))[place] > 1
     place, owner = place[kept], owner[kept]
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    shared = np.zeros((len(rows), len(rows)), np.float32) if one else np.zeros((len(left), len(right)), np.float32)
-    for low in range(0, len(values), 4096):
-        a, b = np.searchsorted(place, [low, low + 4096])
-        if a == b:
+    a, b = (slice(None), slice(None)) if right is None else (slice(0, len(left)), slice(len(left), None))
+    shared = np.zeros((len(sizes[a]), len(sizes[b])), np.float32)
+    low = 0
+    while low < len(place):
+        high = np.searchsorted(place, place[low] + 4096)
+        seen, column = np.unique(place[low:high], return_inverse=True)
+        table = np.zeros((len(sets), len(seen)), np.float32)
+        table[owner[low:high], column] = 1
+        shared += table[a] @ table[b].T
+        low = high
+    union = sizes[a][:, None] + sizes[b][None, :] - shared
+    alike = shared * SIMILAR[1] >= union * SIMILAR[0]
+    if right is None:
+        np.fill_diagonal(alike, False)
+    return alike, shared / union
+
+
+def _compare_cells(rows: pd.DataFrame, length: int, trees: int) -> pd.DataFrame:
+    """Of each class the rows it is linked to and the links to expect, and links that join the classes of a cell."""
+    ids, links, weights, firsts, seconds = [], [], [], [], []
+    for (_, b1, b2), cell in rows.groupby(["_near", "_b1", "_b2"], sort=False):
+        sets = [np.asarray(x) for x in cell["_set"]]
+        number, count = cell["id"].to_numpy(), cell["_m"].to_numpy().astype(np.int64)
+        if b1 == b2:
+            one = two = np.arange(len(cell))
+            alike, similarity = compare(sets)
+        else:
+            block = cell["_block"].to_numpy()
+            one, two = np.flatnonzero(block == b1), np.flatnonzero(block == b2)
+            if not len(one) or not len(two):
+                continue
+            alike, similarity = compare([sets[i] for i in one], [sets[i] for i in two])
+        x, y = np.nonzero(alike)
+        if not len(x):
             continue
-        seen, column = np.unique(place[a:b], return_inverse=True)
-        table = np.zeros((len(rows), len(seen)), np.float32)
-        table[owner[a:b], column] = 1
-        shared += table[left] @ table[right].T
-    union = sizes[left][:, None] + sizes[right][None, :] - shared
-    linked = shared * SIMILAR[1] >= union * SIMILAR[0]
-    if one:
-        np.fill_diagonal(linked, False)
-    weight = rows["_m"].to_numpy().astype(np.int64)
-    ids = rows["id"].to_numpy()
-    out = [pd.DataFrame({"id": ids[left], "links": linked @ weight[right]})]
-    if not one:
-        out.append(pd.DataFrame({"id": ids[right], "links": linked.T @ weight[left]}))
-    return pd.concat(out)
+        expected = np.zeros(alike.shape)
+        expected[x, y] = 1 / (1 - (1 - similarity[x, y].astype(float) ** length) ** trees)
+        ids.append(number[one]), links.append(alike @ count[two]), weights.append(expected @ count[two])
+        if b1 != b2:
+            ids.append(number[two]), links.append(alike.T @ count[one]), weights.append(expected.T @ count[one])
+        # Of the links, those that connect what was still apart in this cell.
+        head = list(range(len(cell)))
+
+        def top(i: int) -> int:
+            while head[i] != i:
+                head[i] = head[head[i]]
+                i = head[i]
+            return i
+
+        for row in range(len(one)):
+            for other in two[np.flatnonzero(alike[row])]:
+                p, q = top(one[row]), top(other)
+                if p != q:
+                    head[max(p, q)] = min(p, q)
+                    firsts.append(number[one[row]]), seconds.append(number[other])
+    if not ids:
+        return pd.DataFrame({"id": [], "links": [], "expected": [], "other": []})
+    counts = pd.DataFrame({"id": np.concatenate(ids), "links": np.concatenate(links), "expected": np.concatenate(weights)})
+    joins = pd.DataFrame({"id": np.array(firsts, np.int64), "other": np.array(seconds, np.int64)})
+    return pd.concat([counts.assign(other=pd.NA), joins.assign(links=0, expected=0.0)]).astype({"other": "Int64"})[["id", "links", "expected", "other"]]
+
+
+def _link(docs: DataFrame, texts: DataFrame, classes: DataFrame, text: str, trees: int, depth: int, target: float) -> DataFrame:
+    """(id, links, expected, other) rows of ``_compare_cells`` at the length of prefix that reaches the target."""
+    for length in range(depth, 0, -1):
+        values = [F.xxhash64(F.lit(t), *[F.get("_sign", F.lit(t * depth + i)) for i in range(length)]) for t in range(trees)]
+        entries = classes.select("id", F.explode(F.array(*values)).alias("node"))
+        leaders = entries.groupBy("node").agg(F.min("id").alias("lead"), F.count("*").alias("_rows")).where("_rows > 1")
+        meet = entries.join(leaders, "node").where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+        near = components(meet).withColumnRenamed("comp", "_near")
+        sizes = near.groupBy("_near").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+        near = stage(near.join(sizes, "_near").join(classes.select("id", "_m"), "id"), "near")
+        sets = _shingle_sets(docs, texts, near.select("id"), text)
+        blocked = near.withColumn("_block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("_blocks")).cast("int"))
+        blocked = blocked.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        blocked = blocked.withColumns({"_b1": F.least("_block", "_other"), "_b2": F.greatest("_block", "_other")})
+        # Small groups share tasks; a pair of blocks of a large one has a task of its own.
+        shares = max(1, near.count() // TOGETHER)
+        task = F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64("_near"), F.lit(shares))).otherwise(F.xxhash64("_near", "_b1", "_b2"))
+        cells = blocked.withColumn("_task", task).join(sets, "id").select("_task", "_near", "_b1", "_b2", "_block", "id", "_m", "_set")
+
+        def compared(rows: pd.DataFrame) -> pd.DataFrame:
+            return _compare_cells(rows, length, trees)  # noqa: B023 - the frame is written in this round
+
+        found = stage(cells.groupBy("_task").applyInPandas(compared, "id long, links long, expected double, other long"), "links")
+        # Every class with links expects more of them, for those like its own that the forest misses at this length.
+        row = found.agg(F.sum("links").alias("n"), F.sum("expected").alias("all")).first()
+        estimate = min(1.0, row["n"] / row["all"]) if row["all"] else 1.0
+        if min(estimate, detection(SIMILAR[0] / SIMILAR[1], length, trees)) >= target:
+            break
+    return found
 
 
 def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int = TREES, depth: int = DEPTH, target: float = TARGET) -> DataFrame:
@@ -246,24 +241,13 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
     schema = f"{fields}, _hash long, _class long, _n long, _sign array<int>"
     signed = stage(words.mapInPandas(lambda batches: _sign(batches, trees, depth), schema), "signed")
     texts = signed.where("_class is not null").withColumnRenamed("_class", "id")
-    members = texts.select("id", "_hash")
     classes = stage(texts.groupBy("id").agg(F.count("*").alias("_m"), F.min(_key(keys)).alias("_first"), F.first("_sign").alias("_sign")), "classes")
-    sets = _Sets(docs, members, text)
-    comps = stage(_link(classes.select("id", "_sign"), sets, trees, depth, target), "comps")
+    found = _link(docs, texts.select("id", "_hash"), classes, text, trees, depth, target)
+    comps = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
     inside = stage(classes.select("id", "_m", "_first").join(comps, "id", "left"), "inside")
-    groups = inside.where("comp is not null").groupBy("comp").agg(F.min("_first").alias("group"), F.count("*").alias("_texts"))
-
-    # Links are only inside components; a component is compared block against block, without writing its pairs out.
-    several = inside.join(groups, "comp").withColumn("_blocks", F.ceil(F.col("_texts") / BLOCK).cast("int"))
-    several = several.withColumn("_block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("_blocks")).cast("int")).select("id", "_m", "comp", "_blocks", "_block")
-    met = several.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    met = met.select("id", "_m", "comp", "_block", F.least("_block", "_other").alias("_b1"), F.greatest("_block", "_other").alias("_b2"))
-    if sets.known is None:
-        counts = inside.select("id", F.lit(0).cast("bigint").alias("links")).limit(0)
-    else:
-        counts = met.join(sets.known, "id").groupBy("comp", "_b1", "_b2").applyInPandas(_pair_counts, "id long, links long")
-    links = counts.groupBy("id").agg(F.sum("links").alias("links"))
-    known = inside.join(groups.select("comp", "group"), "comp", "left").join(links, "id", "left")
+    groups = inside.where("comp is not null").groupBy("comp").agg(F.min("_first").alias("group"))
+    known = inside.join(groups, "comp", "left").join(links, "id", "left")
     known = known.select(F.col("id").alias("_class"), F.coalesce("group", "_first").alias("group"), (F.col("_m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = stage(known, "known")
     return signed.select(*keys, "_class").join(known, "_class", "left").select(
