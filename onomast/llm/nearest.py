@@ -25,7 +25,7 @@ ship(__name__)
 SAMPLE_ROWS, SAMPLE_QUERIES = 8_192, 128
 MOST_LISTS, COLUMN_BLOCK, TEST_WIDTH = 1_024, 16, 2.1
 LIST_BLOCK, QUERY_BLOCK = 4_096, 512
-SAMPLE_RECALL = 0.99
+SAMPLE_RECALL = 0.97
 
 
 def usable(vector: Column) -> Column:
@@ -69,32 +69,31 @@ def probes_needed(points: np.ndarray, centres: np.ndarray, k: int, queries: np.n
     return int(np.quantile(needed, target, method="higher")) + 1
 
 
-def scan(vectors: np.ndarray, queries: np.ndarray, turn: np.ndarray, longest: float, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(query, places of the candidates that no test has abandoned); vectors and queries are the original ones."""
+def scan(vectors: np.ndarray, queries: np.ndarray, bounds: np.ndarray, turn: np.ndarray, longest: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, candidate) pairs that no test has abandoned; vectors and queries are the original ones.
+
+    ``bounds`` holds the score of each query's k-th candidate so far, -inf if there are fewer; then the k candidates
+    that are nearest in the first column block are measured in full, and the worst of them is the bound.
+    """
     dims = turn.shape[0]
     points = lifted(vectors, longest) @ turn
     asked = np.column_stack([queries, np.zeros(len(queries))]) @ turn
-    cuts = list(range(0, dims, COLUMN_BLOCK)) + [dims]
-    first = slice(cuts[0], cuts[1])
-    head = (points[:, first] ** 2).sum(axis=1) - 2 * asked[:, first] @ points[:, first].T + (asked[:, first] ** 2).sum(axis=1)[:, None]
-    for q in range(len(asked)):
-        seen, left = np.maximum(head[q], 0), np.arange(len(points))
-        if len(points) > k:
-            # The candidates nearest so far are measured in full: the worst of them bounds what can still be wanted.
-            start = np.argpartition(seen, k - 1)[:k]
-            bound = ((points[start] - asked[q]) ** 2).sum(axis=1).max()
-            partial = seen
-            for low, high in zip(cuts[1:], cuts[2:]):
-                scale = low / dims * (1 + TEST_WIDTH / math.sqrt(low)) ** 2
-                kept = partial <= bound * scale + 1e-12
-                left, partial = left[kept], partial[kept]
-                if len(left) <= k:
-                    break
-                partial = partial + ((points[left, low:high] - asked[q, low:high]) ** 2).sum(axis=1)
-            else:
-                left = left[partial <= bound * (1 + 1e-9) + 1e-12]
-            left = np.union1d(left, start)
-        yield q, left
+    cuts = [*range(0, dims, COLUMN_BLOCK), dims]
+    first = slice(0, cuts[1])
+    partial = (points[:, first] ** 2).sum(axis=1) - 2 * asked[:, first] @ points[:, first].T + (asked[:, first] ** 2).sum(axis=1)[:, None]
+    limit = longest**2 + (queries**2).sum(axis=1) - 2 * bounds
+    for q in np.flatnonzero(np.isinf(limit)) if len(points) > k else ():
+        start = np.argpartition(partial[q], k - 1)[:k]
+        limit[q] = ((points[start] - asked[q]) ** 2).sum(axis=1).max()
+    limit = limit * (1 + 1e-9) + 1e-9
+    test = lambda low: limit * (1.0 if low == dims else low / dims * (1 + TEST_WIDTH / math.sqrt(low)) ** 2)
+    q, c = np.nonzero(partial <= test(cuts[1])[:, None])
+    left = partial[q, c]
+    for low, high in zip(cuts[1:], cuts[2:]):
+        left = left + ((points[c, low:high] - asked[q, low:high]) ** 2).sum(axis=1)
+        kept = left <= test(high)[q]
+        q, c, left = q[kept], c[kept], left[kept]
+    return q, c
 
 
 def _assign(batches: Iterator[pd.DataFrame], centres: np.ndarray, turn: np.ndarray, longest: float, probes: int) -> Iterator[pd.DataFrame]:
@@ -140,7 +139,7 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, id: str = "vec_id", ve
     sample = points.orderBy("point").limit(SAMPLE_ROWS).select("vector").toPandas()["vector"]
     turn = rotation(dims + 1)
     fitted = lifted(np.stack(sample.to_list()).astype(np.float64), longest)
-    lists = max(1, min(MOST_LISTS, round(math.sqrt(total)), len(fitted) // 8))
+    lists = max(1, min(MOST_LISTS, round(math.sqrt(total) / 2), len(fitted) // 8))
     centres = cluster(fitted @ turn, lists)
     few_queries = np.column_stack([fitted[:SAMPLE_QUERIES, :-1], np.zeros(min(SAMPLE_QUERIES, len(fitted)))])
     # The sample is sparser than the table, so that its nearest points lie further off: the probes err on the safe side.
@@ -152,7 +151,7 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, id: str = "vec_id", ve
     sizes = dealt.groupBy("list").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("blocks"))
     candidates = dealt.join(F.broadcast(sizes), "list").withColumn("block", F.pmod("point", "blocks"))
     probing = queries.mapInPandas(lambda b: _assign(b, centres, turn, longest, probes), f"vector {kind}, query long, list array<long>")
-    probing = stage(probing.withColumn("list", F.explode("list")), "probes")
+    probing = stage(probing.select("vector", "query", F.posexplode("list").alias("turn", "list")), "probes")
     asks = probing.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("parts"))
     limits = stage(sizes.join(asks, "list"), "limits")
     each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
@@ -164,22 +163,38 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, id: str = "vec_id", ve
         found = {"query": [], "score": [], "ids": []}
         if len(left) and len(right):
             vectors = np.stack(left["vector"].to_list()).astype(np.float64)
-            wanted = np.stack(right["vector"].to_list()).astype(np.float64)
             ids = left["ids"].to_numpy()
             least = np.array([i[0] for i in ids])
-            keys = right["query"].to_numpy()
-            for q, places in scan(vectors, wanted, turn, longest, k + 1):
-                scores = (vectors[places] * wanted[q]).sum(axis=1)
-                best = np.lexsort((least[places], -scores))[: k + 1]
-                found["query"] += [keys[q]] * len(best)
-                found["score"] += scores[best].tolist()
-                found["ids"] += [ids[places[b]] for b in best]
+            for low in range(0, len(right), 64):
+                some = right.iloc[low : low + 64]
+                wanted, bounds = np.stack(some["vector"].to_list()).astype(np.float64), some["bound"].to_numpy()
+                q, c = scan(vectors, wanted, bounds, turn, longest, k + 1)
+                scores = (vectors[c] * wanted[q]).sum(axis=1)
+                order = np.lexsort((least[c], -scores, q))
+                order = order[scores[order] >= bounds[q[order]]]
+                q, c, scores = q[order], c[order], scores[order]
+                # The first k + 1 of each query.
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                kept = place <= k
+                found["query"] += some["query"].to_numpy()[q[kept]].tolist()
+                found["score"] += scores[kept].tolist()
+                found["ids"] += [ids[i] for i in c[kept]]
         return pd.DataFrame(found)
 
     on = ["list", "block", "part"]
-    some = candidates.select(*on, "vector", "ids").groupBy(*on).cogroup(probing.select(*on, "vector", "query").groupBy(*on))
-    hits = some.applyInPandas(search, "query long, score double, ids array<long>")
+    dealt_out = candidates.select(*on, "vector", "ids")
+
+    def hits_of(asks: DataFrame) -> DataFrame:
+        some = dealt_out.join(asks.select(*on).distinct(), on, "left_semi").groupBy(*on)
+        return some.cogroup(asks.select(*on, "vector", "query", "bound").groupBy(*on)).applyInPandas(search, "query long, score double, ids array<long>")
+
+    # The nearest list first: its k-th score bounds what the other lists still have to offer.
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.get("ids", F.lit(0)))
+    home = hits_of(probing.where("turn = 0").withColumn("bound", F.lit(float("-inf"))))
+    home = stage(home.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1), "home")
+    bounds = home.where(F.col("_n") == k + 1).select("query", F.col("score").alias("bound"))
+    others = probing.where("turn > 0").join(bounds, "query", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    hits = home.drop("_n").unionByName(hits_of(others))
     hits = stage(hits.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1).groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("hits")), "hits")
 
     # k + 1 vectors with k + 1 ids at most: a row for each query vector, spread over the rows that ask it.
