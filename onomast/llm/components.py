@@ -9,18 +9,25 @@ from ..sources.scratch import stage
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, comp) for every id in ``links`` (a, b); comp is the smallest id of its component.
+    """(id, comp) for every id in ``links`` (a, b); comp is one id of its component, the same for all of it.
 
-    Each round, an id takes the smallest label among itself and its neighbours, and then the label of that label, so
-    that long chains shrink by half. Labels are written after each round; neither links nor labels reach the driver.
+    Each round, an id takes the smallest id among itself and its neighbours as its label, and the links between labels are
+    the next round's graph, so that the graph shrinks by a share of its ids each time. Labels are written in each round and
+    followed back at the end; neither links nor labels reach the driver. Ids should be hashes, whose order is random.
     """
-    both = stage(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
-    labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "id"), "labels")
+    graph = stage(links.select("a", "b").where("a <> b").distinct(), "links")
+    rounds = []
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("comp").alias("_near"))
-        lower = labels.join(near.withColumnRenamed("a", "id"), "id").select("id", F.col("comp").alias("_old"), F.least("comp", "_near").alias("_low"))
-        jump = labels.select(F.col("id").alias("_low"), F.col("comp").alias("_next"))
-        moved = stage(lower.join(jump, "_low", "left").select("id", "_old", F.least("_low", "_next").alias("comp")), "labels")
-        labels = moved.select("id", "comp")
-        if moved.where("comp <> _old").isEmpty():
-            return labels
+        both = graph.union(graph.select("b", "a"))
+        labels = stage(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("comp")), "labels")
+        rounds.append(labels)
+        named = graph.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("_a")), "a")
+        named = named.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("_b")), "b").where("_a <> _b")
+        graph = stage(named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
+        if graph.isEmpty():
+            break
+    comps = rounds[0]
+    for labels in rounds[1:]:
+        above = labels.select(F.col("id").alias("comp"), F.col("comp").alias("_above"))
+        comps = comps.join(above, "comp", "left").select("id", F.coalesce("_above", "comp").alias("comp"))
+    return comps

@@ -107,7 +107,7 @@ def mixtures(grams: list[np.ndarray], model: np.ndarray, rounds: int = 12, most:
     return lang, share
 
 
-def predict(texts: pd.Series, langs: list[str], model: np.ndarray, letters: np.ndarray, together: int = 1 << 20) -> pd.DataFrame:
+def predict(texts: pd.Series, langs: list[str], model: np.ndarray, letters: np.ndarray, together: int = 1 << 18) -> pd.DataFrame:
     """Language and score of each text; texts are worked on in runs of about ``together`` characters."""
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     grams, rows, held = [], [], 0

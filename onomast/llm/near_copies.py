@@ -11,7 +11,6 @@ joins a group, never the pairs themselves.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
-from .common import WORD, ship
+from .common import WORD, arrow_batches, ship
 from .components import components
 
 ship(__name__)
@@ -122,7 +121,8 @@ def _shingle_sets(docs: DataFrame, texts: DataFrame, ids: DataFrame, text: str)
     found = docs.select(_text_hash(text).alias("_hash"), F.col(text).alias("_text"))
     found = found.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, "_hash")
     found = found.groupBy("id").agg(F.first("_text").alias("_text")).select("id", word_hashes(F.col("_text")).alias("_words"))
-    return stage(found.mapInPandas(_shingle_rows, "id long, _set array<long>"), "sets")
+    with arrow_batches(docs.sparkSession, 1_000):
+        return stage(found.mapInPandas(_shingle_rows, "id long, _set array<long>"), "sets")
 
 
 def compare(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +239,8 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
     words = docs.select(*keys, _text_hash(text).alias("_hash"), word_hashes(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
     fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{fields}, _hash long, _class long, _n long, _sign array<int>"
-    signed = stage(words.mapInPandas(lambda batches: _sign(batches, trees, depth), schema), "signed")
+    with arrow_batches(docs.sparkSession, 1_000):
+        signed = stage(words.mapInPandas(lambda batches: _sign(batches, trees, depth), schema), "signed")
     texts = signed.where("_class is not null").withColumnRenamed("_class", "id")
     classes = stage(texts.groupBy("id").agg(F.count("*").alias("_m"), F.min(_key(keys)).alias("_first"), F.first("_sign").alias("_sign")), "classes")
     found = _link(docs, texts.select("id", "_hash"), classes, text, trees, depth, target)

@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from .common import ship
+from .common import arrow_batches, ship
 
 ship(__name__)
 
-CACHED, KEPT_LENGTH, TOGETHER = 800_000, 48, 500
+CACHED, KEPT_LENGTH, TOGETHER = 400_000, 48, 500
 
 
 class Encoder:
@@ -146,7 +146,8 @@ def pack(docs: DataFrame, tokenizer: str, carried: list[str], text: str = "text"
         lambda batches: _tokenise(batches, tokenizer, kind, end_id), ", ".join(filter(None, [fields, "_part long, _before long, doc_tokens long, _ids binary"]))
     )
     path = scratch_path(spark, "ids")
-    first.write.option("compression", "zstd").parquet(path)
+    with arrow_batches(spark, 2_000):
+        first.write.option("compression", "zstd").parquet(path)
     staged = spark.read.schema(first.schema).parquet(path)
 
     # One number for each task of the first pass: that bounds what is summed in order and broadcast.
