@@ -140,4 +140,5 @@ def language_column(text: Column, langs: list[str], model: np.ndarray) -> Column
         for texts in batches:
             yield predict(texts, langs, model, letters)
 
-    return identify(text)
+    # Marked so that a plan which filters by the result does not work it out twice.
+    return identify.asNondeterministic()(text)

@@ -23,7 +23,8 @@ from .common import arrow_batches, ship
 
 ship(__name__)
 
-CACHED, KEPT_LENGTH, TOGETHER = 400_000, 48, 500
+#: Chunks that a worker knows, the longest of them, those that outlast a full table, and new ones encoded at a time.
+CACHED, KEPT_LENGTH, COMMON_LENGTH, TOGETHER = 500_000, 48, 8, 500
 
 
 class Encoder:
@@ -68,9 +69,12 @@ class Encoder:
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > CACHED:
+            # Frequent words are short.
+            self.known = {c: ids for c, ids in self.known.items() if len(c) <= COMMON_LENGTH}
+            if len(self.known) > CACHED // 2:
+                self.known = {}
         known = self.known
-        if len(known) > CACHED:
-            known.clear()
         odd = [i for i, t in enumerate(texts) if self.ODD.search(t)]
         split = [self.CHUNK.findall(t) for t in texts]
         new = set().union(*split).difference(known)

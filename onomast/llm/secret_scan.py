@@ -169,7 +169,7 @@ def scan_column(text: Column) -> Column:
     def scan(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in find_spans(t or "")] for t in texts], dtype=object)
 
-    return scan(text)
+    return scan.asNondeterministic()(text)
 
 
 def scan_secrets(docs: DataFrame, carried: list[str], text: str = "text") -> DataFrame:
@@ -188,5 +188,6 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]")
         for texts in batches:
             yield pd.Series([t if t is None or not (s := find_spans(t)) else redacted(t, s, mark) for t in texts], dtype=object)
 
-    replace = F.pandas_udf(clean, "string")
+    # Marked so that a plan which uses the result twice does not work it out twice.
+    replace = F.pandas_udf(clean, "string").asNondeterministic()
     return docs.withColumn(text, replace(F.col(text))).select(*schema.names)
