@@ -25,5 +25,5 @@ def gender_code(c: Column) -> Column:
     code = None
     for gender, number in GENDER_CODES.items():
         code = F.when(c == gender, F.lit(number)) if code is None else code.when(c == gender, F.lit(number))
-    message = F.concat(F.lit("Unsupported gender value: "), F.coalesce(c, F.lit("null")))
+    message = F.concat(F.lit("no code for the gender "), F.coalesce(c, F.lit("null")))
     return code.otherwise(F.raise_error(message))

@@ -27,12 +27,14 @@ def json_all_or_nothing(c: Column, required: str, defaults: dict[str, str], miss
     """Several text fields of a JSON object as a struct.
 
     A field that is absent takes its value from ``missing``. If the reply cannot be read, or ``required`` is there
-    but null, all fields take their value from ``defaults`` and the field ``ok`` is false.
+    but null or no text, all fields take their value from ``defaults`` and the field ``ok`` is false.
     """
     parsed = _object(c, ", ".join(f"`{f}` string" for f in defaults))
     keys = _keys(c)
+    # Read as a map of raw JSON values, a text is the one kind that stands in quotes.
+    kind = F.schema_of_variant(_object(c, f"`{required}` variant")[required])
     usable = keys.isNotNull() & parsed.isNotNull() & (
-        parsed[required].isNotNull() | ~F.array_contains(keys, required)
+        (parsed[required].isNotNull() & F.coalesce(kind == "STRING", F.lit(False))) | ~F.array_contains(keys, required)
     )
     fields = [
         F.when(usable, F.coalesce(parsed[f], F.lit(missing[f]))).otherwise(F.lit(default)).alias(f)

@@ -31,6 +31,7 @@ DEFAULT_DESCRIPTION = "Nombre de origen %s."
 FAILED_PRONUNCIATION = {"spanish": "fácil", "foreign": "difícil", "explanation": "Sin información."}
 MISSING_PRONUNCIATION = {"spanish": "fácil", "foreign": "difícil", "explanation": ""}
 
+# The names of the new columns.
 NEW_COLUMNS = [
     "Family_Origin",
     "Name_Description",
@@ -43,20 +44,20 @@ TASKS = ("origin", "description", "pronunciation")
 
 PROMPTS = {
     "origin": (
-        "¿De qué lengua o cultura procede el nombre «{name}»? En un nombre de varias palabras cuenta la que venga de "
-        "más lejos; si mezcla inglés y español, responde Latinoamericano. Elige un solo valor de esta lista: "
+        "Valores posibles: "
         + "; ".join(ORIGINS)
-        + '. Responde solo con un objeto JSON con la clave "origin".'
+        + '. Asigna uno de ellos al nombre «{name}» y devuélvelo como JSON, en el campo "origin". La mezcla de inglés y español '
+        "cuenta como Latinoamericano; en los nombres compuestos manda la palabra de procedencia más lejana."
     ),
     "description": (
-        "El nombre «{name}» es de origen {origin}. Cuenta en un párrafo de texto sin formato, de 150 palabras como mucho, "
-        "qué significa, de dónde viene, quién lo ha llevado y qué formas tiene en otras lenguas. Calla lo que no sepas."
+        "Escribe una nota breve y seguida, sin títulos ni listas, para una ficha del nombre «{name}», clasificado como "
+        "{origin}. Debe servir a quien lo ve por primera vez y contener solo datos seguros; si hay pocos, que sea corta."
     ),
     "pronunciation": (
-        "¿Cuánto cuesta pronunciar el nombre «{name}» (origen: {origin})? Valora por separado a quien habla español y a "
-        "quien no, con uno de estos niveles: "
+        "Ficha de lectura en voz alta. Nombre: «{name}». Clasificación: {origin}. Niveles posibles: "
         + ", ".join(DIFFICULTIES)
-        + '. Responde solo con un objeto JSON con las claves "spanish", "foreign" y "explanation".'
+        + '. Devuelve JSON y nada más: "explanation" con una frase, "foreign" con el nivel de un lector extranjero y '
+        '"spanish" con el de un lector español.'
     ),
 }
 
@@ -78,19 +79,36 @@ def build_prompt(task: str, name: Column, origin: Column | None = None) -> Colum
 class CallProvider:
     """Answers by calling ``answer(task, name, prompt)``, which must be picklable, on the executors.
 
-    Up to ``max_concurrent`` calls run at a time, on all cores together. A call that raises has no reply. A task that is
-    lost repeats its own calls, so there are ``tasks_per_core`` short tasks rather than one long one.
+    Tasks times calls at a time in each never exceed ``max_concurrent``, however many cores the cluster has or gets. A
+    call that raises has no reply. With a ``folder``, replies are kept there, and a later run only asks for what has none.
     """
 
     answer: Callable[[str, str | None, str], str | None]
     max_concurrent: int = 8
-    tasks_per_core: int = 8
+    folder: str | None = None
 
     def split(self, cores: int) -> tuple[int, int]:
-        """Number of tasks and of calls at a time in each. Fewer calls than cores means as many tasks as calls."""
-        if self.max_concurrent < cores:
-            return max(1, self.max_concurrent), 1
-        return cores * self.tasks_per_core, self.max_concurrent // cores
+        """Number of tasks and of calls at a time in each."""
+        tasks = max(1, min(cores, self.max_concurrent))
+        return tasks, max(1, self.max_concurrent // tasks)
+
+    def kept(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
+        """The replies, written down before they are used, so that nothing later in the plan asks again."""
+        if self.folder is None:
+            return stage(self.replies(asked, key, tasks), "-".join(tasks))
+        spark, path = asked.sparkSession, f"{self.folder.rstrip('/')}/{'-'.join(tasks)}"
+        schema = StructType([StructField(f.name, f.dataType, True) for f in asked.select(key, *tasks).schema])
+
+        def known() -> DataFrame:
+            rows = spark.read.schema(schema).parquet(path).where(" and ".join(f"`{t}` is not null" for t in tasks))
+            return rows.groupBy(key).agg(F.min(F.struct(*tasks)).alias("_r")).select(F.col(key).alias("_key"), "_r.*")
+
+        # An empty first write makes the folder; appended files are complete replies of earlier runs.
+        asked.sparkSession.createDataFrame([], schema).write.mode("append").parquet(path)
+        new = asked.join(known(), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        self.replies(new, key, tasks).select(key, *tasks).write.mode("append").parquet(path)
+        rows = asked.drop(*tasks).join(known(), F.col(key).eqNullSafe(F.col("_key")), "left")
+        return rows.select(asked.columns)
 
     def replies(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
         """Replace the prompts in the columns named like the tasks by the replies."""
@@ -117,14 +135,20 @@ class CallProvider:
 
 @dataclass
 class LookupProvider:
-    """Answers from a table of raw replies with a key column and one column per task."""
+    """Answers from a table of raw replies with a key column and one column per task.
+
+    Of several replies for a key, the last by ``order`` counts; without such a column, the largest.
+    """
 
     table: DataFrame
     key: str = "key"
     suffix: str = "_raw"
+    order: str | None = None
 
     def replies(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
-        known = self.table.select(F.col(self.key).alias(key), *[F.col(f"{t}{self.suffix}").alias(t) for t in tasks])
+        said = F.struct(*[F.col(f"{t}{self.suffix}").alias(t) for t in tasks])
+        one = F.max(said) if self.order is None else F.max_by(said, self.order)
+        known = self.table.groupBy(F.col(self.key).alias(key)).agg(one.alias("_said")).select(key, "_said.*")
         return lookup_join(asked.drop(*tasks), known, key).select(asked.columns)
 
 
@@ -194,24 +218,21 @@ def parse_replies(replies: DataFrame, key: str) -> DataFrame:
 
 
 def enrich(df: DataFrame, key: str, provider: Provider) -> DataFrame:
-    """Add origin, description and pronunciation of the name in ``key``; rows and columns stay as they are.
+    """Add origin, description and pronunciation of the name in ``key``; rows and other columns stay as they are.
 
-    Each different name is asked about once. The origin comes first, as both other prompts name it. Called replies are
-    written down before they are used, so that nothing later in the plan asks again.
+    Each different name is asked about once. The origin comes first, as both other prompts name it. Columns of an earlier
+    enrichment are replaced.
     """
-    called = isinstance(provider, CallProvider)
+    replies = provider.kept if isinstance(provider, CallProvider) else provider.replies
+    df = df.drop(*NEW_COLUMNS)
     keys = df.select(key).distinct()
     asked = keys.withColumn("origin", build_prompt("origin", F.col(key)))
-    first = provider.replies(asked, key, ("origin",))
-    if called:
-        first = stage(first, "origins")
+    first = replies(asked, key, ("origin",))
     origins = first.select(key, parse_origin(F.col("origin")).alias("Family_Origin"))
     asked = origins.withColumns(
         {t: build_prompt(t, F.col(key), F.col("Family_Origin")) for t in ("description", "pronunciation")}
     )
-    second = provider.replies(asked, key, ("description", "pronunciation"))
-    if called:
-        second = stage(second, "replies")
+    second = replies(asked, key, ("description", "pronunciation"))
     answers = parse_replies(second, key).withColumnRenamed(key, "_key")
     return lookup_join(df, answers, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 

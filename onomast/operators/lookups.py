@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from .joins import lookup_join
 
 
-def lookup_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str) -> DataFrame:
-    """Add the lookup's value, or the default where the key is unknown. The planner knows the size of a table on disk."""
-    return df.join(lookup.select(on, value), on, "left").withColumn(value, F.coalesce(value, F.lit(default)))
+def lookup_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str, order_by: str | None = None) -> DataFrame:
+    """Add the lookup's value, or the default where the key is unknown; no row is multiplied.
+
+    Of several values for a key the last by ``order_by`` counts; without such a column, the largest.
+    """
+    one = F.max(value) if order_by is None else F.max_by(value, order_by)
+    known = lookup.groupBy(on).agg(one.alias(value))
+    return df.join(known, on, "left").withColumn(value, F.coalesce(value, F.lit(default)))
 
 
 def last_of_each(variant: str, value: str, variants: list[str], order_by: str) -> list[Column]:

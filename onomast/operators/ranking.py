@@ -12,15 +12,26 @@ from .joins import lookup_join
 
 ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 20_000
-HOT_GROUPS = 10_000
 TOP_ROWS = 1_000
+TREE_TASKS = 64
 COPY_SAMPLE = 200_000
 
 _PART, _AT, _COPIES, _START = "_part", "_at", "_copies", "_start"
 _DIRECTIONS = {"asc": F.asc_nulls_last, "desc": F.desc_nulls_last}
 
 
-def ordering(value: str, ties: list[str], direction: str = "desc") -> list[Column]:
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and grouped by; maps and variants cannot."""
+    return [f.name for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+
+
+def without_nan(df: DataFrame, value: str) -> Column:
+    """A value to sort by in which NaN is missing."""
+    floating = df.schema[value].dataType.typeName() in ("float", "double")
+    return F.when(~F.isnan(value), F.col(value)) if floating else F.col(value)
+
+
+def ordering(value: str | Column, ties: list[str], direction: str = "desc") -> list[Column]:
     """Sort order by a value, nulls last, then by the tie columns ascending."""
     return [_DIRECTIONS[direction](value), *[F.asc_nulls_last(t) for t in ties]]
 
@@ -37,7 +48,7 @@ def _by_window(df: DataFrame, by: list[str], order: list[Column], out: str) -> D
     if not by:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     present = _all_present(by)
-    spread = F.when(~present, F.xxhash64(*df.columns))
+    spread = F.when(~present, F.xxhash64(*hashable(df)))
     number = F.row_number().over(Window.partitionBy(*by, _PART).orderBy(*order)).cast("bigint")
     return df.withColumn(_PART, spread).withColumn(out, F.when(present, number)).drop(_PART)
 
@@ -59,7 +70,8 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
     """
     columns = df.columns
     sort = [*[F.asc_nulls_last(b) for b in by], *order]
-    copies = _has_hot_copies(df, list(dict.fromkeys([*by, *keys])), rows, rows_per_task)
+    # Rows with maps cannot be counted as copies; they are told apart by their order alone.
+    copies = hashable(df) == columns and _has_hot_copies(df, list(dict.fromkeys([*by, *keys])), rows, rows_per_task)
     if copies:
         # No range parts rows that sort alike: equal rows become one with their number, others are told apart by a hash.
         df = df.groupBy(*columns).agg(F.count("*").alias(_COPIES))
@@ -76,7 +88,8 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
     parts = ranged.groupBy(*by, _PART).agg(weight.alias("_rows"), F.min(_AT).alias("_first"))
     earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn(_START, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    joined = lookup_join(ranged, parts.drop("_rows"), [*by, _PART], "inner", MAX_RANGES + HOT_GROUPS)
+    # Written, so that the planner sees its real size: a line for each range and group.
+    joined = ranged.join(stage(parts.drop("_rows"), "shifts"), [*by, _PART])
     if not copies:
         number = F.col(_START) + F.col(_AT) - F.col("_first") + 1
         return joined.select(*columns, number.alias(out))
@@ -104,7 +117,7 @@ def number_rows(
 
     ``keys`` names the columns that ``order`` uses. ``plan="window"`` gives each group to one task,
     ``plan="range"`` spreads every group over ranges of the sort order. ``"auto"`` counts the groups first and uses
-    ranges for those of more than ``rows_per_task`` rows. All plans give the same numbers.
+    ranges if one of them has more than ``rows_per_task`` rows. All plans give the same numbers and take the same columns.
     """
     by = by or []
     if plan == "window":
@@ -122,16 +135,12 @@ def number_rows(
         numbered = _by_ranges(grouped, by, order, keys, out, grouped.count(), rows_per_task)
         return numbered.unionByName(df.where(~_all_present(by)).withColumn(out, F.lit(None).cast("bigint")))
 
-    # The largest groups, at most HOT_GROUPS of them: any other group has less than 1/HOT_GROUPS of all rows.
-    sizes = grouped.groupBy(*by).agg(F.count("*").alias("_rows"))
-    largest = sizes.where(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *by).limit(HOT_GROUPS).collect()
-    if not largest:
+    # One group that is too large for a task puts the whole table into ranges: no list of such groups is kept anywhere.
+    most, total = grouped.groupBy(*by).agg(F.count("*").alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
+    if (most or 0) <= rows_per_task:
         return _by_window(df, by, order, out)
-    hot = df.sparkSession.createDataFrame([tuple(r[b] for b in by) for r in largest], df.select(*by).schema)
-    hot_rows = grouped.join(F.broadcast(hot), by, "left_semi")
-    numbered = _by_ranges(hot_rows, by, order, keys, out, sum(r["_rows"] for r in largest), rows_per_task)
-    others = df.join(F.broadcast(hot), by, "left_anti")
-    return numbered.unionByName(_by_window(others, by, order, out))
+    numbered = _by_ranges(grouped, by, order, keys, out, total, rows_per_task)
+    return numbered.unionByName(df.where(~_all_present(by)).withColumn(out, F.lit(None).cast("bigint")))
 
 
 def sort_rows(df: DataFrame, order: list[Column], keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -147,7 +156,7 @@ def rank_in_group(
     df: DataFrame, by: str, value: str, ties: list[str], out: str = "Popularity", plan: str = "auto", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Rank by falling value in each group; ranks are unique, ties go by ``ties``; no rank without a group."""
-    return number_rows(df, ordering(value, ties), [value, *ties], out, [by], plan, rows_per_task)
+    return number_rows(df, ordering(without_nan(df, value), ties), [value, *ties], out, [by], plan, rows_per_task)
 
 
 def top_n_per_group(df: DataFrame, by: str, value: str, n: int, ties: list[str], out: str = "rank") -> DataFrame:
@@ -155,25 +164,31 @@ def top_n_per_group(df: DataFrame, by: str, value: str, n: int, ties: list[str],
     present = df.where(F.col(by).isNotNull())
     if n > TOP_ROWS:
         return rank_in_group(present, by, value, ties, out).where(F.col(out) <= n)
-    window = Window.partitionBy(by).orderBy(*ordering(value, ties))
+    window = Window.partitionBy(by).orderBy(*ordering(without_nan(df, value), ties))
     return present.withColumn(out, F.row_number().over(window)).where(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
 
 
 def limit_head(df: DataFrame, n: int | None, order: list[Column], keys: list[str]) -> DataFrame:
     """The first ``n`` rows in the given order; all rows for None.
 
-    A short list is one pass in which every task keeps ``n`` rows; a long one is cut from the row numbers.
+    A short list is a tree: every task keeps ``n`` rows, the tasks of a bucket (about the square root of the tasks) ``n``
+    together, and one task ``n`` of the buckets' rows. A long one is cut from the row numbers. ``n`` below 0 means all rows.
     """
-    if n is None:
+    if n is None or n < 0:
         return sort_rows(df, order, keys)
-    if n <= TOP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return number_rows(df, order, keys, _AT).where(F.col(_AT) <= n).drop(_AT)
+    if n > TOP_ROWS:
+        return number_rows(df, order, keys, _AT).where(F.col(_AT) <= n).drop(_AT)
+    tasks = df.rdd.getNumPartitions()
+    if tasks > TREE_TASKS:
+        bucket = Window.partitionBy(_PART).orderBy(*order)
+        df = df.withColumn(_PART, F.spark_partition_id() % math.isqrt(tasks)).withColumn(_AT, F.row_number().over(bucket))
+        df = df.where(F.col(_AT) <= n).drop(_AT, _PART)
+    return df.orderBy(*order).limit(n)
 
 
 def top_k(df: DataFrame, value: str, n: int | None, ties: list[str]) -> DataFrame:
     """The ``n`` rows with the largest values."""
-    return limit_head(df, n, ordering(value, ties), [value, *ties])
+    return limit_head(df, n, ordering(without_nan(df, value), ties), [value, *ties])
 
 
 def distinct_by_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -7,35 +7,48 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import limit_head, number_rows
+from ..sources.readers import FILE_ORDER
+from .ranking import hashable, limit_head, number_rows
 
-_DRAW = "_draw"
+_DRAW, _REST = "_draw", "_rest"
 
 
-def draw_key(key: str, seed: int) -> Column:
-    """Random-looking sort key of a row, fixed by seed and row key."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+def draw_key(key: str | list[str], seed: int) -> Column:
+    """Random-looking sort key of a row, fixed by seed and the row's key columns; a null has a draw like any other value."""
+    keys = [key] if isinstance(key, str) else key
+    typed = [F.coalesce(F.col(k).cast("string"), F.lit("\x00null")) for k in keys]
+    return F.md5(F.concat_ws("\x1f", F.concat(F.lit(f"{seed}:"), typed[0]), *typed[1:]))
 
 
-def shuffle_rows(df: DataFrame, key: str, seed: int, out: str = "position", **plan) -> DataFrame:
+def _drawn(df: DataFrame, key: str | list[str], seed: int) -> tuple[DataFrame, list[Column], list[str]]:
+    """The frame with its draws, and what to sort by: rows with one key are told apart by a draw over all their columns."""
+    keys, whole = [key] if isinstance(key, str) else key, hashable(df)
+    drawn = df.withColumns({_DRAW: draw_key(keys, seed), _REST: F.xxhash64(F.lit(seed), *whole)})
+    return drawn, [F.asc(_DRAW), *[F.asc_nulls_last(k) for k in keys], F.asc(_REST)], [_DRAW, *keys, _REST]
+
+
+def shuffle_rows(df: DataFrame, key: str | list[str], seed: int, out: str = "position", **plan) -> DataFrame:
     """All rows with their place in a random order."""
-    drawn = df.withColumn(_DRAW, draw_key(key, seed))
-    return number_rows(drawn, [F.asc(_DRAW), F.asc(key)], [_DRAW, key], out, **plan).drop(_DRAW)
+    drawn, order, keys = _drawn(df, key, seed)
+    return number_rows(drawn, order, keys, out, **plan).drop(_DRAW, _REST)
 
 
-def sample_rows(df: DataFrame, mode: str, n: int | None, key: str, seed: int | None = None) -> DataFrame:
-    """Choose rows by ``mode``.
+def sample_rows(df: DataFrame, mode: str, n: int | None, key: str | list[str], seed: int | None = None) -> DataFrame:
+    """Choose rows by ``mode``; ``key`` names the columns that tell rows apart, as rows with one key are drawn together.
 
-    ``all``: every row. ``sequential``: the first ``n`` by ``key``, all for None or ``n ≤ 0``. ``random``: exactly ``n``
-    rows without replacement, all in random order for None; without a seed, one is drawn.
+    ``all``: every row. ``sequential``: the first ``n`` in file order, if ``with_file_order`` has added it, or else by
+    ``key``; all for None or ``n ≤ 0``. ``random``: exactly ``n`` rows without replacement, all in random order for None;
+    without a seed, one is drawn.
     """
+    keys = [key] if isinstance(key, str) else key
     if mode == "all" or (mode == "sequential" and (n is None or n <= 0)):
         return df
     if mode == "sequential":
-        return limit_head(df, n, [F.asc(key)], [key])
+        first = [FILE_ORDER] if FILE_ORDER in df.columns else keys
+        return limit_head(df, n, [F.asc_nulls_last(k) for k in first], first)
     if mode != "random":
         raise ValueError(f"mode must be 'all', 'sequential' or 'random', not {mode!r}")
     if n is not None and n <= 0:
         raise ValueError(f"a random sample needs a positive size, not {n}")
-    drawn = df.withColumn(_DRAW, draw_key(key, random.randrange(1 << 31) if seed is None else seed))
-    return limit_head(drawn, n, [F.asc(_DRAW), F.asc(key)], [_DRAW, key]).drop(_DRAW)
+    drawn, order, names = _drawn(df, keys, random.randrange(1 << 31) if seed is None else seed)
+    return limit_head(drawn, n, order, names).drop(_DRAW, _REST)

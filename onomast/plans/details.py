@@ -39,7 +39,7 @@ def decade_series(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 def region_rates(payloads: DataFrame, regions: DataFrame, view: str, mode: str = "FAILFAST") -> DataFrame:
     """Named regions with their rates out of region payloads."""
     if view not in REGION_TYPES:
-        raise ValueError(f"Unsupported vista value: {view}")
+        raise ValueError(f"view must be one of {sorted(REGION_TYPES)}, not {view!r}")
     rows = explode_regions(parse_regions(_checked(payloads), mode=mode))
     named = lookup_default(rows, regions, "region_id", "region_name", UNKNOWN_REGION)
     return named.withColumn("region_type", F.lit(REGION_TYPES[view]))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.enrich import Provider, enrich
+from ..operators.ranking import hashable
 from ..operators.sampling import sample_rows
+from ..sources.readers import FILE_ORDER
 from ..sources.writers import write_records
 
 
@@ -16,13 +18,15 @@ def enrich_names(
     n: int | None = None,
     seed: int | None = None,
     key: str = "Nombre",
-    draw_by: str | None = None,
+    draw_by: str | list[str] | None = None,
 ) -> DataFrame:
     """Chosen rows with the five new columns.
 
-    ``draw_by`` is the column that tells rows apart and orders them (by default the name).
+    ``draw_by`` names the columns that tell rows apart and order them, by default the name and then all others. Names that
+    come straight from a scan are taken in file order, if ``with_file_order`` has added it.
     """
-    return enrich(sample_rows(names, mode, n, draw_by or key, seed), key, provider)
+    others = [c for c in hashable(names) if c not in (key, FILE_ORDER)]
+    return enrich(sample_rows(names, mode, n, draw_by or [key, *others], seed).drop(FILE_ORDER), key, provider)
 
 
 def write_enriched(enriched: DataFrame, path: str) -> bool:

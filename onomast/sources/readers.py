@@ -40,8 +40,8 @@ def spread_small(df: DataFrame) -> DataFrame:
 
 def require_inputs(df: DataFrame, where: str) -> DataFrame:
     """The scan as it is, or ``ValueError`` if it found no file."""
-    if not df.inputFiles():
-        raise ValueError(f"No data files were found in {where}")
+    if not df.rdd.getNumPartitions():
+        raise ValueError(f"there is no file to read in {where}")
     return df
 
 
@@ -57,36 +57,44 @@ def _open(reader, path: str, source: str) -> DataFrame:
         return require_inputs(reader.format(source).load(path), path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise ValueError(f"No data files were found in {path}") from None
+            raise ValueError(f"there is no file to read in {path}") from None
         raise
 
 
 def scan_csv(
     spark: SparkSession, path: str, schema: StructType | str, sep: str = ",", glob: str | None = None, multiline: bool = False
 ) -> DataFrame:
-    """Delimited files with a header; the schema's names replace the header's. A bad value is an error.
+    """Delimited files with a header; the schema's columns are found by their names in it. A bad value is an error.
 
-    ``multiline`` allows line breaks inside quotes; such files cannot be split, so keep them small.
+    Columns that the schema does not name are left out, one that no header has is a ``ValueError``. ``multiline`` allows
+    line breaks inside quotes; such files cannot be split, so keep them small.
     """
-    reader = spark.read.schema(schema).options(
-        sep=sep, header=True, escape='"', mode="FAILFAST", enforceSchema=True, multiLine=multiline
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return _open(reader, path, "csv")
+    raw = scan_csv_strings(spark, path, sep, multiline, glob)
+    wanted = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    lacking = [f.name for f in wanted if f.name not in raw.columns]
+    if lacking:
+        raise ValueError(f"the header of {path} has no column {', '.join(lacking)}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
-def scan_csv_strings(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False) -> DataFrame:
-    """Delimited files with a header, every column a string under its name in the header."""
-    reader = spark.read.options(sep=sep, header=True, inferSchema=False, escape='"', multiLine=multiline)
-    return _open(reader, path, "csv")
+def scan_csv_strings(
+    spark: SparkSession, path: str, sep: str = ",", multiline: bool = False, glob: str | None = None
+) -> DataFrame:
+    """Delimited files with a header, every column a string under its name in the header.
+
+    The header is read once. A file with another header, and a row with more or fewer fields, is an error.
+    """
+    options = {"sep": sep, "header": True, "escape": '"', "multiLine": multiline} | ({"pathGlobFilter": glob} if glob else {})
+    names = _open(spark.read.options(inferSchema=False, **options), path, "csv").schema
+    strict = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
+    return _open(spark.read.schema(names).options(**options, **strict), path, "csv")
 
 
 def scan_headerless(
     spark: SparkSession, path: str, schema: StructType | str, glob: str | None = None, recursive: bool = False
 ) -> DataFrame:
     """Comma files without a header as one table, in one scan. A bad value is an error; no file is a ``ValueError``."""
-    reader = spark.read.schema(schema).options(header=False, mode="FAILFAST", recursiveFileLookup=recursive)
+    reader = spark.read.schema(schema).options(header=False, escape='"', mode="FAILFAST", recursiveFileLookup=recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return _open(reader, path, "csv")
@@ -99,7 +107,8 @@ def with_path_int(df: DataFrame, name: str, pattern: str) -> DataFrame:
 
 def scan_delimited_rename(spark: SparkSession, path: str, names: list[str], sep: str = ";") -> DataFrame:
     """Delimited files with a header, all columns strings and renamed by position."""
-    return scan_csv(spark, path, ", ".join(f"`{n}` string" for n in names), sep=sep)
+    reader = spark.read.schema(", ".join(f"`{n}` string" for n in names))
+    return _open(reader.options(sep=sep, header=True, escape='"', mode="FAILFAST", enforceSchema=True), path, "csv")
 
 
 def _drop_preamble(skip: int):
@@ -130,7 +139,8 @@ def scan_tagged_sheets(
     """Delimited sheets that start with ``skip`` lines and a header, as one table with the tag of their sheet.
 
     ``tags`` maps the sheet's label, which is part of the file's path, to the tag. Files are read in splits; only the
-    split that starts a file has lines to leave out. No line break may stand inside a quoted field.
+    split that starts a file has lines to leave out. No line break may stand inside a quoted field. A file without a known
+    label is an error.
     """
     lines = _open(spark.read, path, "text").select(
         "value",
@@ -140,6 +150,7 @@ def scan_tagged_sheets(
     body = lines.mapInArrow(_drop_preamble(skip + 1), lines.schema)
     label = F.regexp_extract("file", "/(" + "|".join(tags) + r")[^/]*(/[^/]*)?$", 1)
     sheet = F.element_at(F.create_map(*[F.lit(x) for pair in tags.items() for x in pair]), label)
+    sheet = F.coalesce(sheet, F.raise_error(F.concat(F.lit("no known label in the path of "), F.col("file"))))
     text = schema if isinstance(schema, str) else schema.toDDL()
     row = F.from_csv("value", F.lit(text), {"sep": sep, "escape": '"', "mode": "FAILFAST"})
     return body.where(F.col("value") != "").select(row.alias("row"), sheet.alias(tag)).select("row.*", tag)

