@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.enrich import CallProvider, RuleProvider, enrich
 from ..plans.details import decade_series, estimate_regions, name_details
 from ..plans.enrichment import enrich_names
-from ..plans.names import COUNT, GENDER, NAME, build_names_base, process_names, young_popular_names
+from ..plans.names import COUNT, GENDER, NAME, build_names_base, process_names, young_popular_names, young_popular_profile
 from ..plans.national import us_national, us_state
 from ..plans.population import load_population, municipality_lookup, place_lookup
 from ..sources.writers import write_headerless
@@ -54,6 +54,24 @@ def young_popular_names_query(t: Tables):
     return young_popular_names(process_names(names_base(t))).withColumn("Percentage", F.round("Percentage", 6))
 
 
+def _profile_sql(scope: str, rows: str) -> str:
+    return f"""SELECT '{scope}' AS scope, "Gender", count(*) AS rows, min("Edad Media (*)") AS min_age, max("Edad Media (*)") AS max_age,
+    min("Frecuencia") AS min_count, max("Frecuencia") AS max_count, count(*) FILTER ("Is_Compound") AS compound
+    FROM ({rows}) GROUP BY ROLLUP ("Gender")"""
+
+
+_YOUNG_SQL = f'SELECT * FROM ({PROCESSED_SQL}) WHERE "Edad Media (*)" < 40'
+_CHOSEN_SQL = f'{_YOUNG_SQL} ORDER BY "Frecuencia" DESC, "Nombre", "Gender" LIMIT 50'
+
+
+@query(
+    "young_popular_profile",
+    " UNION ALL ".join([_profile_sql("all", PROCESSED_SQL), _profile_sql("young", _YOUNG_SQL), _profile_sql("chosen", _CHOSEN_SQL)]),
+)
+def young_popular_profile_query(t: Tables):
+    return young_popular_profile(process_names(names_base(t)))
+
+
 @query("decade_series", DECADES_SQL)
 def decade_series_query(t: Tables):
     return decade_series(series_payloads(t))

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.codes import gender_alias, gender_code
 from ..functions.numbers import rate_to_count, round_count
 from ..functions.text import build_key
-from ..operators.joins import lookup_join
 from ..operators.lookups import first_of, lookup_default
-from ..operators.matching import Request, match_requests
+from ..operators.matching import ORDER, Request, match_requests
 from ..operators.ranking import sort_rows
 from ..operators.series import explode_regions, explode_series
-from ..sources.readers import parse_regions, parse_series
+from ..sources.readers import FILE_ORDER, parse_regions, parse_series
+from ..sources.scratch import stage
 from ..sources.writers import write_records
 from .population import VARIANTS, only_municipalities, place_key, province_lookup
 
@@ -79,8 +79,8 @@ def estimate_regions(
 
 
 def sort_records(records: DataFrame) -> DataFrame:
-    """Sort by type and id of the region; name and gender keep a region of many rows from filling one task."""
-    keys = ["region_type", "region_id", "nombre", "gender"]
+    """Sort by request, if there are requests, then by type and id of the region; name and gender keep a region of many rows from filling one task."""
+    keys = [*([ORDER] if ORDER in records.columns else []), "region_type", "region_id", "nombre", "gender"]
     return sort_rows(records, [F.asc(k) for k in keys], keys)
 
 
@@ -99,27 +99,37 @@ def name_details(
 ) -> dict[str, DataFrame]:
     """Decades, municipalities and provinces of the chosen names, out of the landed payloads.
 
-    ``region_payloads`` has a column ``vista`` (``muni`` or ``prov``), ``regions`` a map table for each.
+    ``region_payloads`` has a column ``vista`` (``muni`` or ``prov``), ``regions`` a map table for each. The column ``request``
+    is the place of the request; without requests, the first ``limit`` rows are those in file order, if ``with_file_order``
+    has added it to ``base``, or else by ``base_order``. The targets are worked out once and written.
     """
-    chosen = match_requests(base, names, name, group, base_order or [name, group], limit)
-    targets = chosen.select(F.col(name).alias("nombre"), F.col(group).alias("gender")).distinct()
+    first = base_order or ([FILE_ORDER] if FILE_ORDER in base.columns else [name, group])
+    chosen = match_requests(base, names, name, group, first, limit)
+    asked = chosen.groupBy(F.col(name).alias("nombre"), F.col(group).alias("gender")).agg(F.min(ORDER).alias(ORDER))
+    asked = stage(asked, "targets")
+    targets = asked.drop(ORDER)
 
     def of_targets(payloads: DataFrame) -> DataFrame:
-        return lookup_join(payloads, targets, ["nombre", "gender"], "left_semi")
+        return payloads.join(targets, ["nombre", "gender"], "left_semi")
 
-    tables = {"decades": decade_series(of_targets(series))}
+    def in_order(table: DataFrame) -> DataFrame:
+        return table.join(asked, ["nombre", "gender"], "left").select(*table.columns, ORDER)
+
+    tables = {"decades": in_order(decade_series(of_targets(series)))}
     for view, table in (("muni", "municipios"), ("prov", "provincias")):
         payloads = of_targets(region_payloads.where(F.col("vista") == view).drop("vista"))
-        tables[table] = estimate_regions(payloads, regions[view], places, view, label_mode)
+        tables[table] = in_order(estimate_regions(payloads, regions[view], places, view, label_mode))
     return tables
 
-
-
 def write_details(tables: dict[str, DataFrame], folder: str, prefix: str = "details") -> list[str]:
-    """Write each table as CSV without its helper key; a table without rows has no output. Returns the tables written."""
+    """Write each table as CSV without its helper keys, in order; a table without rows has no output. Returns the tables written."""
     written = []
     for name, table in tables.items():
-        records = sort_records(table) if "region_id" in table.columns else table
-        if write_records(records, f"{folder}/{prefix}_{name}"):
+        if "region_id" in table.columns:
+            records = sort_records(table)
+        else:
+            keys = [c for c in (ORDER, "decade", "nombre", "gender") if c in table.columns]
+            records = sort_rows(table, [F.asc(k) for k in keys], keys)
+        if write_records(records, f"{folder}/{prefix}_{name}", drop=("nombre_id", ORDER)):
             written.append(name)
     return written

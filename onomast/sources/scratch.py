@@ -39,11 +39,16 @@ def release_scratch(spark: SparkSession) -> int:
     """
     deleted = 0
     while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        deleted += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        deleted += delete_path(spark, _made.pop())
     return deleted
 
 
+def delete_path(spark: SparkSession, name: str) -> bool:
+    """Delete a folder of any store that Spark reads; whether it was there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .scratch import delete_path
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", rows_per_file: int = 0) -> None:
     """Delimited files with a header, quoted only where needed; blanks at the ends of a value are kept."""
@@ -35,10 +38,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_records(df: DataFrame, path: str, drop: tuple[str, ...] = ("nombre_id",), schema: StructType | None = None) -> bool:
-    """CSV without the helper columns, in the schema's column order if one is given; no output for an empty frame."""
-    if df.isEmpty():
-        return False
+    """CSV without the helper columns, in the schema's column order if one is given; no output for an empty frame.
+
+    The plan runs once: rows are counted as they are written, and an output without any is deleted.
+    """
     if schema is not None:
         df = df.select(*schema.fieldNames())
-    write_csv(df.drop(*drop), path)
-    return True
+    counted = Observation()
+    write_csv(df.drop(*drop).observe(counted, F.count(F.lit(1)).alias("rows")), path)
+    if counted.get["rows"]:
+        return True
+    delete_path(df.sparkSession, path)
+    return False
