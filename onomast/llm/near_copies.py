@@ -248,12 +248,13 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     inside = stage(classes.select("id", "_m", "_first").join(comps, "id", "left"), "inside")
     groups = inside.where("comp is not null").groupBy("comp").agg(F.min("_first").alias("group"))
-    known = inside.join(groups, "comp", "left").join(links, "id", "left")
+    # Classes without a link, most of them, have no key to be dealt by and stay out of the join.
+    alone = inside.where("comp is null").select("id", "_m", "_first", F.col("_first").alias("group"))
+    known = inside.join(groups, "comp").select("id", "_m", "_first", "group").unionByName(alone).join(links, "id", "left")
     known = known.select(F.col("id").alias("_class"), F.coalesce("group", "_first").alias("group"), (F.col("_m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = stage(known, "known")
-    return signed.select(*keys, "_class").join(known, "_class", "left").select(
-        *keys, F.coalesce("group", _key(keys)).alias("group"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
-    )
+    wordless = signed.where("_class is null").select(*keys, _key(keys).alias("group"), F.lit(0).cast("bigint").alias("n_links"))
+    return signed.select(*keys, "_class").join(known, "_class").select(*keys, "group", "n_links").unionByName(wordless)
 
 
 def keep_one(docs: DataFrame, order: str = "doc_id", text: str = "text", **options) -> DataFrame:
