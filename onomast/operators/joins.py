@@ -3,30 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 10_000
-BROADCAST_CHARS = 32 << 20
+from ..sources.scratch import stage
 
 
-def if_small(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS) -> DataFrame | None:
-    """The frame as a local table if it has at most ``rows`` rows with ``chars`` characters, else None.
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | list[str] | Column, how: str = "left") -> DataFrame:
+    """Join a lookup, whatever its size, to a large table.
 
-    The driver never gets more than ``rows + 1`` rows. A frame that fits is computed this once: the plan that uses it
-    holds the rows themselves.
+    The lookup is worked out once, when the frame is built, and written; every size is fixed at the same moment. The planner
+    sees the size of the files: below its broadcast threshold the large table stays where it is, above it both sides are
+    shuffled, where adaptive execution splits the partition of a hot key.
     """
-    found = df.take(rows + 1)
-    if len(found) > rows or sum(len(v) for row in found for v in row if isinstance(v, str)) > chars:
-        return None
-    return df.sparkSession.createDataFrame(found, df.schema)
-
-
-def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: str | list[str] | Column, how: str = "left", rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a lookup to a large table without moving the large table if the lookup has at most ``rows`` rows.
-
-    A larger lookup is joined on shuffled keys, where adaptive execution splits the partition of a hot key.
-    """
-    local = if_small(lookup, rows)
-    return df.join(lookup if local is None else F.broadcast(local), on, how)
+    return df.join(stage(lookup, "lookup"), on, how)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .joins import lookup_join
 
+_WANTED = "_wanted"
+
 
 def lookup_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str, order_by: str | None = None) -> DataFrame:
     """Add the lookup's value, or the default where the key is unknown; no row is multiplied.
@@ -51,8 +53,9 @@ def lookup_fallback(
 ) -> DataFrame:
     """Add the value found under the key and the first of the wanted variants; null if there is none. One join for all variants."""
     wide = lookup.groupBy(*on).agg(*last_of_each(variant, value, variants, order_by))
-    found = lookup_join(df, wide, on).withColumn(value, first_of(wanted, variants, depth))
-    return found.drop(*[f"v{i}" for i in range(len(variants))])
+    # The wanted variants are a column of their own, so that they are not worked out again for each variant and place.
+    found = lookup_join(df.withColumn(_WANTED, wanted), wide, on).withColumn(value, first_of(F.col(_WANTED), variants, depth))
+    return found.drop(_WANTED, *[f"v{i}" for i in range(len(variants))])
 
 
 def parents(pairs: DataFrame, child: str, parent: str) -> DataFrame:

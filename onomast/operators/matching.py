@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import if_small
+from ..sources.scratch import stage
 from .ranking import distinct_by_key, limit_head
 
 Request = str | tuple[str, str | None]
@@ -27,10 +27,9 @@ def _matches(requests: DataFrame, name: str, group: str) -> Column:
 
 
 def _matched(df: DataFrame, names: Sequence[Request] | DataFrame, name: str, group: str) -> DataFrame:
-    requests = names if isinstance(names, DataFrame) else as_requests(df.sparkSession, names)
-    local = if_small(requests)
-    side = requests if local is None else F.broadcast(local)
-    return df.join(side, _matches(requests, name, group)).drop("wanted_name", "wanted_group").withColumn(name, F.upper(name))
+    # Requests from the driver are bounded by it; of a table of requests the planner sees the written size.
+    side = stage(names, "requests") if isinstance(names, DataFrame) else F.broadcast(as_requests(df.sparkSession, names))
+    return df.join(side, _matches(side, name, group)).drop("wanted_name", "wanted_group").withColumn(name, F.upper(name))
 
 
 def match_requests(

@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
-from .joins import lookup_join
 
 ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 20_000
-TOP_ROWS = 1_000
-TREE_TASKS = 64
 COPY_SAMPLE = 200_000
 
 _PART, _AT, _COPIES, _START = "_part", "_at", "_copies", "_start"
@@ -25,6 +22,17 @@ def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
 
 
+def first_in_task(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows of each partition; sorts inside the tasks, can spill and moves nothing."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return df.sortWithinPartitions(*order).withColumn(_AT, place).where(F.col(_AT) < n).drop(_AT)
+
+
+def _buckets(df: DataFrame) -> int:
+    """Width of the middle level of a tree: about the square root of the session's shuffle partitions."""
+    return math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def without_nan(df: DataFrame, value: str) -> Column:
     """A value to sort by in which NaN is missing."""
     floating = df.schema[value].dataType.typeName() in ("float", "double")
@@ -61,7 +69,13 @@ def _has_hot_copies(df: DataFrame, keys: list[str], rows: int, rows_per_task: in
     return most >= 3 and most / fraction > 2 * rows_per_task
 
 
-def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str], out: str, rows: int, rows_per_task: int) -> DataFrame:
+def _floating(kind: str) -> bool:
+    return "float" in kind or "double" in kind
+
+
+def _by_ranges(
+    df: DataFrame, by: list[str], order: list[Column], keys: list[str], out: str, rows: int, rows_per_task: int, max_ranges: int
+) -> DataFrame:
     """Numbering by ranges of the sort order, so that a group of any size takes as many tasks as it needs.
 
     Each range numbers its own rows; the rows a group has in earlier ranges are added from a table that has one line
@@ -74,9 +88,12 @@ def _by_ranges(df: DataFrame, by: list[str], order: list[Column], keys: list[str
     copies = hashable(df) == columns and _has_hot_copies(df, list(dict.fromkeys([*by, *keys])), rows, rows_per_task)
     if copies:
         # No range parts rows that sort alike: equal rows become one with their number, others are told apart by a hash.
-        df = df.groupBy(*columns).agg(F.count("*").alias(_COPIES))
+        # Grouping turns -0.0 into 0.0, so floating columns also go by their text, and the row itself is carried along.
+        texts = [F.col(f.name).cast("string").alias(f"_text{i}") for i, f in enumerate(df.schema) if _floating(f.dataType.simpleString())]
+        counted = df.groupBy(*columns, *texts).agg(F.count("*").alias(_COPIES), F.first(F.struct(*columns)).alias("_row"))
+        df = counted.select("_row.*", _COPIES)
         sort.append(F.xxhash64(*columns))
-    ranges = min(MAX_RANGES, max(1, math.ceil(rows / rows_per_task)))
+    ranges = min(max_ranges, max(1, math.ceil(rows / rows_per_task)))
     ranged = (
         df.repartitionByRange(ranges, *sort)
         .sortWithinPartitions(*sort)
@@ -112,12 +129,14 @@ def number_rows(
     by: list[str] | None = None,
     plan: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
+    max_ranges: int = MAX_RANGES,
 ) -> DataFrame:
     """Number the rows 1, 2, … in the given order, per group or (without ``by``) over the whole table.
 
     ``keys`` names the columns that ``order`` uses. ``plan="window"`` gives each group to one task,
     ``plan="range"`` spreads every group over ranges of the sort order. ``"auto"`` counts the groups first and uses
     ranges if one of them has more than ``rows_per_task`` rows. All plans give the same numbers and take the same columns.
+    ``max_ranges`` bounds the ranges, whose limits the driver holds; beyond ``max_ranges * rows_per_task`` rows, ranges grow.
     """
     by = by or []
     if plan == "window":
@@ -128,18 +147,18 @@ def number_rows(
         rows = df.count()
         if plan == "auto" and rows <= rows_per_task:
             return _by_window(df, by, order, out)
-        return _by_ranges(df, by, order, keys, out, rows, rows_per_task)
+        return _by_ranges(df, by, order, keys, out, rows, rows_per_task, max_ranges)
 
     grouped = df.where(_all_present(by))
     if plan == "range":
-        numbered = _by_ranges(grouped, by, order, keys, out, grouped.count(), rows_per_task)
+        numbered = _by_ranges(grouped, by, order, keys, out, grouped.count(), rows_per_task, max_ranges)
         return numbered.unionByName(df.where(~_all_present(by)).withColumn(out, F.lit(None).cast("bigint")))
 
     # One group that is too large for a task puts the whole table into ranges: no list of such groups is kept anywhere.
     most, total = grouped.groupBy(*by).agg(F.count("*").alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
     if (most or 0) <= rows_per_task:
         return _by_window(df, by, order, out)
-    numbered = _by_ranges(grouped, by, order, keys, out, total, rows_per_task)
+    numbered = _by_ranges(grouped, by, order, keys, out, total, rows_per_task, max_ranges)
     return numbered.unionByName(df.where(~_all_present(by)).withColumn(out, F.lit(None).cast("bigint")))
 
 
@@ -160,29 +179,37 @@ def rank_in_group(
 
 
 def top_n_per_group(df: DataFrame, by: str, value: str, n: int, ties: list[str], out: str = "rank") -> DataFrame:
-    """The ``n`` rows of each group with the largest values, ranked. Each task passes on at most ``n`` rows per group."""
+    """The ``n`` rows of each group with the largest values, ranked.
+
+    A tree: each task, then each bucket of tasks, passes on at most ``n`` rows per group. Tasks can only do so up to Spark's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000); a longer list is cut from the ranks of all rows.
+    """
     present = df.where(F.col(by).isNotNull())
-    if n > TOP_ROWS:
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         return rank_in_group(present, by, value, ties, out).where(F.col(out) <= n)
-    window = Window.partitionBy(by).orderBy(*ordering(without_nan(df, value), ties))
-    return present.withColumn(out, F.row_number().over(window)).where(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
+    order = ordering(without_nan(df, value), ties)
+    bucket = Window.partitionBy(by, _PART).orderBy(*order)
+    few = present.withColumn(_PART, F.spark_partition_id() % max(1, _buckets(df))).withColumn(_AT, F.row_number().over(bucket))
+    few = few.where(F.col(_AT) <= n).drop(_AT, _PART)
+    ranked = few.withColumn(out, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    return ranked.where(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
 
 
-def limit_head(df: DataFrame, n: int | None, order: list[Column], keys: list[str]) -> DataFrame:
-    """The first ``n`` rows in the given order; all rows for None.
+def limit_head(df: DataFrame, n: int | None, order: list[Column], keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The first ``n`` rows in the given order; all rows for None or below 0.
 
-    A short list is a tree: every task keeps ``n`` rows, the tasks of a bucket (about the square root of the tasks) ``n``
-    together, and one task ``n`` of the buckets' rows. A long one is cut from the row numbers. ``n`` below 0 means all rows.
+    A tree: every task keeps ``n`` rows, each bucket of tasks (about the square root of the shuffle partitions) ``n`` of those,
+    and one task ``n`` of the buckets' rows. A list of more than ``rows_per_task`` rows, too long for that one task, is cut
+    from the row numbers.
     """
     if n is None or n < 0:
         return sort_rows(df, order, keys)
-    if n > TOP_ROWS:
-        return number_rows(df, order, keys, _AT).where(F.col(_AT) <= n).drop(_AT)
-    tasks = df.rdd.getNumPartitions()
-    if tasks > TREE_TASKS:
-        bucket = Window.partitionBy(_PART).orderBy(*order)
-        df = df.withColumn(_PART, F.spark_partition_id() % math.isqrt(tasks)).withColumn(_AT, F.row_number().over(bucket))
-        df = df.where(F.col(_AT) <= n).drop(_AT, _PART)
+    if n > rows_per_task:
+        return number_rows(df, order, keys, _AT, rows_per_task=rows_per_task).where(F.col(_AT) <= n).drop(_AT)
+    buckets = _buckets(df)
+    if buckets > 1:
+        few = first_in_task(df, n, order).withColumn(_PART, F.spark_partition_id())
+        df = first_in_task(few.repartition(buckets, _PART), n, order).drop(_PART)
     return df.orderBy(*order).limit(n)
 
 

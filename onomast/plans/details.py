@@ -63,7 +63,9 @@ def estimate_regions(
     lookup = province_lookup(places) if view == "prov" else only_municipalities(places)
     found = rates.withColumn(key, place_key(F.col("region_name"), label_mode)).join(lookup, key, "left")
     parent = F.col("region_name" if view == "prov" else "provinces")
-    people = first_of(gender_alias(F.col("gender")), VARIANTS, 2)
+    # Columns of their own: both are used several times.
+    found = found.withColumn("_wanted", gender_alias(F.col("gender")))
+    found = found.withColumn("_people", first_of(F.col("_wanted"), VARIANTS, 2))
     return found.select(
         "nombre_id",
         "nombre",
@@ -72,7 +74,7 @@ def estimate_regions(
         "region_name",
         "percentage",
         "unidad",
-        rate_to_count(people, F.col("percentage"), F.col("unidad")).alias("persons"),
+        rate_to_count(F.col("_people"), F.col("percentage"), F.col("unidad")).alias("persons"),
         "region_type",
         parent.alias("parent_region_name"),
     )

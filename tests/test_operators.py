@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from onomast.operators import groups, joins, lookups, matching, ranking, sampling, series
+from onomast.operators import groups, lookups, matching, ranking, sampling, series
 
 PARTITIONS = [1, 4, 40]
 
@@ -99,14 +99,14 @@ def test_top(spark, names):
     many = ranking.top_n_per_group(names, "g", "v", 1200, ["id"])
     assert rows(many, "id", "rank") == sorted(((i, r) for i, r in ranks.items() if r and r <= 1200), key=str)
     best = sorted(data, key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
-    for n in (0, 5, 1500):
+    for n in (0, 5, 1000, 1001, 1500):
         assert {r["id"] for r in ranking.top_k(names, "v", n, ["id"]).collect()} == {r[0] for r in best[:n]}
     assert [r["id"] for r in ranking.top_k(names, "v", None, ["id"]).collect()] == [r[0] for r in best]
 
 
 def test_top_plans(spark, names):
     plan = ranking.top_n_per_group(names, "g", "v", 3, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") == 4  # in tasks and buckets, in buckets and the group
     assert "TakeOrderedAndProject" in ranking.top_k(names, "v", 3, ["id"])._jdf.queryExecution().executedPlan().toString()
 
 
@@ -115,19 +115,18 @@ def test_distinct_by_key(spark):
     assert rows(ranking.distinct_by_key(df, ["k"], [F.asc("o")])) == [("a", 1, "y"), (None, 3, "z")]
 
 
-def test_shares(spark, monkeypatch):
+def test_shares(spark):
     df = spark.createDataFrame([("m", 1), ("m", 3), ("f", 0), (None, 5), ("m", None)], "g string, v int")
     expected = [("f", 0, None), ("m", 1, 25.0), ("m", 3, 75.0), ("m", None, None)]
     assert rows(groups.share_of_group(df, "g", "v", "s")) == expected
     assert "BroadcastHashJoin" in groups.share_of_group(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(joins.if_small, "__defaults__", (1, joins.BROADCAST_CHARS))
-    assert rows(groups.share_of_group(df, "g", "v", "s")) == expected
-
-
-def test_if_small(spark):
-    assert joins.if_small(spark.range(5), rows=5).count() == 5
-    assert joins.if_small(spark.range(6), rows=5) is None
-    assert joins.if_small(spark.createDataFrame([("x" * 100,)], "s string"), chars=99) is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shared = groups.share_of_group(df, "g", "v", "s")
+        assert "BroadcastHashJoin" not in shared._jdf.queryExecution().executedPlan().toString()
+        assert rows(shared) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_profile_and_counts(spark):
@@ -263,6 +262,28 @@ def test_top_lists_are_trees(spark):
     assert ranking.limit_head(frame, -1, [F.asc("id")], ["id"]).count() == 5000
 
 
+def test_long_top_lists_write_nothing(spark, monkeypatch):
+    frame = spark.range(50_000, numPartitions=40).selectExpr("id", "map('k', id) m")
+    monkeypatch.setattr(ranking, "stage", lambda df, label: pytest.fail("a table was written"))
+    for n in (1000, 1001, 20_000):
+        found = ranking.top_k(frame, "id", n, ["id"])
+        assert [r["id"] for r in found.collect()] == list(range(49_999, 49_999 - n, -1))
+        # At most n rows leave a task, and the sort stays below the cut.
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Sort [") == 3 and f"< {n})" in plan
+    monkeypatch.undo()
+    long = ranking.limit_head(frame, 20_000, [F.desc("id")], ["id"], rows_per_task=3000)
+    assert sorted(r["id"] for r in long.collect()) == list(range(30_000, 50_000))
+
+
+def test_copies_keep_negative_zero(spark):
+    frame = spark.createDataFrame([("a", 0.0)] * 300 + [("a", -0.0)] * 300 + [("b", 1.0)] * 10, "g string, v double").repartition(5)
+    found = ranking.number_rows(frame, [F.asc("g")], ["g"], "n", plan="range", rows_per_task=100)
+    texts = found.groupBy(F.col("v").cast("string").alias("t")).count().collect()
+    assert {r["t"]: r["count"] for r in texts} == {"0.0": 300, "-0.0": 300, "1.0": 10}
+    assert sorted(r["n"] for r in found.collect()) == list(range(1, 611))
+
+
 def test_repeated_lookup_keys_do_not_multiply_rows(spark):
     from onomast.operators.lookups import lookup_default
 
