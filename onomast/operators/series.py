@@ -15,7 +15,8 @@ def explode_series(df: DataFrame, label: str = "decade", amount: str = "amount")
         F.slice("ticks", F.lit(1), pairs).alias("tick"), F.slice("values", F.lit(1), pairs).alias("value")
     )
     rest = [c for c in df.columns if c not in ("ticks", "values")]
-    points = df.select(*rest, F.explode(zipped).alias("point"))
+    # The outer form: the planner adds a filter for empty lists below the other one, which would parse every payload twice.
+    points = df.select(*rest, F.explode_outer(zipped).alias("point"))
     return points.select(*rest, F.col("point.tick").alias(label), F.col("point.value").alias(amount)).where(
         F.col(amount).isNotNull()
     )
@@ -24,7 +25,7 @@ def explode_series(df: DataFrame, label: str = "decade", amount: str = "amount")
 def explode_regions(df: DataFrame) -> DataFrame:
     """One row per region with a whole id and a readable rate; other regions are left out."""
     rest = [c for c in df.columns if c != "regiones"]
-    regions = df.select(*rest, F.explode("regiones").alias("region"))
+    regions = df.select(*rest, F.explode_outer("regiones").alias("region"))
     return regions.select(
         *rest,
         whole_number(F.col("region.id")).alias("region_id"),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from onomast.operators import groups, lookups, matching, ranking, sampling, series
+from onomast.sources import readers
 
 PARTITIONS = [1, 4, 40]
 
@@ -229,6 +230,13 @@ def test_series(spark):
     assert rows(series.explode_regions(frame)) == [("a", 2, 9.534), ("a", 3, 40.819)]
 
 
+def test_payloads_are_parsed_once(spark):
+    payloads = spark.range(3).selectExpr("""concat('{"regiones":[{"id":', id, ',"val":"1,5"}]}') as payload""")
+    found = series.explode_regions(readers.parse_regions(payloads))
+    assert found.count() == 3
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
 def test_samples_are_fair_to_nulls_and_repeats(spark):
     data = [(None if i % 4 == 0 else f"n{i % 150}", i) for i in range(400)]
     frame = spark.createDataFrame(data, "k string, i int")
