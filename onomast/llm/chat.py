@@ -222,19 +222,19 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
     def render(frame: pd.DataFrame, limits: pd.DataFrame) -> pd.DataFrame:
         frame = opened(frame).reset_index(drop=True)
         known = {c: (np.array(e, float), int(x)) for c, e, x in zip(limits["_conv"], limits["_entry"], limits["_exit"])}
-        roles, turns, rendered = [None] * len(frame), [0] * len(frame), [""] * len(frame)
+        roles, turns, rendered = [None] * len(frame), [0] * len(frame), [[] for _ in range(len(frame))]
         for conv, some in frame.groupby("_conv", sort=False):
             lines = [(row, text, m) for row, t, o in zip(some.index, some["_text"], some["_opens"]) for text, m in zip(t.split("\n"), row_matrices(model, t, o))]
             entry, last = known.get(conv, (np.zeros(STATES), None))
             for (row, text, _), state in zip(lines, decode([m for *_, m in lines], entry, last)):
                 role, plain = ROLES[state // 2], ENDING.sub("", marked_role(text)[1])
                 if state % 2 == 0 or not rendered[row]:
-                    rendered[row] += ("<|end|>\n" if rendered[row] else "") + f"<|{role}|>\n{plain}"
+                    rendered[row].append(("<|end|>\n" if rendered[row] else "") + f"<|{role}|>\n{plain}")
                     turns[row] += state % 2 == 0
                 else:
-                    rendered[row] += "\n" + plain
+                    rendered[row].append("\n" + plain)
                 roles[row] = roles[row] or role
-        return frame[list(names)].assign(role=roles, n_turns=turns, rendered=[r.rstrip() + "<|end|>\n" for r in rendered])
+        return frame[list(names)].assign(role=roles, n_turns=turns, rendered=["".join(r).rstrip() + "<|end|>\n" for r in rendered])
 
     # A group is one range of the sort, whose size the partitioning bounds, whatever the length of a conversation.
     within = ranged.join(F.broadcast(edges), "_part")
