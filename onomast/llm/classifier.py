@@ -19,6 +19,8 @@ from .common import held_out, ship
 ship(__name__)
 
 STEP, HALF, DEPTH, FILTERS, HIDDEN = 4, 256, 4, 32, 16
+#: Bytes that go through the filters at a time, whole half chunks.
+PIECE = 1_024 * HALF
 #: Bound of the labelled sample, and of the chunks that a document of it gives, spread over its whole text.
 TRAIN_ROWS, TRAIN_CHUNKS, STEPS, BATCH, RATE = 3_000, 4, 1_200, 32, 4e-3
 
@@ -38,9 +40,18 @@ def filtered(data: np.ndarray, model: dict) -> np.ndarray:
     return out
 
 
+def half_maxima(data: np.ndarray, model: dict) -> np.ndarray:
+    """Each filter's maximum over each half chunk; a long text goes through the filters piece by piece."""
+    halves = []
+    for low in range(0, len(data), PIECE):
+        # The last place of a piece sees the first of the next one.
+        values = filtered(data[low : low + PIECE + STEP], model)[: min(PIECE, len(data) - low) // STEP]
+        halves.append(values.reshape(-1, HALF // STEP, FILTERS).max(axis=1))
+    return np.concatenate(halves)
+
+
 def probability(text: str, model: dict) -> float:
-    values = filtered(padded(text), model)
-    halves = values.reshape(-1, HALF // STEP, FILTERS).max(axis=1)
+    halves = half_maxima(padded(text), model)
     chunks = np.maximum(np.maximum(halves[:-1], halves[1:]) + model["bias"], 0)
     pooled = np.concatenate([chunks.mean(axis=0), chunks.max(axis=0)])
     hidden = np.maximum(pooled @ model["hidden"] + model["hidden_bias"], 0)
