@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.llm import language, mixing, near_copies, packing, secret_scan
-from onomast.llm.common import held_out
+from onomast.llm.common import held_out, unused
 from onomast.llm.queries import tokenizer_path
 from onomast.sources.scratch import stage
 
@@ -24,8 +24,9 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; ``lang`` becomes the one that was found."""
     _small_batches(spark)
     langs, model = language.learn(docs.where(~held_out("doc_id")))
-    found = docs.withColumn("_lang", language.language_column(F.col("text"), langs, model)["lang"])
-    return found.where(F.col("_lang") != language.UNKNOWN).withColumn("lang", F.col("_lang")).select(*docs.columns)
+    (name,) = unused(docs, "_lang")
+    found = docs.withColumn(name, language.language_column(F.col("text"), langs, model)["lang"])
+    return found.where(F.col(name) != language.UNKNOWN).withColumn("lang", F.col(name)).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,16 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with more underscores in front where the frame has such a column."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        found.append(name)
+    return found
+
+
 def word_count(text: Column | str) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
-from .common import repeat_rows, running_total, ship, word_count
+from .common import repeat_rows, running_total, ship, unused, word_count
 
 ship(__name__)
 
@@ -162,9 +162,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", **options)
     gives an empty one; a null source is a source of its own; null texts have no words and are kept once.
     """
     columns = docs.columns
-    keyed = docs.withColumns({"_k1": F.xxhash64(*columns), "_k2": F.xxhash64(F.lit(1), *columns)})
-    drawn = allocate(keyed, ["_k1", "_k2"], text, source, **options)
+    keys = unused(docs, "_k1", "_k2")
+    keyed = docs.withColumns({keys[0]: F.xxhash64(*columns), keys[1]: F.xxhash64(F.lit(1), *columns)})
+    drawn = allocate(keyed, keys, text, source, **options)
     extra = F.least(F.greatest(F.col("_extra") - F.col("before"), F.lit(0)), F.col("_m"))
-    drawn = drawn.select("_k1", "_k2", (F.col("_base") * F.col("_m") + extra).alias("_copies")).where("_copies > 0")
-    whole = keyed.groupBy("_k1", "_k2").agg(F.first(F.struct(*columns)).alias("_row"))
-    return repeat_rows(whole.join(drawn, ["_k1", "_k2"]), "_copies", "_i").select("_row.*")
+    drawn = drawn.select(*keys, (F.col("_base") * F.col("_m") + extra).alias("_copies")).where("_copies > 0")
+    whole = keyed.groupBy(*keys).agg(F.first(F.struct(*columns)).alias("_row"))
+    return repeat_rows(whole.join(drawn, keys), "_copies", "_i").select("_row.*")

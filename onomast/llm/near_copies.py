@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
-from .common import WORD, arrow_batches, ship
+from .common import WORD, arrow_batches, ship, unused
 from .components import components
 
 ship(__name__)
@@ -260,14 +260,14 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
 def keep_one(docs: DataFrame, order: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The table with one row of each group of near copies, the first by ``order`` (null first) and by hash of the row; rows equal in every column count as copies."""
     columns = docs.columns
-    keyed = docs.withColumns({"_at": F.col(order), "_k1": F.xxhash64(*columns), "_k2": F.xxhash64(F.lit(1), *columns)})
-    keys = ["_at", "_k1", "_k2"]
+    at, *hashes = keys = unused(docs, "_at", "_k1", "_k2")
+    keyed = docs.withColumns({at: F.col(order), hashes[0]: F.xxhash64(*columns), hashes[1]: F.xxhash64(F.lit(1), *columns)})
     # Keys that are null would not meet in a join; the hashes alone tell rows apart.
-    keyed = keyed.withColumn("_at", F.coalesce("_at", F.lit(-(1 << 62)).cast(docs.schema[order].dataType)))
+    keyed = keyed.withColumn(at, F.coalesce(at, F.lit(-(1 << 62)).cast(docs.schema[order].dataType)))
     rows = near_copies(keyed, keys, text, **options).groupBy(*keys).agg(F.count("*").alias("_m"), F.first("group").alias("group"))
     rows = stage(rows, "members")
-    gone = rows.where(F.col("group") != _key(keys)).select("_k1", "_k2")
-    repeated = rows.where((F.col("group") == _key(keys)) & (F.col("_m") > 1)).select("_k1", "_k2")
-    left = _within(keyed, gone.unionByName(repeated), ["_k1", "_k2"], "left_anti")
-    once = _within(keyed, repeated, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    gone = rows.where(F.col("group") != _key(keys)).select(*hashes)
+    repeated = rows.where((F.col("group") == _key(keys)) & (F.col("_m") > 1)).select(*hashes)
+    left = _within(keyed, gone.unionByName(repeated), hashes, "left_anti")
+    once = _within(keyed, repeated, hashes, "left_semi").dropDuplicates(hashes)
     return left.unionByName(once).select(*columns)

@@ -46,6 +46,15 @@ def words(text):
     return WORD.findall(text or "")
 
 
+def assert_own_names_do_not_matter(docs, function):
+    """Columns named like those that the operators add keep their values and change no decision."""
+    names = ["_k1", "_K2", "_at", "_lang", "_row", "_copies", "_i", "_m", "group"]
+    out = function(docs.withColumns({n: F.lit(f"own {n}") for n in names}))
+    assert out.columns == [*docs.columns, *names]
+    assert all([r[n] for n in names] == [f"own {n}" for n in names] for r in out.collect())
+    assert Counter(r["doc_id"] for r in out.collect()).keys() == Counter(r["doc_id"] for r in function(docs).collect()).keys()
+
+
 # Mixing
 
 
@@ -80,6 +89,7 @@ def test_mix_of_odd_rows(spark):
     kept = Counter(r["doc_id"] for r in mixed.collect())
     assert kept[3] == 1 and kept[4] == 1 and kept[5] == 1 and max(kept.values()) <= 4
     assert len(mixing.mix_sizes(docs, ["doc_id"]).collect()) == docs.count()
+    assert_own_names_do_not_matter(docs, mixing.mix)
     assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mix_sizes(docs.limit(0), ["doc_id"]).collect() == []
 
 
@@ -299,6 +309,7 @@ def test_keep_one(spark):
     assert kept.columns == docs.columns
     # Row 2 shares 8 of 9 shingles with row 1; texts without words stay, fully equal rows are one.
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "4", "None", "None", "5", "6", "7", "8"])
+    assert_own_names_do_not_matter(docs, near_copies.keep_one)
     assert near_copies.keep_one(docs.limit(0)).collect() == []
 
 
@@ -335,6 +346,11 @@ def test_pages_without_an_article(spark, part_tokens):
     assert html_text.main_text(frame.limit(0), ["page_id"]).collect() == []
 
 
+def test_pages_that_leave_elements_open():
+    deep = "<div>" * 60_000 + "a" + "<b>" * 60_000 + "b" + "</i>" * 60_000 + "<li>c" * 60_000
+    assert [t for t, *_ in html_text.page_blocks(deep)] == ["a" + "b", *["c"] * 60_000]
+
+
 def test_repeated_runs_against_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -432,6 +448,15 @@ def test_network_gradients():
         assert (up - down) / (2 * step) == pytest.approx(g[at], rel=1e-3), name
 
 
+def test_network_reads_long_texts_in_pieces():
+    rng = np.random.default_rng(0)
+    model = {k: rng.normal(size=v.shape).astype(np.float32) for k, v in classifier.train([], []).items()}
+    for size in (0, 700, classifier.PIECE - 1, classifier.PIECE, classifier.PIECE + 1, 2 * classifier.PIECE + 777):
+        data = classifier.padded(bytes(rng.integers(32, 126, size).astype(np.uint8)).decode())
+        whole = classifier.filtered(data, model).reshape(-1, classifier.HALF // classifier.STEP, classifier.FILTERS).max(axis=1)
+        assert np.allclose(classifier.half_maxima(data, model), whole, rtol=1e-4, atol=1e-4)
+
+
 def test_network_scores_odd_texts(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (6, 0), (None, 1), (7, None), (99, 1)], "doc_id long, quality int")
@@ -453,6 +478,21 @@ def test_chat_roles(spark):
     assert all(r["rendered"].startswith(f"<|{r['role_found']}|>\n") and r["rendered"].endswith("<|end|>\n") for r in rows)
 
 
+def test_chat_roles_of_conversations_not_learnt_from(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    apart = F.crc32(F.col("conv_id").cast("string")) % 5 == 0
+    model = chat.learn(rows.where(~apart).withColumnRenamed("conv_id", "conv"))
+    found = chat.recover_turns(rows.where(apart), model, carried=["role"]).collect()
+    right = sum(r["role"] == r["role_found"] for r in found)
+    assert right >= 0.9 * len(found) > 100, (right, len(found))
+
+
+def test_long_transcript_in_one_text(spark, speakers):
+    text = "\n".join(f"{'User' if i % 2 else 'Assistant'}: line {i}\nmore" for i in range(20_000))
+    (row,) = chat.recover_turns(spark.createDataFrame([(1, 0, text)], "conv_id long, turn long, text string"), speakers).collect()
+    assert row["n_turns"] == 20_000 and row["rendered"].count("<|end|>\n") == 20_000
+
+
 @pytest.fixture(scope="module")
 def speakers(spark):
     return chat.learn(spark.read.parquet(f"{FOLDER}/conversations.parquet").withColumnRenamed("conv_id", "conv"))
@@ -527,6 +567,7 @@ def test_pipeline_of_odd_rows(spark):
     import corpus_pipeline
 
     docs = odd_documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    assert_own_names_do_not_matter(docs, lambda d: corpus_pipeline.by_language(spark, d, FOLDER))
     for rows in (docs, docs.limit(0)):
         at = rows
         for name, function in corpus_pipeline.STAGES:
