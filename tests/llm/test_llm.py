@@ -346,6 +346,17 @@ def test_pages_without_an_article(spark, part_tokens):
     assert html_text.main_text(frame.limit(0), ["page_id"]).collect() == []
 
 
+@pytest.mark.parametrize("part_tokens", [200_000, 80])
+def test_runs_of_few_pages_of_a_cut_host(spark, part_tokens):
+    """Each notice stands on two of eighty pages, which seldom share a part; copies of one page are one page, in whatever parts."""
+    rows = [(i, "http://a.b/", f"<p>page {i} has words n{i} of its own here</p><div>notice {i // 2} of section {i // 2} closed today</div>") for i in range(80)]
+    rows += [(100 + i, "http://a.b/", "<p>these are the very same words on all copies</p>") for i in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.main_text(frame, ["page_id"], part_tokens=part_tokens).collect()}
+    own = {i: f"page {i} has words n{i} of its own here" for i in range(80)}
+    assert found == own | {100 + i: "these are the very same words on all copies" for i in range(20)}
+
+
 def test_pages_that_leave_elements_open():
     deep = "<div>" * 60_000 + "a" + "<b>" * 60_000 + "b" + "</i>" * 60_000 + "<li>c" * 60_000
     assert [t for t, *_ in html_text.page_blocks(deep)] == ["a" + "b", *["c"] * 60_000]
