@@ -11,7 +11,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,9 @@ KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{32}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+(?=\r?\n|=|\Z))*={0,2}")
+# Base64 of a DER sequence or of OpenSSH's magic word, also after an escape; lines may be parted by blanks, line ends and their escapes.
+KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?=M[A-P]|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/_-]{32}")
+LINE = re.compile(r"([A-Za-z0-9+/_-]+)(?:[ \t\r\n]|\\+[nrt])*")
 HEX_BYTES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
 
 
@@ -84,27 +87,91 @@ def is_der_key(data: bytes) -> bool:
     return tags == [0x30, 0x04] and names_algorithm(fields[0])
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Whether the bytes are a private OpenSSH key: its magic word, then fields whose lengths add up to the end."""
+def openssh_size(read: Callable[[int, int], bytes]) -> int | None:
+    """Length of a private OpenSSH key by its fields: its magic word, then fields with their lengths; ``read`` gives bytes from one place to another."""
     magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
-        return False
+    if read(0, len(magic)) != magic:
+        return None
 
-    def field(at: int) -> int | None:
-        if at is None or at + 4 > len(data):
-            return None
-        end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-        return end if end <= len(data) else None
+    def number(at: int | None) -> int | None:
+        found = b"" if at is None else read(at, at + 4)
+        return int.from_bytes(found, "big") if len(found) == 4 else None
+
+    def field(at: int | None) -> int | None:
+        size = number(at)
+        return None if size is None else at + 4 + size
 
     at = field(field(field(len(magic))))  # cipher, key derivation, its options
-    if at is None or at + 4 > len(data):
-        return False
-    keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    if not 1 <= keys <= 64:
-        return False
+    keys = number(at)
+    if keys is None or not 1 <= keys <= 64:
+        return None
+    at += 4
     for _ in range(keys + 1):  # public keys, then the private part
         at = field(at)
-    return at == len(data)
+    return at
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """Whether the bytes are a private OpenSSH key, whose fields add up to the end."""
+    return openssh_size(lambda a, b: data[a:b]) == len(data)
+
+
+class _Run:
+    """Lines of base64 characters from a place on, parted by nothing but blanks, line ends and their escapes, and what they hold."""
+
+    def __init__(self, text: str, start: int):
+        lines, self.places, self.before, at = [], [], [0], start
+        while line := LINE.match(text, at):
+            lines.append(line[1])
+            self.places.append(line.span(1))
+            self.before.append(self.before[-1] + len(line[1]))
+            at = line.end()
+        self.plain, self.starts = "".join(lines).translate(str.maketrans("-_", "+/")), [a for a, _ in self.places]
+        self.end = self.places[-1][1]
+
+    def offset(self, place: int) -> int:
+        """Number of the run's character that stands at a place of the text."""
+        k = bisect_right(self.starts, place) - 1
+        return self.before[k] + place - self.starts[k]
+
+    def bytes(self, offset: int, start: int, end: int) -> bytes:
+        """Bytes ``start`` to ``end`` of what is encoded from a character on; fewer at the end of the run."""
+        low = start // 3
+        some = self.plain[offset + 4 * low : offset + 4 * -(-end // 3)]
+        some = some[: len(some) - (len(some) % 4 == 1)]
+        return base64.b64decode(some + "=" * (-len(some) % 4))[start - 3 * low : end - 3 * low]
+
+    def key(self, offset: int) -> tuple[str, int] | None:
+        """Kind of the key that is encoded from a character on and the place where its last line ends, which must end with it."""
+        head = self.bytes(offset, 0, 16)
+        if head[0] == 0x30:
+            count = head[1] & 0x7F if head[1] > 0x80 else 0
+            size = 2 + count + (int.from_bytes(head[2 : 2 + count], "big") if count else head[1])
+            kind, confirmed = "der", is_der_key
+        else:
+            size = openssh_size(lambda a, b: self.bytes(offset, a, b))
+            kind, confirmed = "openssh", is_openssh_key
+        # The last character that is needed must be the last of its line; lines below it are not of the key.
+        last = offset + -(-size * 4 // 3) if size else 0
+        k = bisect_left(self.before, last)
+        if not size or k == len(self.before) or self.before[k] != last or not confirmed(self.bytes(offset, 0, size)):
+            return None
+        return kind, self.places[k - 1][1]
+
+
+def find_keys(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the keys in base64, padding included."""
+    spans, run, at = [], None, 0
+    while found := KEY_START.search(text, at):
+        start = found.start()
+        if run is None or start >= run.end:
+            run = _Run(text, start)
+        key = run.key(run.offset(start))
+        at = start + 1
+        if key:
+            at = key[1] + next(k for k in (2, 1, 0) if text.startswith("=" * k, key[1]))
+            spans.append((key[0], start, at))
+    return spans
 
 
 def unbase64(run: str) -> bytes | None:
@@ -140,12 +207,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     # A run of digits and letters that long holds every candidate of the patterns below but for tokens.
     if LONG_RUN.search(text):
         spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-        for m in BASE64.finditer(text):
-            data = unbase64(m[0])
-            if data is not None and data[:1] == b"\x30" and is_der_key(data):
-                spans.append(("der", m.start(), m.end()))
-            elif data is not None and is_openssh_key(data):
-                spans.append(("openssh", m.start(), m.end()))
+        spans += find_keys(text)
         spans += [("der", m.start(), m.end()) for m in HEX_BYTES.finditer(text) if m[0][:2] == "30" and is_der_key(bytes.fromhex(m[0]))]
     if "ey" in text:
         spans += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]

@@ -228,6 +228,25 @@ def test_structural_confirmation():
     assert (start, end) == (2, 2 + len(code))
 
 
+def test_keys_in_base64_wherever_they_stand():
+    short = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, b"\x7f" * 32)))
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"pub" * 9) + field(b"private part" * 30)
+    for data, kind in ((short, "der"), (der_key(), "der"), (ssh, "openssh")):
+        code = base64.b64encode(data).decode()
+        bare = code.rstrip("=")
+        lines = [code[i : i + 64] for i in range(0, len(code), 64)]
+        found = lambda t: [t[a:b] for k, a, b in secret_scan.find_spans(t) if k == kind]  # noqa: B023, E731
+        assert found(f"PRIVATE_KEY={code}") == found(f"/x?key={code}&y=1") == [code]
+        for end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", "  \n\t", " "):
+            pem = end.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----", ""])
+            assert found(f'{{"private_key": "{pem}"}}') == [end.join(lines)]
+        assert found(f"{bare}\nword\n") == found(f"{bare}\\nword") == found(f"{'a' * 40}\n{bare}\nword\nword") == [bare]
+        assert found(f"{bare}\n{bare}\n") == [bare, bare] and found(f"{bare}AA") == found(f"x{bare}") == found(bare[:-4]) == []
+    # Many starts in one run of lines.
+    assert secret_scan.find_spans("\n".join(["MIIC" + "x" * 60] * 20_000)) == []
+
+
 def test_redaction_keeps_all_rows(spark):
     docs = odd_documents(spark).unionByName(odd_documents(spark).limit(1).withColumn("text", F.lit('x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y')))
     clean = secret_scan.redact_secrets(docs)
