@@ -376,6 +376,26 @@ def test_runs_of_few_pages_of_a_cut_host(spark, part_tokens):
     assert found == own | {100 + i: "these are the very same words on all copies" for i in range(20)}
 
 
+def test_articles_in_layouts_named_after_a_sidebar():
+    text = lambda html: html_text.read_page(html)[0]
+    opened = lambda html: html_text.read_page(html)[1]
+    for name in ("layout has-sidebar", "with-sidebar", "no-sidebar", "content-sidebar-wrap", "sidebar-layout", "page nav-open", "has_sidebar"):
+        for tag in ("article", "main"):
+            page = f"<div class='{name}'><{tag}><p>the text</p><div class='share'>share</div></{tag}><div class='sidebar'>more</div><aside>x</aside></div>"
+            assert text(page) == text(page.replace("class='" + name, "id='" + name)) == "the text"
+    for name in ("layout has-sidebar", "with-sidebar", "no-sidebar", "content-sidebar-wrap"):
+        assert opened(f"<div class='{name}'><p>the text</p><div class='sidebar'>more</div></div>") == ["the text"]
+        assert text(f"<article class='post {name}'>the text</article>") == "the text"
+    for start, end in (("<div class='comments'>", "</div>"), ("<section id='post-replies'>", "</section>"), ("<aside>", "</aside>"), ("<div role='complementary'>", "</div>")):
+        page = f"<div class='has-sidebar'><article>the text</article>{start}<div><article>no text</article></div>{end}</div>"
+        assert text(page) == "the text" and text(f"{start}<article>no text</article>{end}") == ""
+        assert text(f"<article>the text{start}<article>no text</article>{end}</article>") == "the text"
+    for name in ("related", "related-posts", "sidebar", "footer-widget"):
+        teaser = f"<div class='{name}'><article>teaser</article></div>"
+        assert text(f"<article>the text{teaser}</article>") == text(f"<div class='sidebar-layout'><article>the text</article>{teaser}</div>") == "the text"
+    assert text("<div class='nav'><main><div class='sidebar-layout'><article>the text</article></div></main></div>") == "the text"
+
+
 def test_pages_that_leave_elements_open():
     deep = "<div>" * 60_000 + "a" + "<b>" * 60_000 + "b" + "</i>" * 60_000 + "<li>c" * 60_000
     assert [t for t, *_ in html_text.page_blocks(deep)] == ["a" + "b", *["c"] * 60_000]
