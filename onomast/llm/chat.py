@@ -177,11 +177,13 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
         F.coalesce(F.concat(F.lit("c"), F.col(conv).cast("string")), F.concat(F.lit("r"), F.xxhash64(turn, text).cast("string"))).alias("_conv"),
         F.col(turn).alias("_turn"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
+        # Tells copies of a row apart, so that ranges can part them; which copy is which does not show in the result.
+        F.monotonically_increasing_id().alias("_copy"),
     )
-    order = ["_conv", F.asc_nulls_first("_turn"), "_text", *[F.col(a) for a in list(names)[2:]]]
+    order = ["_conv", F.asc_nulls_first("_turn"), "_text", *[F.col(a) for a in list(names)[2:]], "_copy"]
     ranged = chosen.repartitionByRange(*order).sortWithinPartitions(*order)
     # Written once: the limits of ranges differ from run to run.
-    ranged = stage(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "turns")
+    ranged = stage(ranged.drop("_copy").withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "turns")
     # Only the first and the last conversation of a range can stand in another range too. One row for each range.
     ends_of = ranged.groupBy("_part").agg(F.min_by("_conv", "_at").alias("_first"), F.max_by("_conv", "_at").alias("_last"))
     line = Window.orderBy("_part")
@@ -236,7 +238,7 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
                 roles[row] = roles[row] or role
         return frame[list(names)].assign(role=roles, n_turns=turns, rendered=["".join(r).rstrip() + "<|end|>\n" for r in rendered])
 
-    # A group is one range of the sort, whose size the partitioning bounds, whatever the length of a conversation.
+    # A group is one range of the sort, whose size the partitioning bounds, whatever the length of a conversation or the number of copies of a row.
     within = ranged.join(F.broadcast(edges), "_part")
     merged = within.groupBy("_part").applyInPandas(reduce, "_conv string, _part int, _matrix array<double>")
     limits = stage(merged.groupBy("_conv").applyInPandas(ends, "_conv string, _part int, _entry array<double>, _exit int"), "ends")

@@ -571,6 +571,23 @@ def test_ranges_do_not_change_the_path(spark, speakers):
     assert results[0] == results[1] and len(results[0]) == 82
 
 
+def test_ranges_part_copies_of_a_row(spark, speakers, monkeypatch):
+    """Copies of one row, in a conversation and without one, are dealt out to several ranges and decoded as in one."""
+    rows = [(1, 3, "User: hello\nand more?")] * 900 + [(None, None, "hm.")] * 900 + [(2, i, f"line {i}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(4)
+    staged, write = {}, chat.stage
+    monkeypatch.setattr(chat, "stage", lambda df, label: staged.setdefault(label, []).append(out := write(df, label)) or out)
+    results = []
+    for partitions in (1, 9):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        results.append(Counter(map(tuple, chat.recover_turns(frame, speakers).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in staged["turns"][1].groupBy("_part").count().collect()) <= 500
+    assert results[0] == results[1] and sum(results[0].values()) == 2_000
+
+
 # Pipeline
 
 
