@@ -49,7 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1,024 tokens."""
     _small_batches(spark)
-    pieces = packing.pack(docs, tokenizer_path(), ["doc_id"])
+    pieces = packing.pack(docs, tokenizer_path(), ["doc_id"], plain=False)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded")
 
 

@@ -33,17 +33,20 @@ class Encoder:
     Such a run takes white space only at its start, so a text's ids are those of its chunks: white space and the letters
     and digits after it, or what follows them up to the next white space. Chunks that come again are looked up; new ones are
     encoded together, end to end, and the ids dealt out by the bytes they stand for. Texts with characters on which
-    libraries disagree whether they are white space are encoded whole.
+    libraries disagree whether they are white space are encoded whole, as are those that hold an added token of the file,
+    unless such tokens are read as ``plain`` text.
     """
 
     CHUNK = re.compile(r"\s*[^\W_]+|\s*(?:[^\w\s]|_)\S*|\s+")
     ODD = re.compile(r"[\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]")
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, plain: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([self.ODD.pattern, *added]))
         self.kind = np.dtype(kind)
         # In a byte-level vocabulary a token has a character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab()
@@ -75,8 +78,10 @@ class Encoder:
             if len(self.known) > CACHED // 2:
                 self.known = {}
         known = self.known
-        odd = [i for i, t in enumerate(texts) if self.ODD.search(t)]
+        odd = [i for i, t in enumerate(texts) if self.odd.search(t)]
         split = [self.CHUNK.findall(t) for t in texts]
+        for i in odd:
+            split[i] = []
         new = set().union(*split).difference(known)
         alone = [c for c in new if not c[0].isspace() or c.isspace()]
         new.difference_update(alone)
@@ -94,19 +99,19 @@ class Encoder:
         return out
 
 
-def held_encoder(path: str, kind: str) -> Encoder:
+def held_encoder(path: str, kind: str, plain: bool) -> Encoder:
     """An encoder that stays in the Python worker for its next tasks, with the chunks it knows."""
     held = vars(sys.modules.setdefault("_held_encoders", ModuleType("_held_encoders")))
-    if (path, kind) not in held:
-        held[path, kind] = Encoder(path, kind)
-    return held[path, kind]
+    if (path, kind, plain) not in held:
+        held[path, kind, plain] = Encoder(path, kind, plain)
+    return held[path, kind, plain]
 
 
-def _tokenise(batches: Iterator[pd.DataFrame], path: str, kind: str, end_id: int) -> Iterator[pd.DataFrame]:
+def _tokenise(batches: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, plain: bool) -> Iterator[pd.DataFrame]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encode, end = held_encoder(path, kind), np.array([end_id], kind).tobytes()
+    encode, end = held_encoder(path, kind, plain), np.array([end_id], kind).tobytes()
     part, at = TaskContext.get().partitionId(), 0
     for batch in batches:
         for low in range(0, len(batch), 500):
@@ -134,11 +139,14 @@ def _cut(batches: Iterator[pd.DataFrame], kind: str, window: int, carried: list[
             )
 
 
-def pack(docs: DataFrame, tokenizer: str, carried: list[str], text: str = "text", window: int = 1024, end_id: int = 0, vocabulary: int = 65_536) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, carried: list[str], text: str = "text", window: int = 1024, end_id: int = 0, vocabulary: int = 65_536, plain: bool = True
+) -> DataFrame:
     """Pieces of documents in sequences of ``window`` tokens.
 
     ``tokenizer`` is the path of a byte-level BPE file on every executor. A document is its ids and ``end_id``; a null
-    text is empty. Columns: the ``carried`` ones, doc_tokens, start (its ids before the piece), length, sequence_id,
+    text is empty. The name of an added token such as ``<|endoftext|>`` in a text is read as ``plain`` text, or else as that
+    token, which is what the file gives by default. Columns: the ``carried`` ones, doc_tokens, start (its ids before the piece), length, sequence_id,
     offset (place in the sequence), padded (the sequence's length with padding: the window, or its own length if that is a power of two),
     ids (little-endian unsigned 32-bit). An empty table gives an empty one; repeated rows are packed each.
     """
@@ -147,7 +155,7 @@ def pack(docs: DataFrame, tokenizer: str, carried: list[str], text: str = "text"
     chosen = docs.select(*[F.col(c).alias(a) for a, c in names.items()], F.col(text).alias("_text"))
     fields = ", ".join(f"{a} {chosen.schema[a].dataType.simpleString()}" for a in names)
     first = chosen.mapInPandas(
-        lambda batches: _tokenise(batches, tokenizer, kind, end_id), ", ".join(filter(None, [fields, "_part long, _before long, doc_tokens long, _ids binary"]))
+        lambda batches: _tokenise(batches, tokenizer, kind, end_id, plain), ", ".join(filter(None, [fields, "_part long, _before long, doc_tokens long, _ids binary"]))
     )
     path = scratch_path(spark, "ids")
     with arrow_batches(spark, 2_000):

@@ -38,7 +38,7 @@ def op1_mix_entropy(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_pack_concat(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.pack(_read(spark, folder, "documents"), tokenizer_path(), ["doc_id"])
+    pieces = packing.pack(_read(spark, folder, "documents"), tokenizer_path(), ["doc_id"], plain=False)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded")
 
 

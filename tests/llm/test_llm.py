@@ -144,6 +144,22 @@ def test_pack_odd_texts(spark):
     assert packing.pack(docs.limit(0), tokenizer_path(), ["doc_id"]).collect() == []
 
 
+def test_pack_queries_read_added_tokens(spark, tmp_path):
+    """The queries' ids are those of the tokenizer's file with no setting changed."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y\n\n<|endoftext|>  ", "a <|endoftext| > b", "plain words a b", None, "a\x1c <|endoftext|>b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for found in (QUERIES["op2_pack_concat"](spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        rows = {r["doc_id"]: r for r in found.collect()}
+        for key, text in enumerate(texts):
+            ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+            assert (rows[key]["doc_tokens"], rows[key]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 # Nearest neighbours
 
 
