@@ -65,8 +65,11 @@ def learn(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, np.log(smoothed / smoothed.sum(axis=0)).astype(np.float32)
 
 
-def mixtures(grams: list[np.ndarray], model: np.ndarray, rounds: int = 12, most: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Best language and its share in the chosen set, for documents given by their buckets (none of them empty)."""
+def mixtures(grams: list[np.ndarray], model: np.ndarray, rounds: int = 12, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Best language and its share in the chosen set, for documents given by their buckets (none of them empty).
+
+    Sets of up to ``least`` languages are tried for every document, larger ones, up to all, as long as the last one was the best.
+    """
     langs = model.shape[1]
     at, number, sizes = [], [], []
     for g in grams:
@@ -96,14 +99,24 @@ def mixtures(grams: list[np.ndarray], model: np.ndarray, rounds: int = 12, most:
     order, docs = np.argsort(-full, axis=1, kind="stable"), np.arange(len(sizes))
     best, lang, share = np.full(len(sizes), -np.inf), order[:, 0].copy(), np.ones(len(sizes))
     allowed = np.zeros_like(full)
-    for k in range(min(langs, most)):
-        allowed[docs, order[:, k]] = 1
+    for k in range(langs):
+        if k >= least:
+            # Only documents that the last language made better go on, by themselves.
+            if not better.any():
+                break
+            if not better.all():
+                rows = np.repeat(better, sizes)
+                given, n, sizes = given[rows], n[rows], [size for size, more in zip(sizes, better) if more]
+                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                docs, total, base, full, order, allowed = (x[better] for x in (docs, total, base, full, order, allowed))
+        allowed[np.arange(len(docs)), order[:, k]] = 1
         shares = full * allowed + 1e-6 * allowed
         shares = fit((shares / shares.sum(axis=1, keepdims=True)).astype(np.float32), rounds // 2 if k else 0)
         # Each letter is in three trigrams, so a third of the log-likelihood counts; each further language costs two numbers.
         value = likelihood(shares) / 3 - k * np.log(np.maximum(total / 3, 2.0))
-        better = value > best
-        best[better], lang[better], share[better] = value[better], shares.argmax(axis=1)[better], shares.max(axis=1)[better]
+        better = value > best[docs]
+        found = docs[better]
+        best[found], lang[found], share[found] = value[better], shares.argmax(axis=1)[better], shares.max(axis=1)[better]
     return lang, share
 
 

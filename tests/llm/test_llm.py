@@ -295,6 +295,18 @@ def test_language_of_odd_and_mixed_texts(spark, documents):
     assert language.learn(documents.limit(0))[0] == []
 
 
+def test_language_of_texts_in_four_languages(spark, documents):
+    langs, model = language.learn(documents)
+    some = {r["lang"]: r["text"] for r in documents.where("length(text) > 800 AND lang IS NOT NULL").orderBy("doc_id").collect()}
+    assert len(langs) == len(some) == 4
+    four, one = "\n".join(t[:400] for t in some.values()), some["de"][:800]
+    found = language.predict([one, four, one + some["fr"][:400], four], langs, model, language.letter_table())
+    assert all(0.2 < found["score"][i] < 0.31 for i in (1, 3))
+    # Documents that are worked on together do not change one another.
+    alone = [language.predict([t], langs, model, language.letter_table()).iloc[0].tolist() for t in (one, four, one + some["fr"][:400])]
+    assert found["lang"].tolist()[:3] == [a[0] for a in alone] and np.allclose(found["score"][:3], [a[1] for a in alone], atol=1e-5)
+
+
 # Near copies
 
 
