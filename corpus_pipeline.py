@@ -21,9 +21,11 @@ def _small_batches(spark: SparkSession) -> None:
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; ``lang`` becomes the one that was found."""
+    """Documents with a letter in their text; ``lang`` becomes the one that was found, or stays if no row to learn from has one."""
     _small_batches(spark)
     langs, model = language.learn(docs.where(~held_out("doc_id")))
+    if not langs:
+        return docs.where(language.lettered(F.col("text")))
     (name,) = unused(docs, "_lang")
     found = docs.withColumn(name, language.language_column(F.col("text"), langs, model)["lang"])
     return found.where(F.col(name) != language.UNKNOWN).withColumn("lang", F.col(name)).select(*docs.columns)

@@ -144,6 +144,16 @@ def predict(texts: pd.Series, langs: list[str], model: np.ndarray, letters: np.n
     return pd.DataFrame({"lang": names, "score": scores})
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def has_letter(texts: pd.Series) -> pd.Series:
+        return pd.Series([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
+
+    return has_letter(text)
+
+
 def language_column(text: Column, langs: list[str], model: np.ndarray) -> Column:
     """Struct of ``lang`` and ``score``: ``und`` and 0 for null, for texts without a letter, and if nothing was learnt."""
 

@@ -658,6 +658,22 @@ def test_pipeline_against_brute_force(spark, texts, documents):
     assert {k: times[k] * size[k] for k in times} == dict(tokens)
 
 
+def test_pipeline_of_an_unlabelled_corpus(spark):
+    import corpus_pipeline
+
+    docs = odd_documents(spark).select("doc_id", "text", F.when(F.col("doc_id") < 0, "en").alias("lang"), "source", "n_chars")
+    kept = corpus_pipeline.by_language(spark, docs, FOLDER)
+    lettered = Counter(tuple(r) for r in docs.collect() if any(c.isalpha() for c in r["text"] or ""))
+    assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == lettered and sum(lettered.values()) == 5
+    # A table whose only labelled row is held out: its label stays.
+    one = spark.createDataFrame([(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 0), "some words", "en", "a", 10)], docs.schema)
+    assert [r["lang"] for r in corpus_pipeline.by_language(spark, one, FOLDER).collect()] == ["en"]
+    at = docs
+    for name, function in corpus_pipeline.STAGES:
+        at = corpus_pipeline.stage(function(spark, at, FOLDER), name)
+    assert at.count() > 0
+
+
 def test_pipeline_of_odd_rows(spark):
     import corpus_pipeline
 
