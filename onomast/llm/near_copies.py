@@ -1,8 +1,9 @@
 """Jaccard join of texts on word shingles, by a forest of MinHash prefix tries.
 
 A text's signature is cut into trees of several values each; a tree sorts the texts by its values, and texts that share
-the first values lie below one node. The join starts at the full depth, where few but the most alike texts meet, and
-shortens the shared prefix value by value until the estimated recall reaches the target.
+the first values lie below one node. The join starts at the full depth and shortens the shared prefix value by value until
+the estimated recall reaches the target. With ``TREES``, ``DEPTH`` and ``TARGET`` as they are, the full depth reaches it at
+once: this is banding of 24 x 5, and only other values shorten anything.
 
 Texts with the same shingles are one class from the start, however many they are. Classes that meet at nodes, directly or
 through others, are compared exactly, block against block inside tasks that pass on counts and one link for each class that

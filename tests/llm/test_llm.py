@@ -350,6 +350,20 @@ def test_near_copies_in_blocks(spark, monkeypatch):
     check_groups(found.select("doc_id", F.col("group.doc_id").alias("class_id"), "n_links").collect(), texts)
 
 
+def test_near_copies_shorten_prefixes_of_a_deeper_forest(spark, monkeypatch):
+    """The depth given meets the target at once; a deeper one takes more rounds and finds the same."""
+    rounds, compare = [], near_copies._shingle_sets
+    monkeypatch.setattr(near_copies, "_shingle_sets", lambda *a: rounds.append(1) or compare(*a))
+    base = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join([*base[:20], f"x{i}", *base[21:]]) for i in range(12)} | {100 + i: " ".join(f"v{i}_{j}" for j in range(30)) for i in range(5)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for depth, expected in ((near_copies.DEPTH, 1), (7, 3)):
+        rounds.clear()
+        found = near_copies.near_copies(docs, ["doc_id"], depth=depth)
+        check_groups(found.select("doc_id", F.col("group.doc_id").alias("class_id"), "n_links").collect(), texts)
+        assert len(rounds) == expected
+
+
 def test_keep_one(spark):
     docs = odd_documents(spark)
     kept = near_copies.keep_one(docs)
