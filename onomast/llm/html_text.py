@@ -249,9 +249,12 @@ def run_hashes(stream: np.ndarray, run: int = RUN) -> np.ndarray:
     return found.view(np.int64)
 
 
+RUN_TYPES = {"_host": "object", "_cut": "int64", "_run": "int64", "_low": "int64", "_high": "int64", "_open": "bool"}
+
+
 def _part_runs(pages: pd.DataFrame) -> pd.DataFrame:
     """The different runs of each part of a host: the smallest and largest page that has them, and whether an open page does."""
-    found = [pd.DataFrame({"_host": [], "_cut": [], "_run": [], "_low": [], "_high": [], "_open": []})]
+    found = [pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in RUN_TYPES.items()})]
     for (host, cut), some in pages.groupby(["_host", "_cut"], sort=False):
         hashes = [run_hashes(np.asarray(s, np.int64)) for s in some["_stream"]]
         sizes = [len(h) for h in hashes]

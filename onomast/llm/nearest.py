@@ -26,6 +26,7 @@ SAMPLE_ROWS, SAMPLE_QUERIES = 8_192, 128
 MOST_LISTS, COLUMN_BLOCK, TEST_WIDTH = 1_024, 16, 2.1
 LIST_BLOCK, QUERY_BLOCK = 4_096, 512
 SAMPLE_RECALL = 0.97
+HIT_TYPES = {"query": "int64", "score": "float64", "ids": "object"}
 
 
 def usable(vector: Column) -> Column:
@@ -179,7 +180,8 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, id: str = "vec_id", ve
                 found["query"] += some["query"].to_numpy()[q[kept]].tolist()
                 found["score"] += scores[kept].tolist()
                 found["ids"] += [ids[i] for i in c[kept]]
-        return pd.DataFrame(found)
+        # Typed, as a list without any candidate left gives three empty columns.
+        return pd.DataFrame({name: pd.Series(found[name], dtype=kind) for name, kind in HIT_TYPES.items()})
 
     on = ["list", "block", "part"]
     dealt_out = candidates.select(*on, "vector", "ids")

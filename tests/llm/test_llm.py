@@ -194,6 +194,46 @@ def test_nearest_on_odd_vectors(spark):
     assert nearest.nearest(table.limit(0), F.lit(True)).collect() == [] and nearest.nearest(table.where("vec_id = 200"), F.lit(True)).collect() == []
 
 
+def vectors_of(spark, matrix):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+
+
+def recall_of(table, matrix, asked, k=20):
+    found = defaultdict(list)
+    for r in nearest.nearest(table, asked, k).collect():
+        found[r["query_id"]].append(r["vec_id"])
+    shares = []
+    for q, ids in found.items():
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        assert len(ids) == min(k, len(matrix) - 1) == len(set(ids))
+        shares.append(len(set(np.lexsort((np.arange(len(matrix)), -scores))[:k].tolist()) & set(ids)) / len(ids))
+    return len(found), float(np.mean(shares))
+
+
+def test_nearest_in_narrow_cones(spark):
+    """Clustered vectors of different lengths: most probed lists have no candidate that passes the bound."""
+    rng = np.random.default_rng(5)
+    axes = rng.normal(size=(8, 32))
+    axes /= np.linalg.norm(axes, axis=1)[:, None]
+    matrix = (axes[rng.integers(0, 8, 1200)] + 0.02 * rng.normal(size=(1200, 32))) * rng.lognormal(0, 0.7, 1200)[:, None]
+    table = vectors_of(spark, matrix)
+    asked, share = recall_of(table, matrix, F.col("vec_id") % 20 == 0)
+    assert asked == 60 and share >= 0.9
+    asked, share = recall_of(table, matrix, F.col("vec_id") == 7)
+    assert asked == 1 and share >= 0.9
+    assert nearest.nearest(table, F.lit(False)).collect() == []
+
+
+def test_nearest_with_lists_without_a_survivor(spark):
+    """Two far groups on opposite sides: the other group's lists keep nothing for any query."""
+    rng = np.random.default_rng(6)
+    side = np.where(np.arange(800) % 2 == 0, 1.0, -1.0)
+    matrix = np.column_stack([side * 100, rng.normal(size=(800, 15))])
+    asked, share = recall_of(vectors_of(spark, matrix), matrix, F.col("vec_id") % 40 == 0)
+    assert asked == 20 and share >= 0.9
+
+
 # Secrets
 
 ASSIGNED = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
