@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan
+from . import chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan, tandem
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,14 @@ def op10_chat_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     return chat.recover_turns(rows, model, carried=["role"])
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    found = docs.select("doc_id", tandem.runs_column(F.col("text"), F.crc32(F.col("doc_id").cast("string"))).alias("r"))
+    fields = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    return found.select("doc_id", *[F.col(f"r.{name}").alias(name) for name in fields])
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
