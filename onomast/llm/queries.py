@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan, tandem
+from . import centroids, chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan, tandem
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,42 @@ def op10_chat_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     return chat.recover_turns(rows, model, carried=["role"])
 
 
+@query
+def op12_centroids_heap(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(_read(spark, folder, "embeddings"))
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Lloyd's rounds as a chain of tables: distances, nearest centroids and new centroids of each round."""
+    chain = ""
+    for i in range(rounds + 1):
+        chain += f""", a{i} AS MATERIALIZED (
+    SELECT r, c, d FROM (
+        SELECT r, c, list_sum(list_transform(list_zip(k.v, e.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept k, c{i} e
+    ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)"""
+        if i < rounds:
+            chain += f""", c{i + 1} AS MATERIALIZED (
+    SELECT c, coalesce(m.v, e.v) AS v FROM c{i} e LEFT JOIN (
+        SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS v
+        FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i} JOIN kept USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i) GROUP BY c
+    ) m USING (c)
+)"""
+    return chain
+
+
+ORACLES["op12_centroids_heap"] = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, v) - 1 AS c, v FROM kept QUALIFY c < 40
+){_centroid_rounds(5)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+    sha256(array_to_string(e.v, ',')) AS centroid_sha256
+FROM a5 JOIN kept USING (r) JOIN c5 e USING (c)"""
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
