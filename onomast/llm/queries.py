@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan, tandem
+from . import centroids, chat, classifier, html_text, language, mixing, near_copies, nearest, packing, quality_rules, secret_scan, tandem, url_filter
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,17 @@ def op10_chat_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     return chat.recover_turns(rows, model, carried=["role"])
 
 
+# The rules of the test pages.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query
+def op11_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _read(spark, folder, "pages")
+    model = url_filter.learn(pages, URL_RULES)
+    return url_filter.judge_urls(pages, URL_RULES, model, ["page_id"])
+
+
 @query
 def op12_centroids_heap(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.cluster_vectors(_read(spark, folder, "embeddings"))
