@@ -181,6 +181,44 @@ def enrich_calls(t: Tables):
     return enrich(_parts(t), "name", CallProvider(answerer(), max_concurrent=64))
 
 
+def unreliable():
+    """The same replies, but for questions that fail: an error for names with an m in front, none about the sound of those that end in t."""
+    answer = answerer()
+
+    def fail(task: str, name: str, prompt: str) -> str | None:
+        if name.startswith("m"):
+            raise ValueError(name)
+        return None if name.endswith("t") and task == "pronunciation" else answer(task, name, prompt)
+
+    return fail
+
+
+def _unanswered_sql(tasks: str) -> str:
+    names = f"SELECT DISTINCT name FROM ({_PARTS_SQL})"
+    error = "CASE WHEN name LIKE 'm%' THEN 'ValueError: ' || name WHEN name LIKE '%t' AND task = 'pronunciation' THEN 'no reply' END"
+    return f"SELECT name AS key, task, {error} AS error FROM ({names}), (SELECT unnest({tasks}) AS task)"
+
+
+_TASKS_SQL = "['origin', 'description', 'pronunciation']"
+
+
+@query("enrich_failed_calls", f"SELECT * FROM ({_unanswered_sql(_TASKS_SQL)}) WHERE error IS NOT NULL")
+def enrich_failed_calls(t: Tables):
+    provider = CallProvider(unreliable(), max_concurrent=64)
+    enrich(_parts(t), "name", provider)
+    return provider.failed()
+
+
+@query(
+    "enrich_call_figures",
+    f"SELECT task, count(*) AS keys, count(*) AS calls, count(*) - count(error) AS replies, count(error) AS failed FROM ({_unanswered_sql(_TASKS_SQL)}) GROUP BY task",
+)
+def enrich_call_figures(t: Tables):
+    provider = CallProvider(unreliable(), max_concurrent=64)
+    enrich(_parts(t), "name", provider)
+    return provider.figures().select("task", "keys", "calls", "replies", "failed")
+
+
 @query("enrich_names", _enriched_sql(f"SELECT * FROM ({_PARTS_SQL}) ORDER BY md5('11:' || id), id LIMIT 100"))
 def enrich_names_query(t: Tables):
     return enrich_names(_parts(t), RuleProvider(RULES), "random", 100, 11, key="name", draw_by="id")

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from ..functions.replies import json_all_or_nothing, json_default
 from ..functions.text import clean_text, default_if_falsy, truncate_ellipsis
-from ..sources.scratch import stage
+from ..sources.scratch import scratch_path, stage
 from .joins import lookup_join
+from .reply_log import ReplyLog
 
 # The allowed origins and levels of difficulty.
 ORIGINS = [
@@ -79,58 +81,67 @@ def build_prompt(task: str, name: Column, origin: Column | None = None) -> Colum
 class CallProvider:
     """Answers by calling ``answer(task, name, prompt)``, which must be picklable, on the executors.
 
-    Tasks times calls at a time in each never exceed ``max_concurrent``, however many cores the cluster has or gets. A
-    call that raises has no reply. With a ``folder``, replies are kept there, and a later run only asks for what has none.
+    Tasks times calls at a time in each never exceed ``max_concurrent``, however many cores the cluster has or gets. Replies are
+    committed to a log after each batch of ``batch_keys`` names, so that a lost executor or driver costs at most one batch a second
+    call. A call that raises or returns None has no reply; ``failed`` lists those, with their errors, and ``figures`` sums
+    calls, failures and speed up. With a ``folder``, the log is kept there, and a later run only asks for what has no reply.
     """
 
     answer: Callable[[str, str | None, str], str | None]
     max_concurrent: int = 8
     folder: str | None = None
+    batch_keys: int = 1_000
+    logs: dict[str, ReplyLog] = field(default_factory=dict, init=False, repr=False)
 
     def split(self, cores: int) -> tuple[int, int]:
         """Number of tasks and of calls at a time in each."""
         tasks = max(1, min(cores, self.max_concurrent))
         return tasks, max(1, self.max_concurrent // tasks)
 
-    def kept(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
-        """The replies, written down before they are used, so that nothing later in the plan asks again."""
-        if self.folder is None:
-            return stage(self.replies(asked, key, tasks), "-".join(tasks))
-        spark, path = asked.sparkSession, f"{self.folder.rstrip('/')}/{'-'.join(tasks)}"
-        schema = StructType([StructField(f.name, f.dataType, True) for f in asked.select(key, *tasks).schema])
-
-        def known() -> DataFrame:
-            rows = spark.read.schema(schema).parquet(path).where(" and ".join(f"`{t}` is not null" for t in tasks))
-            return rows.groupBy(key).agg(F.min(F.struct(*tasks)).alias("_r")).select(F.col(key).alias("_key"), "_r.*")
-
-        # An empty first write makes the folder; appended files are complete replies of earlier runs.
-        asked.sparkSession.createDataFrame([], schema).write.mode("append").parquet(path)
-        new = asked.join(known(), F.col(key).eqNullSafe(F.col("_key")), "left_anti")
-        self.replies(new, key, tasks).select(key, *tasks).write.mode("append").parquet(path)
-        rows = asked.drop(*tasks).join(known(), F.col(key).eqNullSafe(F.col("_key")), "left")
+    def replies(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
+        """Replace the prompts in the columns named like the tasks by the replies, which are in the log before they are used."""
+        # Written, so that the names are worked out once, for the questions and for the answers.
+        spark, name, asked = asked.sparkSession, "-".join(tasks), stage(asked, "asked")
+        path = scratch_path(spark, name) if self.folder is None else f"{self.folder.rstrip('/')}/{name}"
+        log = self.logs[path] = ReplyLog(spark, path, asked.schema[key].dataType, tasks)
+        log.ask(asked, key, lambda some: self._called(some, log), self.batch_keys)
+        rows = asked.drop(*tasks).join(log.known(), F.col(key).eqNullSafe(F.col("_key")), "left")
         return rows.select(asked.columns)
 
-    def replies(self, asked: DataFrame, key: str, tasks: tuple[str, ...]) -> DataFrame:
-        """Replace the prompts in the columns named like the tasks by the replies."""
-        answer = self.answer
-        tasks_wanted, threads = self.split(asked.sparkSession.sparkContext.defaultParallelism)
+    def _called(self, prompts: DataFrame, log: ReplyLog) -> DataFrame:
+        """Replies and calls of a frame of prompts; a null prompt is not asked."""
+        answer, tasks = self.answer, log.tasks
+        tasks_wanted, threads = self.split(prompts.sparkSession.sparkContext.defaultParallelism)
 
-        def one(job: tuple[str, str | None, str]) -> str | None:
+        def one(job: tuple[str, str | None, str | None]) -> tuple[str | None, dict | None]:
+            if job[2] is None:
+                return None, None
+            reply, error, started = None, None, time.time()
             try:
-                return answer(*job)
-            except Exception:
-                return None
+                reply = answer(*job)
+                error = "no reply" if reply is None else None
+            except Exception as problem:
+                error = f"{type(problem).__name__}: {problem}"[:500]
+            return reply, {"task": job[0], "error": error, "started": started, "seconds": time.time() - started}
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with ThreadPoolExecutor(threads) as pool:
                 for batch in batches:
-                    jobs = [(t, n, p) for t in tasks for n, p in zip(batch[key], batch[t])]
-                    found = list(pool.map(one, jobs))
-                    size = len(batch)
-                    yield batch.assign(**{t: found[i * size : (i + 1) * size] for i, t in enumerate(tasks)})
+                    jobs = [(t, n, p) for t in tasks for n, p in zip(batch["_key"], batch[t])]
+                    found, size = list(pool.map(one, jobs)), len(batch)
+                    said = {t: pd.Series([r for r, _ in found[i * size : (i + 1) * size]], dtype=object) for i, t in enumerate(tasks)}
+                    calls = [[c for _, c in found[row::size] if c] for row in range(size)]
+                    yield pd.DataFrame({"_key": batch["_key"].reset_index(drop=True), **said, "_calls": pd.Series(calls, dtype=object)})
+
+        return prompts.repartition(tasks_wanted, "_key").mapInPandas(run, log.schema)
+
+    def failed(self) -> DataFrame:
+        """(key, task, error) of the questions that have no reply; only after an enrichment."""
+        return functools.reduce(DataFrame.unionByName, [log.failed() for log in self.logs.values()])
 
-        schema = StructType([StructField(f.name, f.dataType, True) for f in asked.schema])
-        return asked.repartition(tasks_wanted, key).mapInPandas(run, schema)
+    def figures(self) -> DataFrame:
+        """Calls, replies, failures and speed by task; only after an enrichment."""
+        return functools.reduce(DataFrame.unionByName, [log.figures() for log in self.logs.values()])
 
 
 @dataclass
@@ -223,7 +234,7 @@ def enrich(df: DataFrame, key: str, provider: Provider) -> DataFrame:
     Each different name is asked about once. The origin comes first, as both other prompts name it. Columns of an earlier
     enrichment are replaced.
     """
-    replies = provider.kept if isinstance(provider, CallProvider) else provider.replies
+    replies = provider.replies
     df = df.drop(*NEW_COLUMNS)
     keys = df.select(key).distinct()
     asked = keys.withColumn("origin", build_prompt("origin", F.col(key)))

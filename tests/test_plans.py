@@ -376,6 +376,65 @@ def test_replies_in_a_folder_are_not_asked_for_again(spark, tmp_path):
     assert all(len(p.read_text()) == 1 for p in log.iterdir() if p.name != "ready")
 
 
+def test_a_killed_task_costs_one_batch_at_most(spark, tmp_path):
+    """The worker dies in the middle of the names; the next run asks again for what its batch had not committed."""
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def answer(task, name, prompt):
+        with open(log / f"{task}-{name}", "a") as file:
+            file.write("x")
+        if len(list(log.iterdir())) == 25 and not (log.parent / "killed").exists():
+            (log.parent / "killed").write_text("")
+            os._exit(1)
+        return '{"origin":"Vasco"}' if task == "origin" else "x"
+
+    names = spark.createDataFrame([(f"n{i:02}",) for i in range(40)], "key string")
+    provider = CallProvider(answer, max_concurrent=2, folder=str(tmp_path / "replies"), batch_keys=5)
+    with pytest.raises(Exception):
+        enrich(names, "key", provider).collect()
+    before = {p.name for p in log.iterdir()}
+    committed = provider.logs[f"{tmp_path}/replies/origin"].known().count()
+    assert len(before) >= 25 and 10 <= committed < 25
+    assert {r["Family_Origin"] for r in enrich(names, "key", provider).collect()} == {"Vasco"}
+    calls = {p.name: len(p.read_text()) for p in log.iterdir()}
+    assert len(calls) == 120 and set(calls.values()) <= {1, 2}
+    twice = [name for name, n in calls.items() if n == 2]
+    assert len(twice) == len(before) - committed <= 12 and all(name.startswith("origin-") for name in twice)
+
+
+def test_failed_calls_are_listed_and_only_they_are_asked_again(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def answer(task, name, prompt):
+        with open(log / f"{task}-{name}", "a") as file:
+            file.write("x")
+        if not (log.parent / "ready").exists():
+            if name == "down":
+                raise TimeoutError("too late")
+            if name == "mute" and task == "pronunciation":
+                return None
+        return '{"origin":"Vasco"}' if task == "origin" else "x"
+
+    names = spark.createDataFrame([("ana",), ("down",), ("mute",), (None,)], "key string")
+    provider = CallProvider(answer, max_concurrent=2, folder=str(tmp_path / "replies"))
+    first = {r["key"]: (r["Family_Origin"], r["Name_Description"]) for r in enrich(names, "key", provider).collect()}
+    assert first["down"] == ("Otro", "Nombre de origen Otro.") and first["mute"] == ("Vasco", "x")
+    late = "TimeoutError: too late"
+    assert rows(provider.failed()) == sorted([("down", t, late) for t in ("origin", "description", "pronunciation")] + [("mute", "pronunciation", "no reply")])
+    figures = {r["task"]: r for r in provider.figures().collect()}
+    assert {t: (r["keys"], r["calls"], r["replies"], r["failed"]) for t, r in figures.items()} == {
+        "origin": (4, 4, 3, 1), "description": (4, 4, 3, 1), "pronunciation": (4, 4, 2, 2),
+    }
+    assert all(r["calls_per_minute"] is None or r["calls_per_minute"] > 0 for r in figures.values())
+    (tmp_path / "ready").write_text("")
+    enrich(names, "key", provider)
+    assert provider.failed().isEmpty()
+    again = {p.name for p in log.iterdir() if len(p.read_text()) == 2}
+    assert again == {"origin-down", "description-down", "pronunciation-down", "pronunciation-mute"}
+
+
 def test_repeated_replies_do_not_multiply_rows(spark):
     table = spark.createDataFrame([("ana", f'{{"origin":"{o}"}}', "d", "{}", i) for i, o in enumerate(["Vasco", "Griego", "Chino"])],
         "key string, origin_raw string, description_raw string, pronunciation_raw string, at int")
