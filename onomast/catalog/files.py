@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..plans.names import build_names_base
+from ..plans.names import AGE, COUNT, NAME, build_names_base
 from ..plans.population import POPULATION_COLUMNS
 from ..sources import readers, writers
 from .registry import Tables, query
@@ -90,6 +90,24 @@ def scan_tagged_sheets(t: Tables):
     return build_names_base(t.spark, write_sheets(t))
 
 
+_BROKEN_SQL = "replace(c_name || chr(10) || c_nationkey || ' \"' || c_mktsegment || '\", x', 'o', chr(10))"
+
+
+@query(
+    "scan_tagged_sheets_breaks",
+    f"""SELECT {_BROKEN_SQL} AS "Nombre", c_custkey AS "Frecuencia", CAST(c_nationkey AS DOUBLE) AS "Edad Media (*)",
+    CASE WHEN c_acctbal < 0 THEN 'Female' ELSE 'Male' END AS "Gender" FROM customer""",
+)
+def scan_tagged_sheets_breaks(t: Tables):
+    """Cells with line breaks, quotes and commas, in files that are read in splits."""
+    folder = t.scratch("sheets")
+    text = F.concat("c_name", F.lit("\n"), "c_nationkey", F.lit(' "'), "c_mktsegment", F.lit('", x'))
+    cells = [F.replace(text, F.lit("o"), F.lit("\n")).alias(NAME), F.col("c_custkey").alias(COUNT), F.col("c_nationkey").cast("double").alias(AGE)]
+    for label, chosen in (("Hombres", "c_acctbal >= 0"), ("Mujeres", "c_acctbal < 0")):
+        writers.write_csv(t.customer.where(chosen).select(*cells), f"{folder}/{label}")
+    return build_names_base(t.spark, f"{folder}/*", skip=0, multiline=True)
+
+
 @query(
     "scan_json_series",
     """SELECT ' order ' || l_orderkey AS nombre, CASE l_linestatus WHEN 'O' THEN 'Male' ELSE 'Female' END AS gender,

@@ -18,9 +18,9 @@ SHEET_SCHEMA = f"`{NAME}` string, `{COUNT}` bigint, `{AGE}` double"
 PREAMBLE = 6
 
 
-def build_names_base(spark: SparkSession, path: str, schema: str = SHEET_SCHEMA, skip: int = PREAMBLE) -> DataFrame:
-    """Both sheets as one table: name, count, average age, gender."""
-    return scan_tagged_sheets(spark, path, schema, skip, SHEETS, GENDER).select(NAME, COUNT, AGE, GENDER)
+def build_names_base(spark: SparkSession, path: str, schema: str = SHEET_SCHEMA, skip: int = PREAMBLE, multiline: bool = False) -> DataFrame:
+    """Both sheets as one table: name, count, average age, gender. ``multiline`` allows line breaks in quoted cells."""
+    return scan_tagged_sheets(spark, path, schema, skip, SHEETS, GENDER, multiline=multiline).select(NAME, COUNT, AGE, GENDER)
 
 
 def simple_male() -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
+from .records import quoted_records, text_lines
+
 FILE_ORDER = "_file_order"
 
 
@@ -67,7 +69,7 @@ def scan_csv(
     """Delimited files with a header; the schema's columns are found by their names in it. A bad value is an error.
 
     Columns that the schema does not name are left out, one that no header has is a ``ValueError``. ``multiline`` allows
-    line breaks inside quotes; such files cannot be split, so keep them small.
+    line breaks inside quotes, as in ``scan_csv_strings``.
     """
     raw = scan_csv_strings(spark, path, sep, multiline, glob)
     wanted = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
@@ -82,10 +84,15 @@ def scan_csv_strings(
 ) -> DataFrame:
     """Delimited files with a header, every column a string under its name in the header.
 
-    The header is read once. A file with another header, and a row with more or fewer fields, is an error.
+    The header is read once. A file with another header, and a row with more or fewer fields, is an error. ``multiline`` allows
+    line breaks inside quotes: such files are read in splits too, twice (``quoted_records``); quotes may then only stand around
+    whole fields and, doubled, inside of them.
     """
     options = {"sep": sep, "header": True, "escape": '"', "multiLine": multiline} | ({"pathGlobFilter": glob} if glob else {})
     names = _open(spark.read.options(inferSchema=False, **options), path, "csv").schema
+    if multiline:
+        records = quoted_records(text_lines(spark, path, glob), 1, names.fieldNames(), sep)
+        return records.select(_parsed(F.col("value"), names, sep).alias("row")).select("row.*")
     strict = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
     return _open(spark.read.schema(names).options(**options, **strict), path, "csv")
 
@@ -133,27 +140,31 @@ def _drop_preamble(skip: int):
     return drop
 
 
+def _parsed(value: Column, schema: StructType | str, sep: str) -> Column:
+    """A delimited record as a struct; a record with other fields than the schema's is an error."""
+    text = schema if isinstance(schema, str) else ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+    return F.from_csv(value, F.lit(text), {"sep": sep, "escape": '"', "mode": "FAILFAST", "multiLine": "true"})
+
+
 def scan_tagged_sheets(
-    spark: SparkSession, path: str, schema: StructType | str, skip: int, tags: dict[str, str], tag: str, sep: str = ","
+    spark: SparkSession, path: str, schema: StructType | str, skip: int, tags: dict[str, str], tag: str, sep: str = ",", multiline: bool = False
 ) -> DataFrame:
     """Delimited sheets that start with ``skip`` lines and a header, as one table with the tag of their sheet.
 
     ``tags`` maps the sheet's label, which is part of the file's path, to the tag. Files are read in splits; only the
-    split that starts a file has lines to leave out. No line break may stand inside a quoted field. A file without a known
-    label is an error.
+    split that starts a file has lines to leave out. ``multiline`` allows line breaks inside quoted fields, as in
+    ``scan_csv_strings``; without it, a line is a row. A file without a known label is an error.
     """
     lines = _open(spark.read, path, "text").select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
-    body = lines.mapInArrow(_drop_preamble(skip + 1), lines.schema)
+    body = quoted_records(text_lines(spark, path), skip + 1) if multiline else lines.mapInArrow(_drop_preamble(skip + 1), lines.schema)
     label = F.regexp_extract("file", "/(" + "|".join(tags) + r")[^/]*(/[^/]*)?$", 1)
     sheet = F.element_at(F.create_map(*[F.lit(x) for pair in tags.items() for x in pair]), label)
     sheet = F.coalesce(sheet, F.raise_error(F.concat(F.lit("no known label in the path of "), F.col("file"))))
-    text = schema if isinstance(schema, str) else schema.toDDL()
-    row = F.from_csv("value", F.lit(text), {"sep": sep, "escape": '"', "mode": "FAILFAST"})
-    return body.where(F.col("value") != "").select(row.alias("row"), sheet.alias(tag)).select("row.*", tag)
+    return body.where(F.col("value") != "").select(_parsed(F.col("value"), schema, sep).alias("row"), sheet.alias(tag)).select("row.*", tag)
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
