@@ -33,6 +33,18 @@ def top_n_per_group_query(t: Tables):
     return top_n_per_group(_orders(t), "o_orderstatus", "o_totalprice", 5, ["o_orderkey"])
 
 
+@query(
+    "top_n_per_group_many",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag
+    ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rank FROM lineitem) WHERE rank <= 50000""",
+)
+def top_n_per_group_many(t: Tables):
+    """A list too long for one task's top rows: the table is filtered by bounds of the n-th values, not sorted."""
+    lines = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey")
+    top = top_n_per_group(lines, "l_returnflag", "l_extendedprice", 50_000, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return top.drop("l_partkey", "l_suppkey")
+
+
 @query("sort_multi", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer ORDER BY c_mktsegment, c_acctbal DESC, c_custkey")
 def sort_multi(t: Tables):
     order = [F.asc_nulls_last("c_mktsegment"), *ordering("c_acctbal", ["c_custkey"])]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
+from .selection import largest_candidates
 
 ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 20_000
@@ -182,11 +183,12 @@ def top_n_per_group(df: DataFrame, by: str, value: str, n: int, ties: list[str],
     """The ``n`` rows of each group with the largest values, ranked.
 
     A tree: each task, then each bucket of tasks, passes on at most ``n`` rows per group. Tasks can only do so up to Spark's
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000); a longer list is cut from the ranks of all rows.
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000). For a longer list, bounds of the n-th values are narrowed down first
+    (``selection``); only the rows that pass them are moved and ranked.
     """
     present = df.where(F.col(by).isNotNull())
     if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        return rank_in_group(present, by, value, ties, out).where(F.col(out) <= n)
+        return rank_in_group(largest_candidates(present, by, value, n), by, value, ties, out).where(F.col(out) <= n)
     order = ordering(without_nan(df, value), ties)
     bucket = Window.partitionBy(by, _PART).orderBy(*order)
     few = present.withColumn(_PART, F.spark_partition_id() % max(1, _buckets(df))).withColumn(_AT, F.row_number().over(bucket))
