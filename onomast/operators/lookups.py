@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .groups import PAGE_ROWS, candidate_pages, only_value
 from .joins import lookup_join
 
 _WANTED = "_wanted"
@@ -58,14 +59,19 @@ def lookup_fallback(
     return found.drop(_WANTED, *[f"v{i}" for i in range(len(variants))])
 
 
-def parents(pairs: DataFrame, child: str, parent: str) -> DataFrame:
-    """Per child its only parent (null if there are several) and the sorted list of all."""
-    return pairs.where(F.col(parent).isNotNull()).groupBy(child).agg(
-        F.when(F.min(parent) == F.max(parent), F.min(parent)).alias(parent),
-        F.array_join(F.array_sort(F.collect_set(parent)), ", ").alias("candidates"),
-    )
+def parents(pairs: DataFrame, child: str, parent: str, listed: int = PAGE_ROWS) -> DataFrame:
+    """Per child its only parent (null if there are several) and the sorted list of all as text.
+
+    Whether there is one needs no list. Of more than ``listed`` parents the text has the first ones and an ellipsis;
+    ``candidate_pages`` has them all.
+    """
+    known = pairs.where(F.col(parent).isNotNull())
+    first = candidate_pages(known, child, parent, "_list", listed).where("page = 0").withColumnRenamed(child, "_child")
+    more = F.when(F.col("pages") > 1, F.lit(", …")).otherwise(F.lit(""))
+    texts = first.select("_child", F.concat(F.array_join("_list", ", "), more).alias("candidates"))
+    return only_value(known, child, parent).join(texts, F.col(child).eqNullSafe(F.col("_child"))).drop("_child")
 
 
-def unique_parent(df: DataFrame, pairs: DataFrame, child: str, parent: str) -> DataFrame:
-    """Add the child's parent if it has exactly one, and the list of all its parents as text."""
-    return lookup_join(df, parents(pairs, child, parent), child)
+def unique_parent(df: DataFrame, pairs: DataFrame, child: str, parent: str, listed: int = PAGE_ROWS) -> DataFrame:
+    """Add the child's parent if it has exactly one, and the list of its parents as text (``parents``)."""
+    return lookup_join(df, parents(pairs, child, parent, listed), child)

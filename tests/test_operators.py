@@ -299,3 +299,31 @@ def test_repeated_lookup_keys_do_not_multiply_rows(spark):
     frame = spark.createDataFrame([(1,), (2,)], "k int")
     assert rows(lookup_default(frame, lookup, "k", "v", "?")) == [(1, "b"), (2, "?")]
     assert rows(lookup_default(frame, lookup, "k", "v", "?", "at")) == [(1, "a"), (2, "?")]
+
+
+def test_candidates_of_a_hot_key_come_in_pages(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") < 25_000, "hot").when(F.col("id") < 25_004, "few").alias("k"), F.lpad(F.col("id"), 6, "0").alias("v"))
+    rows = rows.unionByName(rows).unionByName(spark.createDataFrame([("hot", None), ("none", None)], "k string, v string"))
+    pages = {(r["k"], r["page"]): r for r in groups.candidate_pages(rows, "k", "v", page_rows=5_000).collect()}
+    assert sorted(pages, key=str) == sorted([*[("hot", i) for i in range(5)], ("few", 0), ("none", 0), (None, 0)], key=str)
+    assert [v for i in range(5) for v in pages["hot", i]["candidates"]] == [f"{i:06}" for i in range(25_000)]
+    assert pages["hot", 0]["pages"] == 5 and pages["few", 0]["pages"] == 1
+    assert pages["few", 0]["candidates"] == [f"{i:06}" for i in range(25_000, 25_004)] and pages["none", 0]["candidates"] == []
+    with pytest.raises(Exception, match="candidate_pages"):
+        groups.candidates(rows, "k", "v", most=5_000).collect()
+    assert {r["k"]: len(r["candidates"]) for r in groups.candidates(rows, "k", "v").collect()} == {"hot": 25_000, "few": 4, "none": 0, None: 4_996}
+
+
+def test_pages_of_ranges(spark, monkeypatch):
+    """A key too large for one task is numbered in ranges; its pages are the same."""
+    rows = spark.range(9_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    monkeypatch.setattr(groups, "number_rows", lambda *a: ranking.number_rows(*a, rows_per_task=1_000))
+    pages = sorted(groups.candidate_pages(rows, "k", "v", page_rows=700).collect())
+    assert [v for r in pages if r["k"] == 1 for v in r["candidates"]] == list(range(1, 9_000, 2)) and {r["pages"] for r in pages} == {7}
+
+
+def test_unique_parent_of_a_child_with_very_many(spark):
+    pairs = spark.range(40_000).select(F.when(F.col("id") < 39_990, "hot").otherwise("one").alias("c"), F.when(F.col("id") < 39_990, F.lpad(F.col("id"), 5, "0")).otherwise("p").alias("p"))
+    found = {r["c"]: r for r in lookups.unique_parent(spark.createDataFrame([("hot",), ("one",), ("no",)], "c string"), pairs, "c", "p", listed=3).collect()}
+    assert (found["hot"]["p"], found["hot"]["candidates"]) == (None, "00000, 00001, 00002, …")
+    assert (found["one"]["p"], found["one"]["candidates"]) == ("p", "p") and tuple(found["no"]) == ("no", None, None)
