@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import stage
+from ..sources.scratch import settled, stage
 from .selection import largest_candidates
 
 ROWS_PER_TASK = 1_000_000
@@ -144,6 +144,7 @@ def number_rows(
         return _by_window(df, by, order, out)
     if plan not in ("auto", "range"):
         raise ValueError(f"plan must be 'auto', 'window' or 'range', not {plan!r}")
+    df = settled(df, "numbered")
     if not by:
         rows = df.count()
         if plan == "auto" and rows <= rows_per_task:
@@ -164,7 +165,11 @@ def number_rows(
 
 
 def sort_rows(df: DataFrame, order: list[Column], keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Sort the table. Where too many rows sort alike for one task, they are numbered first and sorted by number."""
+    """Sort the table. Where too many rows sort alike for one task, they are numbered first and sorted by number.
+
+    Rows are counted, sampled and moved: a plan that does more than read is worked out once and written for that (``settled``).
+    """
+    df = settled(df, "sorted")
     rows = df.count()
     if rows <= 2 * rows_per_task or not _has_hot_copies(df, keys, rows, rows_per_task):
         return df.orderBy(*order)

@@ -36,15 +36,23 @@ def decade_series(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return points.select("nombre_id", "nombre", "gender", "decade", round_count(F.col("amount")).alias("persons"))
 
 
-def region_rates(payloads: DataFrame, regions: DataFrame, view: str, mode: str = "FAILFAST") -> DataFrame:
-    """Named regions with their rates out of region payloads."""
+def _region_rows(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
+    """Regions with their rates out of region payloads."""
+    return explode_regions(parse_regions(_checked(payloads), mode=mode))
+
+
+def _named(rows: DataFrame, regions: DataFrame, view: str) -> DataFrame:
     if view not in REGION_TYPES:
         raise ValueError(f"view must be one of {sorted(REGION_TYPES)}, not {view!r}")
-    rows = explode_regions(parse_regions(_checked(payloads), mode=mode))
     named = lookup_default(rows, regions, "region_id", "region_name", UNKNOWN_REGION)
     return named.withColumn("region_type", F.lit(REGION_TYPES[view]))
 
 
+def region_rates(payloads: DataFrame, regions: DataFrame, view: str, mode: str = "FAILFAST") -> DataFrame:
+    """Named regions with their rates out of region payloads."""
+    return _named(_region_rows(payloads, mode), regions, view)
+
+
 def estimate_regions(
     payloads: DataFrame,
     regions: DataFrame,
@@ -58,7 +66,11 @@ def estimate_regions(
     Regions whose population is unknown stay, without persons. A municipality counts as known only if one province has
     one of that name; otherwise its parent is the list of those provinces. The rows are not sorted (``sort_records``).
     """
-    rates = region_rates(payloads, regions, view, mode)
+    return _estimated(region_rates(payloads, regions, view, mode), places, view, label_mode)
+
+
+def _estimated(rates: DataFrame, places: DataFrame, view: str, label_mode: str) -> DataFrame:
+    """Persons, and the parent region, of named regions with their rates."""
     key = "province_key" if view == "prov" else "municipality_key"
     lookup = province_lookup(places) if view == "prov" else only_municipalities(places)
     found = rates.withColumn(key, place_key(F.col("region_name"), label_mode)).join(lookup, key, "left")
@@ -103,7 +115,8 @@ def name_details(
 
     ``region_payloads`` has a column ``vista`` (``muni`` or ``prov``), ``regions`` a map table for each. The column ``request``
     is the place of the request; without requests, the first ``limit`` rows are those in file order, if ``with_file_order``
-    has added it to ``base``, or else by ``base_order``. The targets are worked out once and written.
+    has added it to ``base``, or else by ``base_order``. The targets are worked out once and written, as are the regions of their
+    payloads, in a folder for each view: a payload is parsed once, however many tables and jobs use it.
     """
     first = base_order or ([FILE_ORDER] if FILE_ORDER in base.columns else [name, group])
     chosen = match_requests(base, names, name, group, first, limit)
@@ -118,13 +131,19 @@ def name_details(
         return table.join(asked, ["nombre", "gender"], "left").select(*table.columns, ORDER)
 
     tables = {"decades": in_order(decade_series(of_targets(series)))}
-    for view, table in (("muni", "municipios"), ("prov", "provincias")):
-        payloads = of_targets(region_payloads.where(F.col("vista") == view).drop("vista"))
-        tables[table] = in_order(estimate_regions(payloads, regions[view], places, view, label_mode))
+    views = {"muni": "municipios", "prov": "provincias"}
+    rows = stage(_region_rows(of_targets(region_payloads.where(F.col("vista").isin(*views)))), "regions", "vista")
+    for view, table in views.items():
+        rates = _named(rows.where(F.col("vista") == view).drop("vista"), regions[view], view)
+        tables[table] = in_order(_estimated(rates, places, view, label_mode))
     return tables
 
+
 def write_details(tables: dict[str, DataFrame], folder: str, prefix: str = "details") -> list[str]:
-    """Write each table as CSV without its helper keys, in order; a table without rows has no output. Returns the tables written."""
+    """Write each table as CSV without its helper keys, in order; a table without rows has no output. Returns the tables written.
+
+    Each table is worked out once: what sorting counts and samples is written before, and rows are counted as they are written.
+    """
     written = []
     for name, table in tables.items():
         if "region_id" in table.columns:

@@ -49,12 +49,25 @@ def delete_path(spark: SparkSession, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write the frame to the shared folder and read it back.
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write the frame to the shared folder, in a folder for each value of ``by`` if that is given, and read it back.
 
     The result no longer depends on how ``df`` was computed: lost executors cost no recomputation, values that depend
     on the run (partition numbers, paid replies) are fixed, and the planner sees the table's real size.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Steps of a plan that only read: a scan, chosen columns and rows, and a name.
+_READING = ("Relation", "Project", "Filter", "SubqueryAlias", "LocalRelation", "Range")
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The frame for use by several jobs: as it is if it only reads columns and rows of one table, or else written.
+
+    What joins, groups, explodes or calls Python is worked out once; a bare scan is cheaper to read again than to write.
+    """
+    steps = (line.lstrip(" :+-") for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    return df if all(step.startswith(_READING) for step in steps if step) else stage(df, label)

@@ -327,3 +327,20 @@ def test_unique_parent_of_a_child_with_very_many(spark):
     found = {r["c"]: r for r in lookups.unique_parent(spark.createDataFrame([("hot",), ("one",), ("no",)], "c string"), pairs, "c", "p", listed=3).collect()}
     assert (found["hot"]["p"], found["hot"]["candidates"]) == (None, "00000, 00001, 00002, …")
     assert (found["one"]["p"], found["one"]["candidates"]) == ("p", "p") and tuple(found["no"]) == ("no", None, None)
+
+
+def test_a_plan_that_does_more_than_read_is_worked_out_once(spark, tmp_path):
+    counter = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        counter.add(1)
+        return value
+
+    spark.range(3_000).repartition(3).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    counted = table.withColumn("v", F.udf(look, "long").asNondeterministic()("id"))
+    assert [r["v"] for r in ranking.sort_rows(counted, [F.desc("v")], ["v"], rows_per_task=100).collect()] == list(range(2_999, -1, -1))
+    assert counter.value == 3_000
+    assert [r["n"] for r in ranking.number_rows(counted, [F.desc("v")], ["v"], "n", rows_per_task=100).orderBy("id").collect()] == list(range(3_000, 0, -1))
+    assert counter.value == 6_000
+    assert "sorted-" not in "".join(ranking.sort_rows(table.where("id > 5"), [F.desc("id")], ["id"]).inputFiles())

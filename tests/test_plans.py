@@ -220,6 +220,32 @@ def test_name_details(spark, raw, base, tmp_path):
     assert rows(limited["decades"], "nombre") == [("LEO",)]
 
 
+def test_each_payload_is_read_once(spark, raw, base, tmp_path):
+    """A counter in front of the payloads: details of both views and their sorted outputs take each payload once."""
+    seen = {"series": spark.sparkContext.accumulator(0), "regions": spark.sparkContext.accumulator(0)}
+
+    def counted(frame, kind):
+        counter = seen[kind]
+
+        def look(text):
+            counter.add(1)
+            return text
+
+        return frame.withColumn("payload", F.udf(look).asNondeterministic()("payload"))
+
+    names = [f"N{i}" for i in range(50)]
+    places = place_lookup(load_population(raw), readers.FILE_ORDER)
+    series = spark.createDataFrame([(n, "Male", '{"values":[[1,2]],"ticks":["t","u"]}') for n in names], "nombre string, gender string, payload string")
+    regions = spark.createDataFrame(
+        [(n, "Male", v, '{"regiones":[{"id":3,"val":10},{"id":4,"val":1}]}') for n in names for v in ("muni", "prov")],
+        "nombre string, gender string, vista string, payload string",
+    )
+    frame = base.limit(0).unionByName(spark.createDataFrame([(n, 1, 1.0, "Male") for n in names], base.schema))
+    tables = name_details(frame, counted(series, "series"), counted(regions, "regions"), {"muni": region_map(spark), "prov": region_map(spark)}, places)
+    assert write_details(tables, str(tmp_path / "d")) == ["decades", "municipios", "provincias"]
+    assert {k: v.value for k, v in seen.items()} == {"series": 50, "regions": 100}
+
+
 # Published rows: persons of one name by decade, and rates and persons by province. Populations come from the fixtures file.
 DECADES = ["< 1930", "1930-1940", "1940-1950", "1950-1960", "1960-1970", "1970-1980", "1980-1990", "1990-2000", "2000-2010", "2010-2019", "2020-2029"]
 ANTONIO = [3130, 35973, 96828, 125710, 129158, 88892, 47714, 30154, 24328, 16240, 4877]
