@@ -160,6 +160,31 @@ def test_pack_queries_read_added_tokens(spark, tmp_path):
             assert (rows[key]["doc_tokens"], rows[key]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
 
 
+def test_encoder_agrees_on_all_characters_and_tokens():
+    """Every character in several surroundings, every token of the vocabulary, and long runs, against plain tokenizers."""
+    from tokenizers import Tokenizer
+
+    encode, tokenizer = packing.Encoder(tokenizer_path(), "<u2", plain=False), Tokenizer.from_file(tokenizer_path())
+    assert encode.fast
+    characters = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"a{c}b 1{c} {c}!{c}{c} " for c in characters[low : low + 40]) for low in range(0, len(characters), 40)]
+    alphabet = packing.byte_alphabet()
+    tokens = [bytes(alphabet[c] for c in t).decode("utf-8", "ignore") for t in tokenizer.get_vocab() if all(c in alphabet for c in t)]
+    texts += [t for token in tokens for t in (token, f"x {token}")]
+    texts += [c * 70_000 for c in ("a", " ", "\n", "é", "!", "7", " \n", "ab ", "'s")] + ["", "<|endoftext|>", "a<|endoftext|> \n"]
+    plain = [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encode(texts) == plain
+
+
+def test_encoder_leaves_other_files_to_tokenizers(tmp_path):
+    file = json.loads(open(tokenizer_path(), encoding="utf-8").read())
+    assert packing.merge_ranks(file) and packing.merge_ranks(file | {"normalizer": {"type": "NFC"}}) is None
+    assert packing.merge_ranks(file | {"model": file["model"] | {"merges": file["model"]["merges"][::-1]}}) is None
+    (tmp_path / "nfc.json").write_text(json.dumps(file | {"normalizer": {"type": "NFC"}}))
+    other, usual = packing.Encoder(str(tmp_path / "nfc.json"), "<u2"), packing.Encoder(tokenizer_path(), "<u2")
+    assert not other.fast and other(["e\u0301", ""]) == usual(["\u00e9", ""])
+
+
 # Nearest neighbours
 
 
