@@ -46,6 +46,24 @@ def join_requested(t: Tables):
     return match_requests(orders, REQUESTS, "o_orderpriority", "o_orderstatus", ["o_orderkey"])
 
 
+_WANTED_SQL = "SELECT c_custkey AS request, upper(c_name) AS wanted, CASE WHEN c_nationkey % 2 = 1 THEN 'f' END AS wanted_group FROM customer WHERE c_custkey % 5 = 0"
+
+
+@query(
+    "join_requested_many",
+    f"""SELECT request, name, o_orderstatus, o_orderkey FROM (
+    SELECT *, row_number() OVER (PARTITION BY name, o_orderstatus ORDER BY request, o_orderkey) AS n
+    FROM (SELECT upper('customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')) AS name, o_orderstatus, o_orderkey FROM orders)
+    JOIN ({_WANTED_SQL}) ON name = wanted AND (wanted_group IS NULL OR lower(o_orderstatus) = wanted_group)) WHERE n = 1""",
+)
+def join_requested_many(t: Tables):
+    """Requests as a table, met by a filter of their names."""
+    orders = t.orders.select(F.concat(F.lit("customer#"), F.lpad("o_custkey", 9, "0")).alias("name"), "o_orderstatus", "o_orderkey")
+    group = F.when(F.col("c_nationkey") % 2 == 1, "f").alias("wanted_group")
+    wanted = t.customer.where("c_custkey % 5 = 0").select(F.col("c_custkey").alias("request"), F.upper("c_name").alias("wanted_name"), group)
+    return match_requests(orders, wanted, "name", "o_orderstatus", ["o_orderkey"], listed=10)
+
+
 @query(
     "join_requested_missing",
     f"""SELECT CAST(request AS INTEGER) AS request, wanted AS wanted_name, wanted_group FROM {_REQUESTS_SQL}

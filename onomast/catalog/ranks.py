@@ -78,6 +78,17 @@ def sample_n(t: Tables):
     return sample_rows(t.orders.select("o_orderkey", "o_totalprice"), "random", 100, "o_orderkey", seed=42)
 
 
+@query(
+    "sample_n_large",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    ORDER BY md5(concat_ws(chr(31), '42:' || l_orderkey, l_linenumber, l_partkey, l_suppkey)), l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20000""",
+)
+def sample_n_large(t: Tables):
+    """A sample too large for one list: only draws below a bound are moved."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return sample_rows(t.lineitem.select(*keys), "random", 20_000, keys, seed=42)
+
+
 @query("shuffle_all", "SELECT o_orderkey, row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) AS position FROM orders")
 def shuffle_all(t: Tables):
     return shuffle_rows(t.orders.select("o_orderkey"), "o_orderkey", 7)

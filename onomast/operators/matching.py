@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
+from .membership import key_filter, possible_rows
 from .ranking import distinct_by_key, limit_head
 
 Request = str | tuple[str, str | None]
 ORDER = "request"
+#: Requests of a table that are joined without a filter of their names.
+LISTED_REQUESTS = 100_000
 
 
 def as_requests(spark: SparkSession, names: Sequence[Request]) -> DataFrame:
@@ -26,9 +29,17 @@ def _matches(requests: DataFrame, name: str, group: str) -> Column:
     return (F.upper(F.col(name)) == F.col("wanted_name")) & group_fits
 
 
-def _matched(df: DataFrame, names: Sequence[Request] | DataFrame, name: str, group: str) -> DataFrame:
-    # Requests from the driver are bounded by it; of a table of requests the planner sees the written size.
-    side = stage(names, "requests") if isinstance(names, DataFrame) else F.broadcast(as_requests(df.sparkSession, names))
+def _matched(df: DataFrame, names: Sequence[Request] | DataFrame, name: str, group: str, listed: int = LISTED_REQUESTS) -> DataFrame:
+    if isinstance(names, DataFrame):
+        # The planner sees the written size of a table of requests. From many requests on, which it would not broadcast, rows that
+        # cannot match are left out before the join moves any.
+        side = stage(names, "requests")
+        number = side.count()
+        if number > listed:
+            df = possible_rows(df, F.upper(F.col(name)), *key_filter(side, F.col("wanted_name"), number))
+    else:
+        # Requests from the driver are bounded by it.
+        side = F.broadcast(as_requests(df.sparkSession, names))
     return df.join(side, _matches(side, name, group)).drop("wanted_name", "wanted_group").withColumn(name, F.upper(name))
 
 
@@ -39,17 +50,19 @@ def match_requests(
     group: str,
     order_by: list[str],
     limit: int | None = None,
+    listed: int = LISTED_REQUESTS,
 ) -> DataFrame:
     """The rows of the requested names, in request order, one row per name and group; then the limit.
 
     A request is a name, or a name and a group. Without requests, the first ``limit`` rows in ``order_by``. The column
-    ``request`` holds the place of the request.
+    ``request`` holds the place of the request. A table of more than ``listed`` requests is met by a filter of its names first, so that
+    the join moves only rows that match, and about one in seventy of the others.
     """
     if names is None:
         upper = df.withColumn(name, F.upper(name)).withColumn(ORDER, F.lit(None).cast("int"))
         return upper if limit is None else limit_head(upper, limit, [F.asc(c) for c in order_by], order_by)
     order = [F.asc(ORDER), *[F.asc(c) for c in order_by]]
-    once = distinct_by_key(_matched(df, names, name, group), [name, group], order)
+    once = distinct_by_key(_matched(df, names, name, group, listed), [name, group], order)
     return once if limit is None else limit_head(once, limit, order, [ORDER, *order_by])
 
 

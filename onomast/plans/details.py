@@ -11,7 +11,7 @@ from ..functions.codes import gender_alias, gender_code
 from ..functions.numbers import rate_to_count, round_count
 from ..functions.text import build_key
 from ..operators.lookups import first_of, lookup_default
-from ..operators.matching import ORDER, Request, match_requests
+from ..operators.matching import ORDER, Request, match_requests, missing_requests
 from ..operators.ranking import sort_rows
 from ..operators.series import explode_regions, explode_series
 from ..sources.readers import FILE_ORDER, parse_regions, parse_series
@@ -110,13 +110,15 @@ def name_details(
     name: str = "Nombre",
     group: str = "Gender",
     base_order: list[str] | None = None,
+    report_missing: bool = False,
 ) -> dict[str, DataFrame]:
     """Decades, municipalities and provinces of the chosen names, out of the landed payloads.
 
     ``region_payloads`` has a column ``vista`` (``muni`` or ``prov``), ``regions`` a map table for each. The column ``request``
     is the place of the request; without requests, the first ``limit`` rows are those in file order, if ``with_file_order``
     has added it to ``base``, or else by ``base_order``. The targets are worked out once and written, as are the regions of their
-    payloads, in a folder for each view: a payload is parsed once, however many tables and jobs use it.
+    payloads, in a folder for each view: a payload is parsed once, however many tables and jobs use it. With ``report_missing``, a
+    table ``missing`` has the requests that no row of ``base`` answers.
     """
     first = base_order or ([FILE_ORDER] if FILE_ORDER in base.columns else [name, group])
     chosen = match_requests(base, names, name, group, first, limit)
@@ -136,6 +138,8 @@ def name_details(
     for view, table in views.items():
         rates = _named(rows.where(F.col("vista") == view).drop("vista"), regions[view], view)
         tables[table] = in_order(_estimated(rates, places, view, label_mode))
+    if report_missing and names is not None:
+        tables["missing"] = missing_requests(base, names, name, group)
     return tables
 
 
@@ -149,7 +153,7 @@ def write_details(tables: dict[str, DataFrame], folder: str, prefix: str = "deta
         if "region_id" in table.columns:
             records = sort_records(table)
         else:
-            keys = [c for c in (ORDER, "decade", "nombre", "gender") if c in table.columns]
+            keys = [c for c in (ORDER, "decade", "nombre", "gender", "wanted_name") if c in table.columns]
             records = sort_rows(table, [F.asc(k) for k in keys], keys)
         if write_records(records, f"{folder}/{prefix}_{name}", drop=("nombre_id", ORDER)):
             written.append(name)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from onomast.operators import groups, lookups, matching, ranking, sampling, series
+from onomast.operators import groups, lookups, matching, membership, ranking, sampling, series
 from onomast.sources import readers
 
 PARTITIONS = [1, 4, 40]
@@ -344,3 +344,53 @@ def test_a_plan_that_does_more_than_read_is_worked_out_once(spark, tmp_path):
     assert [r["n"] for r in ranking.number_rows(counted, [F.desc("v")], ["v"], "n", rows_per_task=100).orderBy("id").collect()] == list(range(3_000, 0, -1))
     assert counter.value == 6_000
     assert "sorted-" not in "".join(ranking.sort_rows(table.where("id > 5"), [F.desc("id")], ["id"]).inputFiles())
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_large_samples_are_cut_from_few_draws(spark, monkeypatch, parts):
+    monkeypatch.setattr(sampling, "DIRECT_ROWS", 100)
+    table = spark.range(50_000).select("id", (F.col("id") % 7).alias("k")).repartition(parts)
+    drawn, order, _ = sampling._drawn(table, "id", 5)
+    exact = [r["id"] for r in drawn.orderBy(*order).limit(3_000).collect()]
+    found = sampling.sample_rows(table, "random", 3_000, "id", 5)
+    assert [r["id"] for r in found.collect()] == exact
+    assert all("draws-" in f for f in found.inputFiles())
+    assert 3_000 <= sampling.first_draws(drawn, 3_000).count() < 3_700
+    few = ranking.limit_head(sampling.first_draws(drawn, 3_000), 3_000, order, ["_draw", "id", "_rest"], rows_per_task=500)
+    assert sorted(r["id"] for r in few.collect()) == sorted(exact)
+    # All rows of a key share a draw: either none or too many pass the first bound.
+    assert sampling.sample_rows(table, "random", 3_000, "k", 5).count() == 3_000
+    assert sampling.sample_rows(table, "random", 60_000, "id", 5).count() == 50_000 and sampling.sample_rows(table.limit(0), "random", 200, "id", 5).collect() == []
+
+
+def test_shuffle_by_digits_equals_shuffle_by_ranges(spark):
+    table = spark.range(20_000).select("id", F.when(F.col("id") < 7_000, 1).otherwise(F.col("id")).alias("k")).repartition(5)
+    for key in ("id", "k"):
+        digits, ranges = (sampling.shuffle_rows(table, key, 3, rows_per_task=5_000, **plan).orderBy("position").collect() for plan in ({}, {"plan": "range"}))
+        assert digits == ranges and [r["position"] for r in digits] == list(range(1, 20_001))
+    # A key with more rows than a task may have goes by ranges, any other table by its digits.
+    files = lambda frame: "".join(frame.inputFiles())
+    assert "buckets-" in files(sampling.shuffle_rows(table, "id", 3, rows_per_task=5_000)) and "ranges-" not in files(sampling.shuffle_rows(table, "id", 3, rows_per_task=5_000))
+    assert "ranges-" in files(sampling.shuffle_rows(table, "k", 3, rows_per_task=5_000))
+    assert sampling.shuffle_rows(table.limit(0), "id", 3).collect() == []
+
+
+def test_a_filter_of_keys_passes_all_of_them_and_few_others(spark):
+    keys = spark.range(0, 300_000, 3).select(F.concat(F.lit("k"), "id").alias("k"))
+    filter, blocks = membership.key_filter(keys, F.col("k"), 100_000)
+    assert blocks == 37 and filter.count() == 37
+    table = spark.range(300_000).select(F.concat(F.lit("k"), "id").alias("name"), "id").unionByName(spark.createDataFrame([(None, -1)], "name string, id long"))
+    passed = membership.possible_rows(table, F.col("name"), filter, blocks)
+    assert passed.columns == ["name", "id"]
+    others = passed.where("id % 3 <> 0 or name is null").count()
+    assert passed.where("id % 3 = 0").count() == 100_000 and others < 200_000 * 0.03
+    assert membership.possible_rows(table, F.col("name"), *membership.key_filter(keys.limit(0), F.col("k"), 0)).collect() == []
+
+
+def test_many_requests_are_matched_behind_a_filter(spark):
+    base = spark.range(60_000).select(F.concat(F.lit("Name"), "id").alias("n"), F.when(F.col("id") % 2 == 0, "Male").otherwise("Female").alias("g"), "id")
+    wanted = spark.range(0, 120_000, 40).select(F.col("id").cast("int").alias("request"), F.concat(F.lit("NAME"), "id").alias("wanted_name"), F.lit("male").alias("wanted_group"))
+    plain = rows(matching.match_requests(base, wanted, "n", "g", ["id"]))
+    found = matching.match_requests(base, wanted, "n", "g", ["id"], listed=100)
+    assert "filter-" in "".join(found.inputFiles()) and rows(found) == plain and len(plain) == 1_500
+    assert matching.missing_requests(base, wanted, "n", "g").count() == 1_500

@@ -216,6 +216,9 @@ def test_name_details(spark, raw, base, tmp_path):
         "nombre", "gender", "region_id", "region_name", "percentage", "unidad", "persons", "region_type", "parent_region_name",
     ]
     assert readers.scan_csv_strings(spark, str(tmp_path / "d" / "details_decades")).columns == ["nombre", "gender", "decade", "persons"]
+    reported = name_details(base, series, regions, maps, places, ["hugo", "nobody", ("ana", "female")], report_missing=True)
+    assert rows(reported["missing"], "wanted_name") == [("ANA",), ("NOBODY",)]
+    assert write_details(reported, str(tmp_path / "m"))[-1] == "missing"
     limited = name_details(base, series, regions, maps, places, ["leo", "hugo"], limit=1)
     assert rows(limited["decades"], "nombre") == [("LEO",)]
 
