@@ -33,11 +33,20 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{32}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-# Base64 of a DER sequence or of OpenSSH's magic word, also after an escape; lines may be parted by blanks, line ends and their escapes.
-KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?=M[A-P]|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/_-]{32}")
+# Base64 of a DER sequence, of OpenSSH's magic word or of a PEM text, also after an escape; lines of any width may be parted by blanks, line
+# ends and their escapes.
+KEY_START = re.compile(r"M[A-P][A-Za-z0-9+/_-]{2}|b3BlbnNz|LS0tLS1C")
+ESCAPES = ("\\n", "\\r", "\\t")
 LINE = re.compile(r"([A-Za-z0-9+/_-]+)(?:[ \t\r\n]|\\+[nrt])*")
+PEM_END = re.compile(r"-----END [A-Z0-9 ]{1,40}-----\r?\n?")
+#: Characters of base64 that the shortest key takes, and those that a PEM text starts with.
+KEY_LEAST, PEM_START = 40, "LS0tLS1C"
 HEX_BYTES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
+HEX_PAIRS = re.compile(r"(?<![0-9A-Za-z:])30(?::\s{0,80}[0-9A-Fa-f]{2}){23,}(?![0-9A-Za-z])")
+# The dot before the claims of a token, and the part after them.
+CLAIMS = re.compile(r"\.(?=([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*))")
+URL_DIGITS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+DIGITS = URL_DIGITS | {"+", "/"}
 
 
 def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -144,6 +153,10 @@ class _Run:
     def key(self, offset: int) -> tuple[str, int] | None:
         """Kind of the key that is encoded from a character on and the place where its last line ends, which must end with it."""
         head = self.bytes(offset, 0, 16)
+        if len(head) < 16:
+            return None
+        if head.startswith(b"-----B"):
+            return self.nested(offset)
         if head[0] == 0x30:
             count = head[1] & 0x7F if head[1] > 0x80 else 0
             size = 2 + count + (int.from_bytes(head[2 : 2 + count], "big") if count else head[1])
@@ -159,14 +172,31 @@ class _Run:
         return kind, self.places[k - 1][1]
 
 
-def find_keys(text: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the keys in base64, padding included."""
+    def nested(self, offset: int) -> tuple[str, int] | None:
+        """Kind and end of a PEM text that is encoded as a whole and holds a key; it ends with its last line."""
+        text = self.bytes(offset, 0, (self.before[-1] - offset) * 3 // 4).decode("latin-1")
+        end = PEM_END.search(text)
+        inside = find_keys(text[: end.end()], False) if end else []
+        if not inside:
+            return None
+        last = offset + -(-end.end() * 4 // 3)
+        k = bisect_left(self.before, last)
+        return inside[0][0], self.places[k - 1][0] + last - self.before[k - 1]
+
+
+def find_keys(text: str, nested: bool = True) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the keys in base64, padding included; with ``nested``, also of PEM texts encoded once more."""
     spans, run, at = [], None, 0
     while found := KEY_START.search(text, at):
         start = found.start()
+        if start and text[start - 1] in DIGITS and text[max(start - 2, 0) : start] not in ESCAPES:
+            at = start + 1
+            continue
         if run is None or start >= run.end:
             run = _Run(text, start)
-        key = run.key(run.offset(start))
+        offset = run.offset(start)
+        worth = run.before[-1] - offset >= KEY_LEAST and (nested or found[0] != PEM_START)
+        key = run.key(offset) if worth else None
         at = start + 1
         if key:
             at = key[1] + next(k for k in (2, 1, 0) if text.startswith("=" * k, key[1]))
@@ -184,16 +214,31 @@ def unbase64(run: str) -> bytes | None:
         return None
 
 
-def is_signed_token(run: str) -> bool:
+def is_signed_token(header: str, claims: str, signature: str) -> bool:
     """Whether header and claims are JSON objects and the header names an algorithm; without one, no signature follows."""
-    header, claims, signature = run.split(".")
+    start = unbase64(header[:16]) if len(header) >= 10 else None
+    if start is None or not start.lstrip().startswith(b"{"):
+        return False
     try:
-        header, claims = json.loads(unbase64(header) or b""), json.loads(unbase64(claims) or b"")
+        head, body = json.loads(unbase64(header) or b""), json.loads(unbase64(claims) or b"")
     except (ValueError, RecursionError):
         return False
-    if not isinstance(header, dict) or not isinstance(claims, dict) or not isinstance(header.get("alg"), str):
+    if not isinstance(head, dict) or not isinstance(body, dict) or not isinstance(head.get("alg"), str):
         return False
-    return signature == "" if header["alg"].lower() == "none" else len(signature) >= 16 and unbase64(signature) is not None
+    return signature == "" if head["alg"].lower() == "none" else len(signature) >= 16 and unbase64(signature) is not None
+
+
+def find_tokens(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of signed tokens: any three dotted parts whose first decodes to a header, whatever stands before."""
+    spans, least = [], 0
+    for found in CLAIMS.finditer(text):
+        start = found.start()
+        while start > least and text[start - 1] in URL_DIGITS:
+            start -= 1
+        if is_signed_token(text[start : found.start()], found[1], found[2]):
+            spans.append(("jwt", start, found.end(2)))
+        least = spans[-1][2] if spans else 0
+    return spans
 
 
 def find_spans(text: str) -> list[tuple[str, int, int]]:
@@ -204,13 +249,14 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
     if "AKIA" in text:
         spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
-    # A run of digits and letters that long holds every candidate of the patterns below but for tokens.
+    # A run of digits and letters that long holds every candidate in hex.
     if LONG_RUN.search(text):
         spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-        spans += find_keys(text)
         spans += [("der", m.start(), m.end()) for m in HEX_BYTES.finditer(text) if m[0][:2] == "30" and is_der_key(bytes.fromhex(m[0]))]
-    if "ey" in text:
-        spans += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
+    if "30:" in text:
+        spans += [("der", m.start(), m.end()) for m in HEX_PAIRS.finditer(text) if is_der_key(bytes.fromhex(re.sub(r"[:\s]", "", m[0])))]
+    spans += find_keys(text)
+    spans += find_tokens(text)
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

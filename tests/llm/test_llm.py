@@ -328,6 +328,38 @@ def test_keys_in_base64_wherever_they_stand():
     assert secret_scan.find_spans("\n".join(["MIIC" + "x" * 60] * 20_000)) == []
 
 
+def test_keys_of_any_width_and_encoded_twice():
+    short = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, b"\x7f" * 32)))
+    found = lambda t, kind="der": [t[a:b] for k, a, b in secret_scan.find_spans(t) if k == kind]
+    for data in (short, der_key()):
+        code = base64.b64encode(data).decode()
+        for width in (16, 28, 63, 64, 76):
+            lines = "\n".join(code[i : i + width] for i in range(0, len(code), width))
+            assert found(f"-----BEGIN KEY-----\n{lines}\n-----END KEY-----") == [lines]
+        pem = f"-----BEGIN PRIVATE KEY-----\n{code}\n-----END PRIVATE KEY-----\n"
+        twice = base64.b64encode(pem.encode()).decode()
+        assert found(f"tls.key: {twice}\nnext: word") == [twice] and found(f'key="{twice}" x') == [twice]
+        wrapped = "\n  ".join(twice[i : i + 60] for i in range(0, len(twice), 60))
+        assert found(f"data: |\n  {wrapped}\n") == [wrapped]
+        assert found(base64.b64encode(pem.replace(code[:8], "AAAAAAAA").encode()).decode()) == []
+        pairs = ":".join(f"{b:02x}" for b in data)
+        rows = ":\n    ".join(":".join(f"{b:02X}" for b in data[i : i + 15]) for i in range(0, len(data), 15))
+        assert found(f"bytes {pairs} end") == [pairs] and found(rows) == [rows] and found(pairs[:-3]) == []
+    assert found("at 12:30:00 " * 50) == [] and found("MANAGEMENT AND MACHINES " * 2_000) == []
+
+
+def test_tokens_by_their_decoded_header():
+    part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    body, sign = part(b'{"sub":1}'), part(b"x" * 32)
+    found = lambda t: [t[a:b] for k, a, b in secret_scan.find_spans(t) if k == "jwt"]
+    for header in (b'{"alg":"HS256"}', b'{\n "alg": "HS256"\n}', b'{\t"alg":"RS256"}', b' \n{"typ":"JWT","alg":"ES256"}'):
+        token = f"{part(header)}.{body}.{sign}"
+        for text in (token, f"a.{token}", f"a.b.{token} c", f"x={token}&y", f"{token}.", f"eyfoo12345.{token}", f"({token})"):
+            assert found(text) == [token], text
+    assert found(f"{part(b'[1]')}.{body}.{sign}") == found("www.example.com/a.b.c " * 100) == found("a." * 50_000) == []
+    assert found(f"{part(b'{}')}.{body}.{sign}") == found(f"{part(json.dumps({'alg': 'HS256'}).encode())}.{body}.short") == []
+
+
 def test_redaction_keeps_all_rows(spark):
     docs = odd_documents(spark).unionByName(odd_documents(spark).limit(1).withColumn("text", F.lit('x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y')))
     clean = secret_scan.redact_secrets(docs)
