@@ -9,6 +9,7 @@ conversation are chained, and each range is then decoded between its known ends.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -35,6 +36,8 @@ MARKER = re.compile(
 ENDING = re.compile(r"<\|(?:im_end|endoftext|eot_id)\|>\s*$")
 WORDS = {word: ROLES.index(role) for role, words in SPEAKERS.items() for word in words.split()}
 STATES, SHAPES = 2 * len(ROLES), 36
+#: Characters of a range, which one task decodes; a longer row is a range by itself.
+RANGE_CHARS = 16 << 20
 #: How much likelier a state is to show its own marker than another's; a marker begins a turn.
 MARKED, OTHER = -0.05, -9.0
 
@@ -168,7 +171,8 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
     Columns: conv, turn, the ``carried`` ones, ``role`` (of the row's first line), ``n_turns`` (that begin in the row) and
     ``rendered``: each turn as ``<|role|>``, a line feed, its text without marker, ``<|end|>``. Rows are in order of turn, null first, then
     of text. A null text is empty; rows without a conversation form one for each different (turn, text); rows equal in all of
-    these are decoded as often as they stand. An empty table gives an empty one.
+    these are decoded as often as they stand. An empty table gives an empty one. Every row gets one of ``ROLES``: rows of other roles
+    are not learnt from. The rows are sorted into ranges of about ``RANGE_CHARS`` characters, or as many as the session shuffles to, if more.
     """
     carried = carried or []
     names = {f"_c{i}": c for i, c in enumerate([conv, turn, *carried])}
@@ -181,7 +185,9 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
         F.monotonically_increasing_id().alias("_copy"),
     )
     order = ["_conv", F.asc_nulls_first("_turn"), "_text", *[F.col(a) for a in list(names)[2:]], "_copy"]
-    ranged = chosen.repartitionByRange(*order).sortWithinPartitions(*order)
+    wanted = math.ceil((chosen.agg(F.sum(F.length("_text") + 64)).first()[0] or 0) / RANGE_CHARS)
+    more = wanted > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (chosen.repartitionByRange(wanted, *order) if more else chosen.repartitionByRange(*order)).sortWithinPartitions(*order)
     # Written once: the limits of ranges differ from run to run.
     ranged = stage(ranged.drop("_copy").withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "turns")
     # Only the first and the last conversation of a range can stand in another range too. One row for each range.
@@ -238,7 +244,7 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
                 roles[row] = roles[row] or role
         return frame[list(names)].assign(role=roles, n_turns=turns, rendered=["".join(r).rstrip() + "<|end|>\n" for r in rendered])
 
-    # A group is one range of the sort, whose size the partitioning bounds, whatever the length of a conversation or the number of copies of a row.
+    # A group is one range of the sort, whose size was chosen above, whatever the length of a conversation or the number of copies of a row.
     within = ranged.join(F.broadcast(edges), "_part")
     merged = within.groupBy("_part").applyInPandas(reduce, "_conv string, _part int, _matrix array<double>")
     limits = stage(merged.groupBy("_conv").applyInPandas(ends, "_conv string, _part int, _entry array<double>, _exit int"), "ends")

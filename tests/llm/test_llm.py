@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -727,6 +728,40 @@ def test_ranges_part_copies_of_a_row(spark, speakers, monkeypatch):
     assert results[0] == results[1] and sum(results[0].values()) == 2_000
 
 
+def test_number_of_ranges_follows_the_characters(spark, speakers, monkeypatch):
+    frame = spark.createDataFrame([(i % 3, i, "x" * 936) for i in range(200)], "conv_id long, turn long, text string").repartition(4)
+    staged, write = {}, chat.stage
+    monkeypatch.setattr(chat, "stage", lambda df, label: staged.setdefault(label, []).append(out := write(df, label)) or out)
+    whole = sorted(map(tuple, chat.recover_turns(frame, speakers).collect()))
+    monkeypatch.setattr(chat, "RANGE_CHARS", 10_000)
+    assert sorted(map(tuple, chat.recover_turns(frame, speakers).collect())) == whole
+    sizes = [r["count"] for r in staged["turns"][1].groupBy("_part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 30
+
+
+def test_paths_against_all_paths(speakers):
+    """Viterbi's path against the best of all sequences of states, from given scores to a given state."""
+    rng = np.random.default_rng(3)
+    texts = ["User: why?\nit is late.\n- one", "hm\nAssistant: no.\nUser: oh?", "one line", "```\ncode\nSystem: x"]
+    for text in texts:
+        for opens in (False, True):
+            matrices = chat.row_matrices(speakers, text, opens)
+            entry = rng.normal(size=chat.STATES)
+            for last in (None, 0, 3):
+                best = (-np.inf, None)
+                for path in itertools.product(range(chat.STATES), repeat=len(matrices)):
+                    if last is None or path[-1] == last:
+                        score = (entry + matrices[0][:, path[0]]).max() + sum(m[a, b] for m, a, b in zip(matrices[1:], path, path[1:]))
+                        best = max(best, (score, path), key=lambda x: x[0])
+                if np.isfinite(best[0]):
+                    found = chat.decode(matrices, entry, last)
+                    score = (entry + matrices[0][:, found[0]]).max() + sum(m[a, b] for m, a, b in zip(matrices[1:], found, found[1:]))
+                    assert len(found) == len(matrices) and score == pytest.approx(best[0])
+            whole = chat.chained(matrices)
+            exact = np.array([[max((matrices[0][i, p[0]] + sum(m[a, b] for m, a, b in zip(matrices[1:], p, p[1:])) for p in itertools.product(range(chat.STATES), repeat=len(matrices)) if p[-1] == j)) for j in range(chat.STATES)] for i in (0, 5)])
+            assert np.allclose(whole[[0, 5]], exact)
+
+
 # Pipeline
 
 
