@@ -449,19 +449,45 @@ def test_near_copies_in_blocks(spark, monkeypatch):
 
 
 def test_near_copies_shorten_prefixes_of_a_deeper_forest(spark, monkeypatch):
-    """The depth given meets the target at once; a deeper one takes more rounds and finds the same."""
-    rounds, compare = [], near_copies._shingle_sets
-    monkeypatch.setattr(near_copies, "_shingle_sets", lambda *a: rounds.append(1) or compare(*a))
+    """A depth that meets the target takes one round; deeper ones take more rounds and find the same."""
+    rounds, meet = [], near_copies._meetings
+    monkeypatch.setattr(near_copies, "_meetings", lambda *a: rounds.append(1) or meet(*a))
     base = [f"w{i}" for i in range(60)]
     texts = {i: " ".join([*base[:20], f"x{i}", *base[21:]]) for i in range(12)} | {100 + i: " ".join(f"v{i}_{j}" for j in range(30)) for i in range(5)}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    for depth, expected in ((near_copies.DEPTH, 1), (7, 3)):
+    for depth, expected in ((5, 1), (near_copies.DEPTH, 2), (8, 4)):
         rounds.clear()
         found = near_copies.near_copies(docs, ["doc_id"], depth=depth)
         check_groups(found.select("doc_id", F.col("group.doc_id").alias("class_id"), "n_links").collect(), texts)
         assert len(rounds) == expected
 
 
+def test_texts_that_share_a_passage_are_no_group(spark, monkeypatch):
+    """Jaccard about 0.3 with all others: texts meet at nodes, but their signatures keep them apart and little is compared."""
+    compared, plain = [], near_copies._compared
+    monkeypatch.setattr(near_copies, "_compared", lambda *a: compared.append(a[3].count()) or plain(*a))
+    passage = " ".join(f"p{j}" for j in range(32))
+    texts = {i: f"{passage} " + " ".join(f"w{i}_{j}" for j in range(34)) for i in range(1_500)}
+    texts |= {2_000: texts[0] + " end", 2_001: texts[1] + " end"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_copies.near_copies(docs, ["doc_id"]).select("doc_id", F.col("group.doc_id").alias("g"), "n_links").collect()
+    assert {(r["doc_id"], r["g"], r["n_links"]) for r in rows if r["n_links"]} == {(0, 0, 1), (2_000, 0, 1), (1, 1, 1), (2_001, 1, 1)}
+    assert len(rows) == len(texts) and sum(compared) <= 12
+
+
+def test_rounds_add_to_groups_of_earlier_rounds(spark, monkeypatch):
+    """A chain of texts, each like its neighbours only, found in any order of rounds, in small blocks and nodes."""
+    monkeypatch.setattr(near_copies, "BLOCK", 4)
+    monkeypatch.setattr(near_copies, "NODE", 3)
+    monkeypatch.setattr(near_copies, "STAR", 2)
+    rng = np.random.default_rng(4)
+    texts = {i: " ".join(f"w{j}" for j in range(4 * i, 4 * i + 60)) for i in range(30)}
+    texts |= {100 + i: " ".join([f"v{j}" if rng.random() > 0.02 else f"x{i}" for j in range(80)]) for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_copies.near_copies(docs, ["doc_id"])
+    check_groups(rows.select("doc_id", F.col("group.doc_id").alias("class_id"), "n_links").collect(), texts)
+
+
 def test_keep_one(spark):
     docs = odd_documents(spark)
     kept = near_copies.keep_one(docs)
