@@ -1,10 +1,11 @@
 """Main text of web pages, with the boilerplate of a host found by suffix arrays.
 
-A page becomes blocks of text with marks of where they stood. The blocks of an article are its text whatever repeats in
-them. The other blocks of a host's pages make token streams, which are laid end to end and their suffixes sorted: long runs
-that begin in several different pages are what the host repeats. In a page without an article, blocks that are marked as
-something else and blocks that such runs cover go, and what is left, the unique runs, is its text. Hosts that are too large
-for one task are cut into parts; what pages of different parts share is found by hashes of the runs.
+A page becomes blocks of text with marks of where they stood. The blocks of a page's only article are its text whatever repeats
+in them. Pages with no article, or with several, are open: which of their blocks are text is decided among all pages of the host. The
+blocks of these, articles included, make token streams, which are laid end to end and their suffixes sorted: long runs that
+begin in several different pages are what the host repeats. Blocks that such runs cover go, and what is left, the unique runs, is the
+page's text. Elements that are something else by tag, role or a whole class name go too; a name that only has such a word
+as a part breaks ties. Hosts that are too large for one task are cut into parts; what pages of different parts share is found by hashes of the runs.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ MARKED = re.compile(
     r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|masthead|menu|modal|nav|navbar|navigation|"
     r"newsletter|notices?|pager|pagination|popup|promo|promotion|related|replies|reply|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[-_ ])"
 )
+WHOLE = re.compile(MARKED.pattern.replace("(?:^|[-_ ])", "(?:^| )").replace("(?:$|[-_ ])", "(?:$| )"))
+#: Strength of a mark: none, a part of a name, or what decides by itself.
+UNMARKED, PERHAPS, SURELY = 0, 1, 2
 #: Names that say what a layout has and not what the element is.
 MODIFIER = re.compile(r"(?:^|(?<= ))(?:(?:has|have|with|without|no|not|hide|hidden|show)[-_]\S*|content[-_]sidebar\S*[-_]wrap(?:per)?)(?= |$)")
 #: Names whose mark an article below keeps, as they hold lists of teasers or are a whole class, and those whose mark a main element keeps too.
@@ -57,17 +61,18 @@ SPACE = re.compile(r"\s+")
 
 
 class _Blocks(HTMLParser):
-    """Blocks of a page as (text, in an article, marked as something else)."""
+    """Blocks of a page as (text, number of the outermost article from 1 or 0, strength of the mark as something else)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool, int]] = []  # tag, hidden, content, marked, 1 if an article keeps the mark, 2 if main does
+        self.open: list[tuple[str, bool, int, int, int]] = []  # tag, hidden, article, mark, 1 if an article keeps the mark, 2 if main does
         self.number: Counter[str] = Counter()  # open elements by tag: a page may leave very many open
-        self.blocks: list[tuple[str, bool, bool]] = []
+        self.blocks: list[tuple[str, int, int]] = []
+        self.articles = 0
         self.held: list[str] = []
 
-    def state(self) -> tuple[bool, bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, False, 0)
+    def state(self) -> tuple[bool, int, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, UNMARKED, 0)
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.held)).strip()
@@ -89,15 +94,18 @@ class _Blocks(HTMLParser):
         found = {k: (v or "") for k, v in attrs}
         named = MODIFIER.sub("", SPACE.sub(" ", f"{found.get('class', '')} {found.get('id', '')}".lower()))
         fixed = 2 if tag in ASIDE or tag == "header" and not content or found.get("role", "").lower() in ROLES or COMMENTS.search(named) else 0
-        own = bool(fixed or MARKED.search(named))
+        own = SURELY if fixed or WHOLE.search(named) else PERHAPS if MARKED.search(named) else UNMARKED
         fixed = fixed or int(bool(TEASERS.search(named)))
         if tag in ("html", "body"):
-            own, fixed = False, 0
+            own, fixed = UNMARKED, 0
         if tag in CONTENT and firm < (2 if tag == "main" else 1):
             # A name of what is around an article says little of the article.
-            marked, firm = False, 0
+            marked, firm = UNMARKED, 0
+        if tag in CONTENT and not marked and not content:
+            self.articles += 1
+            content = self.articles
         invisible = tag in HIDDEN or "hidden" in found or found.get("aria-hidden") == "true"
-        inside = (hidden or invisible, content or tag in CONTENT and not marked, marked or own, max(firm, fixed))
+        inside = (hidden or invisible, content, max(marked, own), max(firm, fixed))
         if inside != self.state():
             self.flush()
         self.open.append((tag, *inside))
@@ -131,7 +139,7 @@ class _Blocks(HTMLParser):
         if tag in INLINE:
             at = self.place(tag)
             if at is not None and all(t in INLINE for t, *_ in self.open[at:]):
-                if self.open[at][1:] != (self.open[at - 1][1:] if at else (False, False, False, 0)):
+                if self.open[at][1:] != (self.open[at - 1][1:] if at else (False, 0, UNMARKED, 0)):
                     self.flush()
                 self.close_from(at)
             return
@@ -143,7 +151,7 @@ class _Blocks(HTMLParser):
             self.held.append(data)
 
 
-def page_blocks(html: str) -> list[tuple[str, bool, bool]]:
+def page_blocks(html: str) -> list[tuple[str, int, int]]:
     parser = _Blocks()
     parser.feed(html)
     parser.close()
@@ -217,18 +225,22 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
     return np.cumsum(covered)[:n] > 0
 
 
-def read_page(html: str) -> tuple[str | None, list[str], list[int], list[int]]:
-    """Text of a page with an article, or None; open blocks and their places in the stream; the stream of all blocks outside an article."""
+def read_page(html: str) -> tuple[str | None, list[str], list[int], list[bool], list[int]]:
+    """Text of a page with one article, or None; open blocks, their places in the stream and whether a name puts them in doubt; the stream.
+
+    The stream has all blocks of an open page, in other pages those outside the article.
+    """
     blocks = page_blocks(html)
     article = [text for text, inside, marked in blocks if inside and not marked]
-    opened, at, stream = [], [], []
+    several = len({inside for _, inside, marked in blocks if inside and not marked}) > 1
+    opened, at, doubt, stream = [], [], [], []
     for text, inside, marked in blocks:
-        if article and inside and not marked:
+        if article and not several and inside and not marked:
             continue
-        if not article and not marked:
-            opened.append(text), at.append(len(stream))
+        if marked < SURELY and (several or not article):
+            opened.append(text), at.append(len(stream)), doubt.append(marked == PERHAPS)
         stream += token_hashes(text)
-    return "\n".join(article) if article or not opened else None, opened, at, stream
+    return None if opened else "\n".join(article), opened, at, doubt, stream
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,7 +249,15 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             some = batch.iloc[low : low + 500]
             found = [read_page(h or "") for h in some.pop("_html")]
             column = lambda k: pd.Series([f[k] for f in found], dtype=object, index=some.index)  # noqa: B023, E731
-            yield some.assign(_done=column(0), _opened=column(1), _at=column(2), _stream=column(3))
+            sizes = [len(f[4]) + len((f[0] or "").split()) for f in found]
+            yield some.assign(_done=column(0), _opened=column(1), _at=column(2), _doubt=column(3), _stream=column(4), _size=sizes)
+
+
+def whole_stream(stream: np.ndarray, done: str | None) -> np.ndarray:
+    """Tokens of a page, those of its article last, behind a number that other pages do not have."""
+    if not done:
+        return np.asarray(stream, np.int64)
+    return np.concatenate([np.asarray(stream, np.int64), [-(1 << 40) - zlib.crc32(done.encode("utf-8", "surrogatepass"))], token_hashes(done)]).astype(np.int64)
 
 
 def run_hashes(stream: np.ndarray, run: int = RUN) -> np.ndarray:
@@ -245,7 +265,7 @@ def run_hashes(stream: np.ndarray, run: int = RUN) -> np.ndarray:
     number = max(0, len(stream) - run + 1)
     found = np.zeros(number, np.uint64)
     for k in range(run):
-        found = mixed(found * np.uint64(31) + stream[k : k + number].astype(np.uint64) + np.uint64(k + 1))
+        found = mixed(found * np.uint64(31) + stream[k : k + number].astype(np.int64).view(np.uint64) + np.uint64(k + 1))
     return found.view(np.int64)
 
 
@@ -256,7 +276,7 @@ def _part_runs(pages: pd.DataFrame) -> pd.DataFrame:
     """The different runs of each part of a host: the smallest and largest page that has them, and whether an open page does."""
     found = [pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in RUN_TYPES.items()})]
     for (host, cut), some in pages.groupby(["_host", "_cut"], sort=False):
-        hashes = [run_hashes(np.asarray(s, np.int64)) for s in some["_stream"]]
+        hashes = [run_hashes(whole_stream(s, d)) for s, d in zip(some["_stream"], some["_done"])]
         sizes = [len(h) for h in hashes]
         runs = pd.DataFrame(
             {"_run": np.concatenate(hashes), "_page": np.repeat(some["_page"].to_numpy(), sizes), "_open": np.repeat(some["_done"].isna().to_numpy(), sizes)}
@@ -267,7 +287,7 @@ def _part_runs(pages: pd.DataFrame) -> pd.DataFrame:
 
 
 def _decide(pages: pd.DataFrame, elsewhere: pd.DataFrame, names: list[str]) -> pd.DataFrame:
-    """Texts of the pages without an article, among the streams of one part of a host; ``elsewhere`` has its runs that other parts repeat."""
+    """Texts of the open pages, among the streams of one part of a host; ``elsewhere`` has its runs that other parts repeat."""
     texts = []
     crossing = {k: some["_run"].to_numpy() for k, some in elsewhere.groupby(["_host", "_cut"], sort=False)}
     for part, some in pages.groupby(["_host", "_cut"], sort=False):
@@ -275,7 +295,7 @@ def _decide(pages: pd.DataFrame, elsewhere: pd.DataFrame, names: list[str]) -> p
         if not opened.any():
             continue
         # Pages that are copies of one another are one page: what only they share is no boilerplate.
-        streams = [np.asarray(s, np.int64) for s in some["_stream"]]
+        streams = [whole_stream(s, d) for s, d in zip(some["_stream"], some["_done"])]
         first: dict[bytes, int] = {}
         owner = [first.setdefault(s.tobytes(), i) for i, s in enumerate(streams)]
         parts, numbers, start, at = [], [], {}, 0
@@ -291,11 +311,16 @@ def _decide(pages: pd.DataFrame, elsewhere: pd.DataFrame, names: list[str]) -> p
                 covered[runs + k] = True
         for i in np.flatnonzero(opened):
             row = some.iloc[i]
-            kept = []
-            for text, place in zip(row["_opened"], row["_at"]):
+            kept, rest = [], []
+            for text, place, doubt in zip(row["_opened"], row["_at"], row["_doubt"]):
                 low = start[owner[i]] + place
-                if not covered[low : low + len(text.split())].all():
+                own = covered[low : low + len(text.split())]
+                # The array cannot judge less than a run: there the name decides.
+                if not doubt and not own.all() or doubt and not row["_alone"] and len(own) >= RUN and not own.any():
                     kept.append(text)
+                elif doubt and len(own) >= RUN and not own.all():
+                    rest.append(text)
+            kept = kept or rest
             texts.append([*row[names], "\n".join(kept)])
     return pd.DataFrame(texts, columns=[*names, "text"])
 
@@ -303,30 +328,34 @@ def _decide(pages: pd.DataFrame, elsewhere: pd.DataFrame, names: list[str]) -> p
 def main_text(pages: DataFrame, carried: list[str], html: str = "html", url: str = "url", part_tokens: int = PART_TOKENS) -> DataFrame:
     """The ``carried`` columns, ``text`` and ``n_chars`` of every page.
 
-    A null page is empty; pages without a host are a host of their own. Texts of articles stay where they were parsed; streams are
-    dealt out by host. A host of more than ``part_tokens`` tokens and pages is cut into parts by the hash of the page, each with a
+    A null page is empty; pages without a host are a host of their own. Texts of single articles stay where they were parsed; the
+    streams of hosts with an open page are dealt out by host. There, a block that other pages have too is no text, be it a teaser of their
+    articles; so is one whose name is in doubt and that shares a run with another page, or is too short for a run, unless nothing else is left. Equal
+    pages are one page. A host of more than ``part_tokens`` tokens and pages is cut into parts by the hash of the page, each with a
     suffix array of its own, so that no task holds a whole hot host. Runs that a part has in one page only are looked up by (host,
     hash of the run) among those of all parts, so that the cuts do not change the texts. An empty table gives an empty one; repeated rows are extracted each.
     """
     names = {f"_c{i}": c for i, c in enumerate(carried)}
     chosen = pages.select(*[F.col(c).alias(a) for a, c in names.items()], host_of(F.col(url)).alias("_host"), F.col(html).alias("_html"))
     fields = ", ".join(f"{a} {chosen.schema[a].dataType.simpleString()}" for a in names)
-    parsed = chosen.mapInPandas(_parse, f"{fields}, _host string, _done string, _opened array<string>, _at array<long>, _stream array<long>")
+    parsed = chosen.mapInPandas(_parse, f"{fields}, _host string, _done string, _opened array<string>, _at array<long>, _doubt array<boolean>, _stream array<long>, _size long")
     path = scratch_path(pages.sparkSession, "blocks")
     parsed.write.option("compression", "zstd").parquet(path)
     parsed = pages.sparkSession.read.schema(parsed.schema).parquet(path)
 
-    streams = parsed.select(*[F.when(F.col("_done").isNull(), F.col(a)).alias(a) for a in names], "_host", F.when(F.col("_done").isNotNull(), "").alias("_done"), "_opened", "_at", "_stream")
-    large = parsed.groupBy("_host").agg(F.ceil(F.sum(F.size("_stream") + 1) / part_tokens).cast("long").alias("_cuts")).where("_cuts > 1")
     # Written, so that the planner sees how few they are and the streams are not dealt out by host first.
-    large = stage(large, "hosts")
-    dealt = streams.join(large, "_host", "left").withColumn("_cut", F.pmod(F.xxhash64("_stream", *names), F.coalesce("_cuts", F.lit(1)))).drop("_cuts")
+    page = F.xxhash64("_stream", F.coalesce("_done", F.lit("")))
+    figures = F.sum(F.col("_size") + 1).alias("_n"), F.max(F.col("_done").isNull()).alias("_any"), (F.min(page) == F.max(page)).alias("_alone")
+    cuts = F.greatest(F.ceil(F.col("_n") / part_tokens), F.lit(1)).cast("long")
+    hosts = stage(parsed.groupBy("_host").agg(*figures).where("_any").select("_host", "_alone", cuts.alias("_cuts")), "hosts")
+    streams = parsed.select(*[F.when(F.col("_done").isNull(), F.col(a)).alias(a) for a in names], "_host", "_done", "_opened", "_at", "_doubt", "_stream")
+    dealt = streams.join(hosts, "_host").withColumn("_cut", F.pmod(F.xxhash64(page, *names), F.col("_cuts")))
     columns = list(names)
 
     # One column to deal by, so that the parts of a host do not follow its rows into one task.
     dealt = dealt.withColumn("_task", F.xxhash64("_host", "_cut"))
-    cut = streams.join(large, "_host").withColumn("_cut", F.pmod(F.xxhash64("_stream", *names), F.col("_cuts")))
-    cut = cut.select("_host", "_cut", "_done", "_stream", F.xxhash64("_stream").alias("_page")).withColumn("_task", F.xxhash64("_host", "_cut"))
+    cut = dealt.where("_cuts > 1").select("_host", "_cut", "_done", "_stream", page.alias("_page"), "_task")
+    dealt = dealt.drop("_cuts")
     runs = stage(cut.groupBy("_task").applyInPandas(_part_runs, "_host string, _cut long, _run long, _low long, _high long, _open boolean"), "runs")
     shared = runs.groupBy("_host", "_run").agg(F.min("_low").alias("_least"), F.max("_high").alias("_most")).where("_least <> _most").select("_host", "_run")
     # A run that several pages of its part have is found there.

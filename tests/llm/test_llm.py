@@ -542,6 +542,36 @@ def test_runs_of_few_pages_of_a_cut_host(spark, part_tokens):
     assert found == own | {100 + i: "these are the very same words on all copies" for i in range(20)}
 
 
+@pytest.mark.parametrize("part_tokens", [200_000, 60])
+def test_the_array_decides_open_pages(spark, part_tokens, monkeypatch):
+    """Pages without article elements or telling names, teasers beside a story, and names that only have such a word as a part."""
+    story = lambda i: " ".join(f"story{i}word{k}" for k in range(20))
+    notice = "We keep small files on your machine to count visits"
+    rows = [(i, "http://a.b/", f"<div><div>{notice}</div><div>{story(i)}</div><p>short {i}</p><div>Terms and more about all of us here</div></div>") for i in range(12)]
+    # Two articles are teasers of other pages; the story stands beside them.
+    tease = "".join(f"<article>{' '.join(story(i).split()[:8])}</article>" for i in (3, 4))
+    rows.append((50, "http://a.b/", f"{tease}<div><p>{story(50)}</p></div><div>{notice}</div>"))
+    # One article of two is the page's own.
+    rows.append((51, "http://a.b/", f"<article>{story(51)}</article><article>{' '.join(story(60).split()[:9])}</article>"))
+    # The text of a single article is evidence, and stays whole.
+    rows.append((60, "http://a.b/", f"<div>{notice}</div><article><p>{story(60)}</p><p>{notice}</p></article>"))
+    rows.append((61, "http://a.b/", f"<p class='related-work'>{story(61)}</p><p>{story(62)}</p>"))
+    rows.append((62, "http://a.b/", f"<p class='related-work'>{notice} {story(63)}</p><p class='ad-slot'>buy now</p><p>{story(64)}</p>"))
+    rows.append((63, "http://alone/", f"<p class='related-work'>{story(65)}</p>"))
+    rows.append((64, "http://alone.too/", f"<p class='cookie-notice'>{notice}</p><p>{story(66)}</p>"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    read = lambda: {r["page_id"]: r["text"] for r in html_text.main_text(frame, ["page_id"], part_tokens=part_tokens).collect()}
+    found = read()
+    assert found == {i: f"{story(i)}\nshort {i}" for i in range(12)} | {
+        50: story(50), 51: story(51), 60: f"{story(60)}\n{notice}", 61: f"{story(61)}\n{story(62)}", 62: story(64), 63: story(65), 64: story(66)
+    }
+    # With the array off, what the host repeats stays.
+    monkeypatch.setattr(html_text, "repeated", lambda tokens, page, run: np.zeros(len(tokens), bool))
+    monkeypatch.setattr(html_text, "run_hashes", lambda stream: np.empty(0, np.int64))
+    off = read()
+    assert {i for i in off if off[i] != found[i]} == {*range(12), 50, 51, 62} and notice in off[50]
+
+
 def test_articles_in_layouts_named_after_a_sidebar():
     text = lambda html: html_text.read_page(html)[0]
     opened = lambda html: html_text.read_page(html)[1]
