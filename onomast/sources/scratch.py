@@ -32,15 +32,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
+def release_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
     """Delete the tables that this process wrote to the shared folder; call it when no result that uses them is needed.
 
-    Returns how many there were.
+    With ``since``, a number that ``scratch_written`` gave, earlier tables stay; so do the last ``keep`` ones. Returns how many were deleted.
     """
-    deleted = 0
-    while _made:
-        deleted += delete_path(spark, _made.pop())
-    return deleted
+    last = len(_made) - keep
+    gone = _made[since:last]
+    _made[since:last] = []
+    return sum(delete_path(spark, path) for path in gone)
+
+
+def scratch_written() -> int:
+    """How many tables this process has written and not released."""
+    return len(_made)
 
 
 def delete_path(spark: SparkSession, name: str) -> bool:
@@ -60,6 +65,21 @@ def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Tables of a loop, each of which replaces the one before: there are never more than two on the disk."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.path = spark, label, None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        before, self.path = self.path, scratch_path(self.spark, self.label)
+        df.write.parquet(self.path)
+        if before:
+            delete_path(self.spark, before)
+            _made.remove(before)
+        return self.spark.read.schema(df.schema).parquet(self.path)
+
+
 #: Steps of a plan that only read: a scan, chosen columns and rows, and a name.
 _READING = ("Relation", "Project", "Filter", "SubqueryAlias", "LocalRelation", "Range")
 
