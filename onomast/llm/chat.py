@@ -23,7 +23,7 @@ from .common import ship
 
 ship(__name__)
 
-# Roles, and the words that mark them.
+# The roles that every model has, and the words that mark them.
 ROLES = ("system", "user", "assistant")
 SPEAKERS = {
     "system": "system sys instructions context developer",
@@ -34,24 +34,32 @@ MARKER = re.compile(
     r"^\s*(?:<\|(?:im_start\|>)?\s*([a-z]+)\s*(?:\|>)?|\[\s*([a-z]+)\s*\]|#{2,}\s*([a-z]+)\s*:?(?=\s|$)|\**([a-z]+)\**\s*(?:\([^)]{0,40}\))?\s*[:>]\**(?=\s|$))", re.I
 )
 ENDING = re.compile(r"<\|(?:im_end|endoftext|eot_id)\|>\s*$")
-WORDS = {word: ROLES.index(role) for role, words in SPEAKERS.items() for word in words.split()}
-STATES, SHAPES = 2 * len(ROLES), 36
+WORDS = {word: role for role, words in SPEAKERS.items() for word in words.split()}
+SHAPES = 36
 #: Characters of a range, which one task decodes; a longer row is a range by itself.
 RANGE_CHARS = 16 << 20
 #: How much likelier a state is to show its own marker than another's; a marker begins a turn.
 MARKED, OTHER = -0.05, -9.0
 
 
-def marked_role(line: str) -> tuple[int | None, str]:
-    """The role that a line's marker names, and the line without the marker."""
+def markers_of(roles: tuple[str, ...]) -> dict[str, int]:
+    """Number of the role that a marker's word names: the fixed words, and the names of all other roles."""
+    return {role.lower(): i for i, role in enumerate(roles)} | {word: roles.index(role) for word, role in WORDS.items()}
+
+
+def marked_role(line: str, markers: dict[str, int] | None = None) -> tuple[int | None, str]:
+    """Number of the role that a line's marker names, and the line without the marker."""
     found = MARKER.match(line)
     if found:
-        role = WORDS.get(next(g for g in found.groups() if g).lower())
+        role = (MARKERS if markers is None else markers).get(next(g for g in found.groups() if g).lower())
         if role is not None:
             return role, line[found.end() :].lstrip()
     return None, line
 
 
+MARKERS = markers_of(ROLES)
+
+
 def shape(line: str) -> int:
     """Length class, question, and list or code of a line, as one number below 36."""
     size = min(5, len(line).bit_length() // 2)
@@ -64,25 +72,26 @@ def row_size(text: str) -> int:
 
 
 class Speakers:
-    """Log probabilities of the model; ``roles`` and ``shapes`` are counts of rows and lines, ``steps`` of roles that follow each other."""
+    """Log probabilities of the model; ``sizes`` and ``shapes`` are counts of rows and lines, ``steps`` of roles that follow each other."""
 
-    def __init__(self, sizes: np.ndarray, shapes: np.ndarray, steps: np.ndarray, first: np.ndarray):
+    def __init__(self, sizes: np.ndarray, shapes: np.ndarray, steps: np.ndarray, first: np.ndarray, roles: tuple[str, ...] = ROLES):
+        self.roles, self.states, self.markers = roles, 2 * len(roles), markers_of(roles)
         norm = lambda x: np.log((x + 0.5) / (x + 0.5).sum(axis=-1, keepdims=True))
         self.sizes, self.shapes, self.steps, self.first = norm(sizes), norm(shapes), norm(steps), norm(first)
 
     def moves(self, begins_row: bool) -> np.ndarray:
         """Log probabilities from state to state: 2r is the first line of a turn of role r, 2r + 1 a further line of it."""
-        out = np.full((STATES, STATES), -np.inf)
+        out = np.full((self.states, self.states), -np.inf)
         turn, stay = (0.0, -np.inf) if begins_row else (-4.6, -0.01)
-        for r in range(len(ROLES)):
-            for s in range(len(ROLES)):
+        for r in range(len(self.roles)):
+            for s in range(len(self.roles)):
                 out[2 * r : 2 * r + 2, 2 * s] = turn + self.steps[r, s]
             out[2 * r : 2 * r + 2, 2 * r + 1] = stay
         return out
 
     def seen(self, line: str, text: str, begins_row: bool) -> np.ndarray:
         """Log probabilities of a line in each state; a row's length counts once, with its first line."""
-        role, rest = marked_role(line)
+        role, rest = marked_role(line, self.markers)
         out = np.repeat(self.shapes[:, shape(rest)], 2)
         if begins_row:
             out = out + np.repeat(self.sizes[:, row_size(text)], 2)
@@ -106,7 +115,7 @@ def chained(matrices: list[np.ndarray]) -> np.ndarray:
 
 def opening(model: Speakers, matrix: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """Matrix of the first line of a conversation: whatever stood before, the first turn's role has its own probability."""
-    out = np.full((STATES, STATES), -np.inf)
+    out = np.full_like(matrix, -np.inf)
     out[:, 0::2] = (model.first + seen[0::2])[None, :]
     return out
 
@@ -133,15 +142,18 @@ def decode(matrices: list[np.ndarray], entry: np.ndarray, last: int | None) -> l
 
 
 def learn(rows: DataFrame) -> Speakers:
-    """The model from all rows (conv, turn, role, text) with a known role, by sums of counts."""
-    known = rows.where(F.col("role").isin(*ROLES))
+    """The model from all rows (conv, turn, role, text) with a role, by sums of counts. Its roles are ``ROLES`` and all others in the table."""
+    known = rows.where("trim(role) <> ''")
+    found = sorted(r["role"] for r in known.select("role").distinct().collect())
+    roles = (*ROLES, *[r for r in found if r not in ROLES])
+    numbers, markers = {role: i for i, role in enumerate(roles)}, markers_of(roles)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple[str, int, int], int] = {}
         for batch in batches:
             for role, text in zip(batch["role"], batch["text"]):
-                r, text = ROLES.index(role), text or ""
-                for kind, value in [("size", row_size(text)), *[("shape", shape(marked_role(x)[1])) for x in text.split("\n")]]:
+                r, text = numbers[role], text or ""
+                for kind, value in [("size", row_size(text)), *[("shape", shape(marked_role(x, markers)[1])) for x in text.split("\n")]]:
                     sums[kind, r, value] = sums.get((kind, r, value), 0) + 1
         yield pd.DataFrame([(k, r, v, n) for (k, r, v), n in sums.items()], columns=["kind", "role", "value", "n"])
 
@@ -149,20 +161,20 @@ def learn(rows: DataFrame) -> Speakers:
     # A row is followed by the next turn's row, found by its number: no conversation is gathered for it.
     here = known.where("conv is not null").select("conv", "turn", "role")
     after = here.select("conv", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
-    number = lambda c: F.when(F.col(c) == ROLES[0], 0).when(F.col(c) == ROLES[1], 1).otherwise(2)
+    number = lambda c: F.array_position(F.array(*[F.lit(r) for r in roles]), F.col(c)).cast("int") - 1
     once = here.groupBy("conv", "turn").agg(F.min("role").alias("role")).join(after.groupBy("conv", "turn").agg(F.min("next").alias("next")), ["conv", "turn"])
     steps = once.groupBy(F.lit("step").alias("kind"), number("role").alias("role"), number("next").alias("value")).agg(F.count("*").alias("n"))
     first = here.groupBy("conv").agg(F.min_by("role", F.struct("turn", "role")).alias("role"))
     first = first.groupBy(F.lit("first").alias("kind"), F.lit(0).alias("role"), number("role").alias("value")).agg(F.count("*").alias("n"))
     sums = counts.unionByName(steps).unionByName(first).groupBy("kind", "role", "value").agg(F.sum("n").alias("n")).collect()
-    sizes, shapes = np.zeros((len(ROLES), 6)), np.zeros((len(ROLES), SHAPES))
-    following, opened = np.zeros((len(ROLES), len(ROLES))), np.zeros(len(ROLES))
+    sizes, shapes = np.zeros((len(roles), 6)), np.zeros((len(roles), SHAPES))
+    following, opened = np.zeros((len(roles), len(roles))), np.zeros(len(roles))
     for kind, role, value, n in sums:
         if kind == "first":
             opened[value] = n
         else:
             {"size": sizes, "shape": shapes, "step": following}[kind][role, value] = n
-    return Speakers(sizes, shapes, following, opened)
+    return Speakers(sizes, shapes, following, opened, roles)
 
 
 def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn: str = "turn", text: str = "text", carried: list[str] | None = None) -> DataFrame:
@@ -171,8 +183,8 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
     Columns: conv, turn, the ``carried`` ones, ``role`` (of the row's first line), ``n_turns`` (that begin in the row) and
     ``rendered``: each turn as ``<|role|>``, a line feed, its text without marker, ``<|end|>``. Rows are in order of turn, null first, then
     of text. A null text is empty; rows without a conversation form one for each different (turn, text); rows equal in all of
-    these are decoded as often as they stand. An empty table gives an empty one. Every row gets one of ``ROLES``: rows of other roles
-    are not learnt from. The rows are sorted into ranges of about ``RANGE_CHARS`` characters, or as many as the session shuffles to, if more.
+    these are decoded as often as they stand. An empty table gives an empty one. Every row gets one of the
+    model's roles, so that work grows with the square of their number. The rows are sorted into ranges of about ``RANGE_CHARS`` characters, or as many as the session shuffles to, if more.
     """
     carried = carried or []
     names = {f"_c{i}": c for i, c in enumerate([conv, turn, *carried])}
@@ -218,8 +230,8 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
     def ends(frame: pd.DataFrame) -> pd.DataFrame:
         """Scores at the entry and the state at the exit of each range of a conversation."""
         frame = frame.sort_values("_part")
-        matrices = [np.array(m, float).reshape(STATES, STATES) for m in frame["_matrix"]]
-        entries = [np.zeros(STATES)]
+        matrices = [np.array(m, float).reshape(model.states, -1) for m in frame["_matrix"]]
+        entries = [np.zeros(model.states)]
         for m in matrices:
             entries.append((entries[-1][:, None] + m).max(axis=0))
         exits = [int(entries[-1].argmax())]
@@ -233,9 +245,9 @@ def recover_turns(rows: DataFrame, model: Speakers, conv: str = "conv_id", turn:
         roles, turns, rendered = [None] * len(frame), [0] * len(frame), [[] for _ in range(len(frame))]
         for conv, some in frame.groupby("_conv", sort=False):
             lines = [(row, text, m) for row, t, o in zip(some.index, some["_text"], some["_opens"]) for text, m in zip(t.split("\n"), row_matrices(model, t, o))]
-            entry, last = known.get(conv, (np.zeros(STATES), None))
+            entry, last = known.get(conv, (np.zeros(model.states), None))
             for (row, text, _), state in zip(lines, decode([m for *_, m in lines], entry, last)):
-                role, plain = ROLES[state // 2], ENDING.sub("", marked_role(text)[1])
+                role, plain = model.roles[state // 2], ENDING.sub("", marked_role(text, model.markers)[1])
                 if state % 2 == 0 or not rendered[row]:
                     rendered[row].append(("<|end|>\n" if rendered[row] else "") + f"<|{role}|>\n{plain}")
                     turns[row] += state % 2 == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import stage
+from ..sources.scratch import Rounds, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     the next round's graph, so that the graph shrinks by a share of its ids each time. Labels are written in each round and
     followed back at the end; neither links nor labels reach the driver. Ids should be hashes, whose order is random.
     """
-    graph = stage(links.select("a", "b").where("a <> b").distinct(), "links")
+    graphs = Rounds(links.sparkSession, "links")
+    graph = graphs.write(links.select("a", "b").where("a <> b").distinct())
     rounds = []
     while True:
         both = graph.union(graph.select("b", "a"))
@@ -23,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
         rounds.append(labels)
         named = graph.join(labels.select(F.col("id").alias("a"), F.col("comp").alias("_a")), "a")
         named = named.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("_b")), "b").where("_a <> _b")
-        graph = stage(named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
+        graph = graphs.write(named.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
         if graph.isEmpty():
             break
     comps = rounds[0]

@@ -9,16 +9,20 @@ smallest, with the error carried on, so that a source misses its target by about
 
 from __future__ import annotations
 
+import warnings
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import stage
+from ..sources.scratch import Rounds, stage
 from .common import repeat_rows, running_total, ship, unused, word_count
 
 ship(__name__)
 
 STEPS, TOLERANCE = 60, 1e-7
+#: Columns that the sizes of a mix add.
+ADDED = ("source", "size", "source_size", "target", "copies", "taken")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -50,7 +54,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
 
 
 def _solve(cells: DataFrame, sources: DataFrame, most: float) -> DataFrame:
-    """Newton steps on the dual; (source_no, mean, theta) of each source. theta is null where every rate is at the limit."""
+    """Newton steps on the dual; (source_no, mean, theta) of each source. theta is null where every rate is at the limit.
+
+    A source that has not met its target after ``STEPS`` steps is warned of; rounding carries what it misses on.
+    """
     shape = cells.groupBy("source_no").agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("docs"), F.min("size").alias("least"))
     state = shape.join(sources.select("source_no", "target"), "source_no").select(
         "source_no",
@@ -61,7 +68,8 @@ def _solve(cells: DataFrame, sources: DataFrame, most: float) -> DataFrame:
         (F.log(F.lit(most)) * F.col("words") / F.col("docs") / F.col("least")).alias("high"),
         F.lit(float("inf")).alias("off"),
     )
-    state = stage(state, "dual")
+    states = Rounds(cells.sparkSession, "dual")
+    state = states.write(state)
     for _ in range(STEPS):
         z = F.col("size") / F.col("mean")
         free = F.col("theta") * z < F.log(F.lit(most))
@@ -89,9 +97,12 @@ def _solve(cells: DataFrame, sources: DataFrame, most: float) -> DataFrame:
             F.when(F.col("g").isNull(), F.col("high")).otherwise(high).alias("high"),
             F.when(F.col("g").isNull() & F.col("theta").isNotNull() | done, 0.0).otherwise(F.abs(gap)).alias("off"),
         )
-        state = stage(stepped, "dual")
+        state = states.write(stepped)
         if state.where("theta is not null and off > 0").isEmpty():
             break
+    else:
+        worst = state.where("off > 0").agg(F.count("*").alias("n"), F.max("off").alias("off")).first()
+        warnings.warn(f"{worst['n']} sources have not met their targets after {STEPS} steps, by a factor of up to e^{worst['off']:.2g}", stacklevel=3)
     return state.select("source_no", "mean", "theta")
 
 
@@ -148,11 +159,18 @@ def allocate(
 
 
 def mix_sizes(docs: DataFrame, keys: list[str], **options) -> DataFrame:
-    """Each row of ``docs`` (by its keys) with size, source_size, target, copies and taken = copies times size."""
-    rows = repeat_rows(allocate(docs, keys, **options), "_m", "_i")
+    """Each row of ``docs`` (by its keys) with source, size, source_size, target, copies and taken = copies times size.
+
+    A key called like one of these is a ``ValueError``, as the result could not tell them apart; any other name will do.
+    """
+    if clash := {k.lower() for k in keys}.intersection(ADDED):
+        raise ValueError(f"no key can be called {', '.join(sorted(clash))}, as the mix adds such a column")
+    own = unused(docs, *[f"_key{i}" for i in range(len(keys))])
+    rows = repeat_rows(allocate(docs.withColumns({a: F.col(k) for a, k in zip(own, keys)}), own, **options), "_m", "_i")
     copies = F.col("_base") + F.when(F.col("before") + F.col("_i") < F.col("_extra"), 1).otherwise(0)
     rows = rows.withColumn("copies", copies)
-    return rows.select(*keys, "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    named = [F.col(a).alias(k) for a, k in zip(own, keys)]
+    return rows.select(*named, "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", **options) -> DataFrame:

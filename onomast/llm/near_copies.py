@@ -357,8 +357,13 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
     ``group`` is the smallest key (a struct) among the rows connected by links; ``n_links`` counts the other rows whose
     similarity is at least 0.8, rows with the same shingles included. A text of fewer than five words is one shingle; a null
     text or one without words has no shingles, is linked to nothing and is a group by itself (rows of the same keys and
-    without words share a group). An empty table gives an empty one.
+    without words share a group). An empty table gives an empty one; a key called ``group`` or ``n_links`` is a ``ValueError``.
     """
+    if clash := {k.lower() for k in keys}.intersection(("group", "n_links")):
+        raise ValueError(f"no key can be called {', '.join(sorted(clash))}, as the join adds such a column")
+    # Keys may be called like anything else that is added below.
+    names, keys = keys, unused(docs, *[f"_key{i}" for i in range(len(keys))])
+    docs = docs.withColumns({a: F.col(k) for a, k in zip(keys, names)})
     words = docs.select(*keys, _text_hash(text).alias("_hash"), word_hashes(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
     fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{fields}, _hash long, _class long, _n long, _sign array<smallint>"
@@ -377,7 +382,10 @@ def near_copies(docs: DataFrame, keys: list[str], text: str = "text", trees: int
     known = known.select(F.col("id").alias("_class"), F.coalesce("group", "_first").alias("group"), (F.col("_m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     known = stage(known, "known")
     wordless = signed.where("_class is null").select(*keys, _key(keys).alias("group"), F.lit(0).cast("bigint").alias("n_links"))
-    return signed.select(*keys, "_class").join(known, "_class").select(*keys, "group", "n_links").unionByName(wordless)
+    out = signed.select(*keys, "_class").join(known, "_class").select(*keys, "group", "n_links").unionByName(wordless)
+    flags = [F.col(f"group._null{i}").alias(f"_null{i}") for i in range(len(keys))]
+    group = F.struct(*flags, *[F.col(f"group.{a}").alias(k) for a, k in zip(keys, names)])
+    return out.select(*[F.col(a).alias(k) for a, k in zip(keys, names)], group.alias("group"), "n_links")
 
 
 def keep_one(docs: DataFrame, order: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -113,18 +114,20 @@ def nearest(table: DataFrame, asked: Column, k: int = 20, id: str = "vec_id", ve
     """(query_id, rank, vec_id, score): for each row for which ``asked`` holds, the ``k`` other rows of largest inner product.
 
     Ties go to the smaller id; with fewer candidates, all are returned. Rows without an id, and vectors that are null, zero
-    or hold null or non-finite components take no part, nor do those whose length is not the most frequent one. An id on
-    several rows stands once, with the smallest of its vectors. Equal vectors are one candidate with its smallest ids,
+    or hold null or non-finite components take no part. Vectors of different lengths have no inner product: each length is searched
+    by itself, one after the other, so that a table should have few of them. An id on several rows stands once, with the smallest of its vectors. Equal vectors are one candidate with its smallest ids,
     which is all that a list of ``k`` can need; blocks of a long list are scanned by tasks of their own.
     """
     empty = table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     flagged = table.select(F.col(id).alias("id"), F.col(vector).alias("vector"), F.coalesce(asked, F.lit(False)).alias("asked"))
     rows = flagged.where(F.col("id").isNotNull() & usable(F.col("vector")))
-    lengths = rows.groupBy(F.size("vector").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
-    if lengths is None:
-        return empty
-    dims = lengths["dims"]
-    rows = stage(rows.where(F.size("vector") == dims).groupBy("id").agg(F.min("vector").alias("vector"), F.max("asked").alias("asked")), "vectors")
+    rows = stage(rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("asked").alias("asked")), "vectors")
+    lengths = [r["dims"] for r in rows.groupBy(F.size("vector").alias("dims")).agg(F.max("asked").alias("asked")).where("asked").orderBy("dims").collect()]
+    return reduce(DataFrame.unionByName, [_nearest_of(rows.where(F.size("vector") == dims), dims, k) for dims in lengths], empty)
+
+
+def _nearest_of(rows: DataFrame, dims: int, k: int) -> DataFrame:
+    """The search among rows (id, vector, asked) of vectors of one length, some of them asked."""
     double = F.col("vector").cast("array<double>")
     square = F.aggregate(double, F.lit(0.0), lambda s, x: s + x * x)
 

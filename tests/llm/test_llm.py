@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,58 @@ def test_mix_meets_the_targets(spark, documents):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, QUERIES["op1_mix_entropy"](spark, FOLDER).collect()))
 
 
+def test_rates_solve_the_dual(spark, documents):
+    """The multipliers against bisection, source by source; whole copies follow the tilted rates."""
+    sizes = defaultdict(Counter)
+    for r in QUERIES["op1_mix_entropy"](spark, FOLDER).join(documents.select("doc_id", "source"), "doc_id").collect():
+        if r["size"]:
+            sizes[r["source"]][r["size"]] += 1
+    names = sorted(sizes)
+    targets = [1.0, 1.6, 0.5, 1.99, 0.05]
+    share = {s: targets[i % 5] * sum(n * k for n, k in sizes[s].items()) for i, s in enumerate(names)}
+    cells = spark.createDataFrame([(i, n, k) for i, s in enumerate(names) for n, k in sizes[s].items()], "source_no long, size long, n long")
+    sources = spark.createDataFrame([(i, share[s]) for i, s in enumerate(names)], "source_no long, target double")
+    solved = {r["source_no"]: r for r in mixing._solve(cells, sources, 2.0).collect()}
+    for i, s in enumerate(names):
+        n, k = np.array(list(sizes[s])), np.array(list(sizes[s].values()))
+        rates = lambda theta: np.minimum(2, np.exp(theta * n / solved[i]["mean"]))  # noqa: B023, E731
+        low, high = -200.0, 200.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if (k * n * rates(middle)).sum() < share[s] else (low, middle)
+        assert (k * n * rates(solved[i]["theta"])).sum() == pytest.approx(share[s], rel=1e-6)
+        assert np.allclose(rates(solved[i]["theta"]), rates(low), rtol=1e-4)
+
+
+def test_copies_follow_the_rates():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        # Sizes and numbers for which no cell reaches none or all of its copies.
+        size = np.unique(rng.integers(100, 3_000, 60))[::-1]
+        n, rate = rng.integers(20, 50, len(size)), np.exp(rng.uniform(-0.2, 0.2) * size / 1_000)
+        target = float((n * size * rate).sum())
+        cells = pd.DataFrame({"source_no": 0, "size": size, "n": n, "target": target, "rate": rate, "most": 2})
+        found = mixing._round_copies(cells.sample(frac=1, random_state=1)).set_index("size")["_copies"]
+        # What a cell misses is less than one document of it and of the one before.
+        gaps = np.array([found[x] for x in size]) - n * rate
+        before = np.concatenate([[0], size[:-1] / size[1:]]) / 2 + 0.5
+        assert (np.abs(gaps) <= before + 1e-6).all()
+        assert abs(float((found * found.index).sum()) - target) <= size[-1] / 2 + 1e-6
+
+
+def test_mix_and_join_keys_of_any_name(spark):
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text, "a"), (2, text, "a"), (3, "other words", "b")], "k long, text string, source string")
+    for name in ("_m", "before", "_base", "_draw", "_copies", "_hash", "_class", "_n", "_sign", "n", "theta"):
+        named = docs.withColumnRenamed("k", name)
+        assert sorted(r[name] for r in mixing.mix_sizes(named, [name]).collect()) == [1, 2, 3]
+        found = {r[name]: (r["group"][name], r["n_links"]) for r in near_copies.near_copies(named, [name]).collect()}
+        assert found == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+    for function, name in ((mixing.mix_sizes, "Size"), (mixing.mix_sizes, "source"), (near_copies.near_copies, "group")):
+        with pytest.raises(ValueError, match="no key can be called"):
+            function(docs.withColumnRenamed("k", name) if name != "source" else docs, [name])
+
+
 def test_mix_of_odd_rows(spark):
     docs = odd_documents(spark)
     mixed = mixing.mix(docs)
@@ -237,6 +290,23 @@ def recall_of(table, matrix, asked, k=20):
     return len(found), float(np.mean(shares))
 
 
+def test_nearest_among_vectors_of_several_lengths(spark):
+    """Each length is searched by itself; none is left out."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=(3, 8, 20)[i % 3]).tolist()) for i in range(300)] + [(301, [1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in nearest.nearest(table, F.col("vec_id") % 10 == 0, 5).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert set(found) == set(range(0, 300, 10))
+    right = 0
+    for q, ids in found.items():
+        others = [(-np.dot(rows[q][1], v), i) for i, v in rows if i != q and len(v) == len(rows[q][1])]
+        right += len({i for _, i in sorted(others)[:5]} & set(ids))
+        assert len(ids) == 5 and all(i % 3 == q % 3 for i in ids)
+    assert right >= 0.9 * 5 * len(found)
+
+
 def test_nearest_in_narrow_cones(spark):
     """Clustered vectors of different lengths: most probed lists have no candidate that passes the bound."""
     rng = np.random.default_rng(5)
@@ -381,6 +451,47 @@ def test_language_on_held_out_rows(spark, documents):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_mixture(grams, model):
+    """The chosen set and shares of one document, by loops over its trigrams: EM over all languages, then over each nested set."""
+    probs, n = np.exp(model.astype(float)), len(grams)
+
+    def fit(shares, steps):
+        for _ in range(steps):
+            sums = np.zeros(len(shares))
+            for g in grams:
+                joint = shares * probs[g]
+                sums += joint / joint.sum()
+            shares = sums / n
+        return shares
+
+    langs = model.shape[1]
+    full = fit(np.full(langs, 1 / langs), 12)
+    order, best = np.argsort(-full, kind="stable"), None
+    for k in range(langs):
+        shares = np.zeros(langs)
+        shares[order[: k + 1]] = full[order[: k + 1]] + 1e-6
+        shares = fit(shares / shares.sum(), 6 if k else 0)
+        value = sum(np.log(probs[g] @ shares) for g in grams) / 3 - k * np.log(max(n / 3, 2))
+        if best is None or value > best[0]:
+            best = (value, int(shares.argmax()), float(shares.max()))
+        elif k >= 3:
+            break
+    return best[1:]
+
+
+def test_mixtures_against_plain_expectation_maximisation(documents):
+    langs, model = language.learn(documents)
+    letters = language.letter_table()
+    rows = [r["text"] for r in documents.where("length(text) > 30").orderBy("doc_id").limit(60).collect()]
+    cut = [t[:300] for t in rows] + [a[:200] + " " + b[:120] for a, b in zip(rows, rows[7:])] + ["a", "ß é", " ".join(t[:90] for t in rows[:12])]
+    grams = [language.trigrams(t, letters) for t in cut]
+    grams = [g for g in grams if len(g)]
+    lang, share = language.mixtures(grams, model)
+    plain = [plain_mixture(g, model) for g in grams]
+    assert np.mean([a == b for a, (b, _) in zip(lang, plain)]) == 1
+    assert np.allclose(share, [s for _, s in plain], atol=2e-3)
+
+
 def test_language_of_odd_and_mixed_texts(spark, documents):
     langs, model = language.learn(documents)
     found = odd_documents(spark).select("doc_id", "text", language.language_column(F.col("text"), langs, model).alias("l")).collect()
@@ -694,6 +805,33 @@ def test_network_gradients():
         assert (up - down) / (2 * step) == pytest.approx(g[at], rel=1e-3), name
 
 
+def test_network_score_against_a_plain_forward_pass():
+    """The score of whole texts by loops over bytes, places, chunks and filters."""
+    rng = np.random.default_rng(4)
+    model = {k: rng.normal(size=v.shape) for k, v in classifier.train([], []).items()}
+
+    def plain(text):
+        data = list(text.encode())
+        data += [0] * (-len(data) % 256)
+        data += [0] * max(0, 512 - len(data))
+        places = [[model["embed"][b][d] for b in data[at : at + 4] for d in range(4)] for at in range(0, len(data), 4)]
+        places.append([0.0] * 16)
+        chunks = []
+        for low in range(0, len(data) - 256, 256):
+            found = []
+            for f in range(32):
+                seen = [sum(x * w for x, w in zip(places[p], model["first"][:, f])) + sum(x * w for x, w in zip(places[p + 1], model["second"][:, f])) for p in range(low // 4, low // 4 + 128)]
+                found.append(max(0.0, max(seen) + model["bias"][f]))
+            chunks.append(found)
+        pooled = [sum(c[f] for c in chunks) / len(chunks) for f in range(32)] + [max(c[f] for c in chunks) for f in range(32)]
+        hidden = [max(0.0, sum(p * w for p, w in zip(pooled, model["hidden"][:, h])) + model["hidden_bias"][h]) for h in range(16)]
+        return 1 / (1 + np.exp(-np.clip(sum(h * w for h, w in zip(hidden, model["out"][:, 0])) + model["out_bias"][0], -30, 30)))
+
+    model["out"] /= 50
+    for text in ("", "short", "ünï" * 150, "word and " * 57, "x" * 512, "x" * 513, "a b\n" * 400):
+        assert classifier.probability(text, model) == pytest.approx(plain(text), rel=1e-6)
+
+
 def test_network_reads_long_texts_in_pieces():
     rng = np.random.default_rng(0)
     model = {k: rng.normal(size=v.shape).astype(np.float32) for k, v in classifier.train([], []).items()}
@@ -733,6 +871,21 @@ def test_chat_roles_of_conversations_not_learnt_from(spark):
     assert right >= 0.9 * len(found) > 100, (right, len(found))
 
 
+def test_chat_roles_of_the_table(spark):
+    """Roles that are not among the three are learnt and found, by their markers and by what they look like."""
+    rows = []
+    for conv in range(60):
+        rows += [(conv, 0, "user", "what is the weather in the north today?"), (conv, 1, "tool", "- t=4\n- w=9\n- h=80\n- p=1012"), (conv, 2, "assistant", "It is cold. " * 12), (conv, 3, None, "?"), (conv, 4, " ", "?")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    model = chat.learn(frame.withColumnRenamed("conv_id", "conv"))
+    assert model.roles == ("system", "user", "assistant", "tool")
+    found = chat.recover_turns(frame.where("turn < 3"), model, carried=["role"]).collect()
+    assert all(r["role"] == r["role_found"] for r in found) and len(found) == 180
+    one = spark.createDataFrame([(1, 0, "User: go on\nTool: done\nall of it\nAI: fine")], "conv_id long, turn long, text string")
+    (row,) = chat.recover_turns(one, model).collect()
+    assert row["rendered"] == "<|user|>\ngo on<|end|>\n<|tool|>\ndone\nall of it<|end|>\n<|assistant|>\nfine<|end|>\n" and row["n_turns"] == 3
+
+
 def test_long_transcript_in_one_text(spark, speakers):
     text = "\n".join(f"{'User' if i % 2 else 'Assistant'}: line {i}\nmore" for i in range(20_000))
     (row,) = chat.recover_turns(spark.createDataFrame([(1, 0, text)], "conv_id long, turn long, text string"), speakers).collect()
@@ -802,10 +955,10 @@ def test_paths_against_all_paths(speakers):
     for text in texts:
         for opens in (False, True):
             matrices = chat.row_matrices(speakers, text, opens)
-            entry = rng.normal(size=chat.STATES)
+            entry = rng.normal(size=speakers.states)
             for last in (None, 0, 3):
                 best = (-np.inf, None)
-                for path in itertools.product(range(chat.STATES), repeat=len(matrices)):
+                for path in itertools.product(range(speakers.states), repeat=len(matrices)):
                     if last is None or path[-1] == last:
                         score = (entry + matrices[0][:, path[0]]).max() + sum(m[a, b] for m, a, b in zip(matrices[1:], path, path[1:]))
                         best = max(best, (score, path), key=lambda x: x[0])
@@ -814,7 +967,7 @@ def test_paths_against_all_paths(speakers):
                     score = (entry + matrices[0][:, found[0]]).max() + sum(m[a, b] for m, a, b in zip(matrices[1:], found, found[1:]))
                     assert len(found) == len(matrices) and score == pytest.approx(best[0])
             whole = chat.chained(matrices)
-            exact = np.array([[max((matrices[0][i, p[0]] + sum(m[a, b] for m, a, b in zip(matrices[1:], p, p[1:])) for p in itertools.product(range(chat.STATES), repeat=len(matrices)) if p[-1] == j)) for j in range(chat.STATES)] for i in (0, 5)])
+            exact = np.array([[max((matrices[0][i, p[0]] + sum(m[a, b] for m, a, b in zip(matrices[1:], p, p[1:])) for p in itertools.product(range(speakers.states), repeat=len(matrices)) if p[-1] == j)) for j in range(speakers.states)] for i in (0, 5)])
             assert np.allclose(whole[[0, 5]], exact)
 
 
