@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.llm import language, mixing, near_copies, packing, secret_scan
-from onomast.llm.common import held_out, unused
+from onomast.llm.common import arrow_batches, held_out, unused
 from onomast.llm.queries import tokenizer_path
-from onomast.sources.scratch import stage
+from onomast.sources.scratch import release_scratch, scratch_written, stage
 
 
 #: Rows that a Python worker gets at a time: texts are long, and a worker keeps the memory of its largest batch.
@@ -16,7 +16,7 @@ BATCH_ROWS = 2_000
 
 
 def _small_batches(spark: SparkSession) -> None:
-    """Stages are written by whoever calls them, so the setting is the session's."""
+    """A stage is written by whoever calls it, so the setting is the session's; ``run`` gives back the one that was there."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+    """The last stage's rows, written. What a stage has written besides goes when it is done, and so does its input, but for the table."""
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), 0
+    with arrow_batches(spark, BATCH_ROWS):
+        for name, function in STAGES:
+            since = scratch_written() - written
+            docs, written = stage(function(spark, docs, sf_dir), name), 1
+            release_scratch(spark, since, keep=1)
     return docs
